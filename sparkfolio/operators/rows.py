@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POS_COL = "_scan_pos"
 
@@ -117,3 +118,48 @@ def keep_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     packed = F.struct(*[F.col(c) for c in others])
     agg = df.groupBy(*keys).agg(F.min_by(packed, F.col(order_col)).alias("_first"))
     return agg.select(*keys, *[F.col("_first")[c].alias(c) for c in others])
+
+
+def with_group_rank(df: DataFrame, group_cols: list[str], order_cols: list,
+                    name: str = "grp_rank", size_name: str | None = None) -> DataFrame:
+    """Dense 0-based rank inside each group, computed without putting a group
+    in one task: one distributed range sort on (group, order), the global
+    dense index, minus the group's first index (a per-group table of
+    ``#groups`` rows).  ``size_name`` also attaches the group size."""
+    idx = with_row_index(df, list(group_cols) + list(order_cols), name="_gidx")
+    starts = idx.groupBy(*group_cols).agg(F.min("_gidx").alias("_gstart"),
+                                          F.count(F.lit(1)).alias("_gsize"))
+    out = idx.join(starts, list(group_cols)).withColumn(name, F.col("_gidx") - F.col("_gstart"))
+    if size_name:
+        out = out.withColumn(size_name, F.col("_gsize"))
+    return out.drop("_gidx", "_gstart", "_gsize")
+
+
+def with_running_sum(df: DataFrame, order_by: list, value: str, name: str,
+                     inclusive: bool = False) -> DataFrame:
+    """Global running sum of ``value`` in ``order_by`` order (exclusive by
+    default), distributed like ``with_row_index``: a range-partitioned sort,
+    an in-partition cumulative sum (Arrow batches, in partition order, no
+    extra shuffle) and per-partition offsets (one row per partition,
+    broadcast)."""
+    ordered = df.orderBy(*order_by).withColumn("_pid", F.spark_partition_id())
+    vtype = ordered.schema[value].dataType
+    schema = T.StructType(ordered.schema.fields + [T.StructField("_local", vtype)])
+
+    def cumulative(batches):
+        carry = 0
+        for pdf in batches:
+            v = pdf[value].fillna(0)
+            c = v.cumsum() + carry
+            if len(c):
+                carry = c.iloc[-1]
+            pdf["_local"] = c if inclusive else c - v
+            yield pdf
+
+    local = ordered.mapInPandas(cumulative, schema)
+    totals = ordered.groupBy("_pid").agg(F.sum(value).alias("_tot"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    out = local.join(F.broadcast(offsets), "_pid")
+    return (out.withColumn(name, (F.col("_off") + F.col("_local")).cast(vtype))
+               .drop("_pid", "_local", "_off"))

@@ -1 +1,132 @@
-"""placeholder"""
+"""Price-series segment on ``orders``.
+
+Stand-in mapping: a symbol is an order priority, its daily "high" is the
+largest order total of the day; train = dates up to 1999-12-31, test = from
+2000-01-01 (the data spans 1995-01 .. 2001-08), 30-day windows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkfolio.functions.arith import round_half, round_sql
+from sparkfolio.operators import series as S
+from sparkfolio.plans.registry import query
+from sparkfolio.sources.readers import price_history
+from sparkfolio.sources.tables import load
+
+START, END = "1995-01-01", "2001-09-01"
+TRAIN_END, TEST_START = "1999-12-31", "2000-01-01"
+STEP = 30
+
+
+def daily_prices(spark, sf):
+    o = load(spark, sf, "orders")
+    d = o.groupBy(F.col("o_orderpriority").alias("symbol"),
+                  F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("high"))
+    # [START, END) range of the daily high, per symbol
+    return price_history(d, START, END, keep=["symbol"])
+
+
+def split_prices(spark, sf):
+    return S.chrono_split(daily_prices(spark, sf), TRAIN_END, TEST_START, time_step=STEP)
+
+
+def scaled_prices(spark, sf):
+    sp = split_prices(spark, sf)
+    params = S.fit_minmax(sp.where(F.col("split").isin("train", "validation")), "high")
+    return S.minmax_transform(sp, params, "high", "scaled")
+
+
+def windows(spark, sf):
+    sc = scaled_prices(spark, sf).where(F.col("split") != "out")
+    sc = sc.withColumn("side", F.when(F.col("split") == "test", "test").otherwise("train"))
+    return S.lag_windows(sc, "scaled", STEP, partition=["symbol", "side"])
+
+
+BASE_CTE = f"""
+WITH p AS (
+  SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date, MAX(o_totalprice) AS high
+  FROM orders GROUP BY 1, 2),
+p2 AS (SELECT * FROM p WHERE date >= DATE '{START}' AND date < DATE '{END}'),
+r AS (
+  SELECT *, date <= DATE '{TRAIN_END}' AS is_train, date >= DATE '{TEST_START}' AS is_test,
+         ROW_NUMBER() OVER (PARTITION BY symbol, date <= DATE '{TRAIN_END}' ORDER BY date) - 1 AS rn,
+         COUNT(*) OVER (PARTITION BY symbol, date <= DATE '{TRAIN_END}') AS n
+  FROM p2),
+s AS (
+  SELECT symbol, date, high,
+         CASE WHEN is_test THEN 'test'
+              WHEN is_train AND rn - {STEP} >= FLOOR(GREATEST(n - {STEP}, 0) * 900 / 1000)
+                   AND rn >= {STEP} THEN 'validation'
+              WHEN is_train THEN 'train' ELSE 'out' END AS split
+  FROM r),
+mm AS (SELECT symbol, MIN(high) AS mn, MAX(high) AS mx FROM s
+       WHERE split IN ('train', 'validation') GROUP BY symbol),
+sc AS (
+  SELECT s.*, mm.mn, mm.mx,
+         CASE WHEN mm.mx - mm.mn = 0 THEN s.high - mm.mn
+              ELSE (s.high - mm.mn) / (mm.mx - mm.mn) END AS scaled
+  FROM s LEFT JOIN mm ON s.symbol = mm.symbol),
+w AS (
+  SELECT *, list(scaled) OVER (PARTITION BY symbol, CASE WHEN split = 'test' THEN 'test' ELSE 'train' END
+                               ORDER BY date ROWS BETWEEN {STEP} PRECEDING AND 1 PRECEDING) AS x
+  FROM sc WHERE split <> 'out')
+"""
+
+
+@query("chrono_split", BASE_CTE + "SELECT symbol, date, high, split FROM s")
+def chrono_split(spark, sf):
+    """S10 range + P20 inclusive slice + M19 train/validation/test labels."""
+    return split_prices(spark, sf).select("symbol", "date", "high", "split")
+
+
+@query("minmax_inverse", BASE_CTE + """
+SELECT symbol, date, high, scaled,
+       CASE WHEN mx - mn = 0 THEN scaled + mn ELSE scaled * (mx - mn) + mn END AS restored
+FROM sc""")
+def minmax_inverse(spark, sf):
+    """Min-max fitted on the training split, applied everywhere, inverted."""
+    sc = scaled_prices(spark, sf)
+    return sc.select("symbol", "date", "high", "scaled", S.minmax_inverse("scaled").alias("restored"))
+
+
+@query("lag_windows", BASE_CTE + "SELECT symbol, date, split, scaled AS y, x FROM w WHERE len(x) = 30")
+def lag_windows(spark, sf):
+    """W5 + W6: 30-step windows per symbol, test windows start inside test."""
+    return windows(spark, sf).select("symbol", "date", "split", "y", "x")
+
+
+@query("rmse_known", BASE_CTE + f"""
+SELECT symbol, {round_sql('SQRT(AVG(POWER(high - pred, 2)))', 6)} AS rmse, COUNT(*) AS n
+FROM (SELECT symbol, high,
+             CASE WHEN mx - mn = 0 THEN x[30] + mn ELSE x[30] * (mx - mn) + mn END AS pred
+      FROM w WHERE len(x) = 30 AND split = 'test') t
+GROUP BY symbol""")
+def rmse_known(spark, sf):
+    """A19 on a fixed forecast (the previous day's value), in price units."""
+    w = windows(spark, sf).where(F.col("split") == "test")
+    w = w.withColumn("pred", S.minmax_inverse(F.element_at("x", -1)))
+    r = S.rmse(w, "high", "pred", by=["symbol"])
+    return r.select("symbol", round_half("rmse", 6).alias("rmse"), "n")
+
+
+def _forecast(spark, sf):
+    w = windows(spark, sf)
+    model = S.fit_forecaster(w.where(F.col("split") == "train"))
+    return S.predict(model, w.where(F.col("split") == "test"))
+
+
+@query("forecast")
+def forecast(spark, sf):
+    """Next-day value from the 30-step window (pooled linear model)."""
+    return _forecast(spark, sf).select("symbol", "date", "y", "pred")
+
+
+@query("prediction_vs_actual")
+def prediction_vs_actual(spark, sf):
+    """M21 + A19: test dates with inverse-scaled actual and predicted prices."""
+    p = _forecast(spark, sf)
+    return p.select("symbol", "date",
+                    S.minmax_inverse("y").alias("actual"),
+                    S.minmax_inverse("pred").alias("predicted"))

@@ -134,9 +134,9 @@ def read_xml_rows(spark: SparkSession, path, row_tag: str = "list",
 
 
 def price_history(df: DataFrame, start: str, end: str, date_col: str = "date",
-                  value_col: str = "high") -> DataFrame:
+                  value_col: str = "high", keep: list[str] | None = None) -> DataFrame:
     """[start, end) date range of one price column.  The emptiness error
     of the reference is left to the caller's action (no job here)."""
     d = F.col(date_col)
     return (df.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
-              .select(d.alias("date"), F.col(value_col).alias("high")))
+              .select(*(keep or []), d.alias("date"), F.col(value_col).alias("high")))
