@@ -43,13 +43,25 @@ def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
         F.count(F.lit(1)).alias("count"), r(F.avg("v")).alias("mean"),
         r(F.stddev_samp("v")).alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
 
-    ranked = with_row_index(long, ["column_name", "v"], name="_g")
-    # first global rank and size of every column: one row per column
-    starts = ranked.groupBy("column_name").agg(F.min("_g").alias("_start"),
-                                               F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(F.broadcast(starts), "column_name").withColumn(
-        "_r", F.col("_g") - F.col("_start"))
-    # positions bracketing each quantile: (n-1)p -> floor / ceil
+    quant = exact_quantiles(long, percentiles)
+    out = moments.join(quant, "column_name")
+    names = [f"p{int(round(p * 100))}" for p in percentiles]
+    return out.select("column_name", "count", "mean", "std", "min", *names, "max")
+
+
+def exact_quantiles(long: DataFrame, percentiles=(0.5,), group: str = "column_name",
+                    value: str = "v") -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas / numpy default) per
+    group of a long ``(group, value)`` table, columns ``p<100*p>``.
+
+    One distributed range sort on (group, value); each value's rank inside
+    its group comes from the global dense index minus the group's first
+    index (one row per group); only the ranks bracketing each quantile
+    survive the filter, so no group is ever gathered in one task."""
+    ranked = with_row_index(long, [group, value], name="_g")
+    starts = ranked.groupBy(group).agg(F.min("_g").alias("_start"),
+                                       F.count(F.lit(1)).alias("_n"))
+    ranked = ranked.join(starts, group).withColumn("_r", F.col("_g") - F.col("_start"))
     wanted = None
     qcols = []
     for p in percentiles:
@@ -57,15 +69,11 @@ def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
         lo, hi = F.floor(pos), F.ceil(pos)
         hit = (F.col("_r") == lo) | (F.col("_r") == hi)
         wanted = hit if wanted is None else (wanted | hit)
-        name = f"p{int(round(p * 100))}"
         frac = pos - lo
-        v_lo = F.max(F.when(F.col("_r") == lo, F.col("v")))
-        v_hi = F.max(F.when(F.col("_r") == hi, F.col("v")))
-        qcols.append((v_lo + (v_hi - v_lo) * F.first(frac)).alias(name))
-    quant = ranked.where(wanted).groupBy("column_name").agg(*qcols)
-    out = moments.join(quant, "column_name")
-    names = [f"p{int(round(p * 100))}" for p in percentiles]
-    return out.select("column_name", "count", "mean", "std", "min", *names, "max")
+        v_lo = F.max(F.when(F.col("_r") == lo, F.col(value)))
+        v_hi = F.max(F.when(F.col("_r") == hi, F.col(value)))
+        qcols.append((v_lo + (v_hi - v_lo) * F.first(frac)).alias(f"p{int(round(p * 100))}"))
+    return ranked.where(wanted).groupBy(group).agg(*qcols)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
