@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 # Python's int()/float() accept "_" between digits ("1_000"); Spark does not.
 _DIGIT_UNDERSCORE = r"(?<=[0-9])_(?=[0-9])"
 _INT_TEXT = r"^[+-]?[0-9]+$"
+# What Python float() reads: decimal / exponent notation or inf / nan words.
+# Spark's cast alone also takes Java suffixes such as '5d' or '1f'.
+_FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_FLOAT_WORDS = r"^[+-]?(?i)(inf|infinity|nan)$"
 
 
 def _col(c) -> Column:
@@ -28,7 +32,8 @@ def python_float(c) -> Column:
     """Text -> double the way Python ``float()`` reads it (trim, ``1e5``,
     ``inf``, ``1_000``); NaN and garbage -> NULL."""
     s = F.regexp_replace(F.trim(_col(c).cast("string")), _DIGIT_UNDERSCORE, "")
-    return _nan_to_null(s.try_cast("double"))
+    ok = s.rlike(_FLOAT_TEXT) | s.rlike(_FLOAT_WORDS)
+    return _nan_to_null(F.when(ok, s.try_cast("double")))
 
 
 def to_number(c) -> Column:
@@ -46,7 +51,8 @@ def try_num(c) -> Column:
     """
     raw = _col(c).cast("string")
     s = F.regexp_replace(F.trim(raw), _DIGIT_UNDERSCORE, "")
-    as_float = _nan_to_null(s.try_cast("double"))
+    as_float = _nan_to_null(F.when(s.rlike(_FLOAT_TEXT) | s.rlike(_FLOAT_WORDS),
+                                   s.try_cast("double")))
     as_int = F.when(s.rlike(_INT_TEXT), s.try_cast("double"))
     return F.when(raw.contains("."), as_float).otherwise(as_int)
 
