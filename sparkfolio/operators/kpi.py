@@ -150,14 +150,18 @@ def peer_mean_by_year(kpis: DataFrame, metrics=PEER_KPIS, carry_forward: bool =
 
 
 def carry_last_forward(df: DataFrame, year: str = "year") -> DataFrame:
-    """Append a copy of the max-year row as max-year + 1.  The max is a
-    one-row aggregate joined back (broadcast of a single row), so no window
-    without partitioning and no driver round trip."""
-    last = df.agg(F.max(year).alias("_last"))
-    last_row = df.join(F.broadcast(last), F.col(year) == F.col("_last")).drop("_last")
-    nxt = last_row.withColumn(year, F.col(year) + F.lit(1))
-    nxt = nxt.join(df.select(F.col(year).alias("_y")), F.col(year) == F.col("_y"), "left_anti")
-    return df.unionByName(nxt)
+    """Append a copy of the max-year row as max-year + 1.
+
+    The input is a per-period summary (one row per year), so the un-partitioned
+    window that finds the last year sees a handful of rows; the copy is made in
+    the same pass (explode of [year, year + 1] on the last row), with no self-join
+    that would re-evaluate the summary's lineage."""
+    marked = df.withColumn("_last", F.max(year).over(Window.partitionBy()))
+    years = (F.when(F.col(year) == F.col("_last"), F.array(F.col(year), F.col(year) + F.lit(1)))
+              .otherwise(F.array(F.col(year))))
+    others = [c for c in df.columns if c != year]
+    out = marked.select(F.explode(years).alias("_year"), *others)
+    return out.select(*[F.col("_year").alias(year) if c == year else F.col(c) for c in df.columns])
 
 
 def align_to_peers(entity: DataFrame, align: dict[str, str] = ALIGN) -> DataFrame:
