@@ -97,6 +97,22 @@ def with_derived_metrics(merged: DataFrame, fill_missing: bool = True) -> DataFr
 
 
 # ---- reports (A3-A10) ---------------------------------------------------------------
+# O3: the report orderings (aggregate / alias descending, with a tie-break
+# key so that the order is total).  Apply with ``order_report`` only where a
+# sorted result is needed: sorting is a range shuffle of its own.
+REPORT_ORDER = {
+    "activity_levels": [("avg_calories", True), ("activity_level", False)],
+    "sleep_patterns": [("total_days_in_pattern", True), ("sleep_pattern", False)],
+    "engagement": [("engagement_level", False), ("Id", False)],
+    "hourly_profile": [("hour_of_day", False)],
+    "weekday_profile": [("day_ord", False)],
+}
+
+
+def order_report(df: DataFrame, report: str) -> DataFrame:
+    return df.orderBy(*[F.col(c).desc() if desc else F.col(c) for c, desc in REPORT_ORDER[report]])
+
+
 def activity_levels(merged: DataFrame, high: int = 12500, low: int = 5000) -> DataFrame:
     """A3 (query 2)."""
     return (merged.groupBy(bucket_activity("TotalSteps", high, low).alias("activity_level"))

@@ -320,3 +320,34 @@ FROM merged""")
 def trend(spark, sf):
     """Least-squares steps-on-sleep line."""
     return profile.linear_trend(merged_daily(spark, sf), "TotalSteps", "TotalMinutesAsleep")
+
+
+@query("json_props", """
+SELECT event_type, COUNT(*) AS n, COUNT(k) AS n_with_k, CAST(SUM(k) AS BIGINT) AS sum_k,
+       MIN(k) AS min_k, MAX(k) AS max_k
+FROM (SELECT event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) t
+GROUP BY event_type""")
+def json_props(spark, sf):
+    """S7-style JSON text parsing with a declared schema (``events.props``)."""
+    ev = load(spark, sf, "events").select(
+        "event_type", F.from_json("props", "k int").alias("p"))
+    return ev.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count("p.k").alias("n_with_k"),
+        F.sum("p.k").cast("bigint").alias("sum_k"), F.min("p.k").alias("min_k"),
+        F.max("p.k").alias("max_k"))
+
+
+@query("first_event_per_day", """
+SELECT user_id, day, event_id, event_type, value FROM (
+  SELECT user_id, CAST(ts AS DATE) AS day, event_id, event_type, value,
+         ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+  FROM events) t
+WHERE rn = 1""")
+def first_event_per_day(spark, sf):
+    """W3 on the raw events: keep the first event of every user-day (ordered
+    by time, then id) as a min_by aggregate, combined map-side for hot keys."""
+    from sparkfolio.operators.rows import keep_first
+    ev = load(spark, sf, "events").select(
+        "user_id", F.to_date("ts").alias("day"), "event_id", "event_type", "value",
+        F.struct("ts", "event_id").alias("_ord"))
+    return keep_first(ev, ["user_id", "day"], "_ord").drop("_ord")

@@ -173,3 +173,39 @@ def group_all_aggs(spark, sf):
         "l_quantity": "sum", "l_extendedprice": "avg", "l_discount": "min",
         "l_tax": "max", "l_orderkey": "count", "qty_text": "sum"})
     return g.df
+
+
+@query("membership_semi", f"""
+SELECT l_returnflag, COUNT(*) AS n_lines,
+       {round_sql('SUM(l_extendedprice)', 3)} AS sum_price
+FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))
+GROUP BY l_returnflag
+""")
+def membership_semi(spark, sf):
+    """P12 (+ P13): membership in a derived key set as a left-semi join."""
+    from sparkfolio.operators.frame import keep_members
+    urgent = keep_members(load(spark, sf, "orders"), "o_orderpriority", ["1-URGENT", "2-HIGH"])
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
+    m = keep_members(li, "l_orderkey", urgent.select("o_orderkey"))
+    return m.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_lines"),
+                                         round_half(F.sum("l_extendedprice"), 3).alias("sum_price"))
+
+
+@query("party_union", """
+SELECT * FROM (
+  SELECT c_custkey AS party_id, 'customer' AS kind, c_acctbal AS acctbal, c_mktsegment AS segment,
+         CAST(NULL AS INTEGER) AS nationkey_s FROM customer
+  UNION ALL
+  SELECT s_suppkey, 'supplier', s_acctbal, NULL, s_nationkey FROM supplier) t
+""")
+def party_union(spark, sf):
+    """UNION ALL by column name, absent columns NULL (P6 renames)."""
+    from sparkfolio.sources.readers import union_by_name
+    c = load(spark, sf, "customer").select(
+        F.col("c_custkey").alias("party_id"), F.lit("customer").alias("kind"),
+        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+    s = load(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("party_id"), F.lit("supplier").alias("kind"),
+        F.col("s_acctbal").alias("acctbal"), F.col("s_nationkey").alias("nationkey_s"))
+    return union_by_name([c, s])
