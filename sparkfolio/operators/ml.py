@@ -152,24 +152,31 @@ def positive_probability(pred: DataFrame, out: str = "score") -> DataFrame:
 
 
 # ---- A20 exact AUC / accuracy -----------------------------------------------------
-def auc_exact(df: DataFrame, score: str, label: str) -> DataFrame:
+def auc_exact(df: DataFrame, score: str, label: str, cut: float | None = None) -> DataFrame:
     """ROC AUC by the rank-sum rule with ties counted half.
 
     Scores are first reduced to (score, positives, negatives) by a grouped
     aggregate; the negatives below each score come from a distributed running
     sum over the sorted distinct scores.  Integer arithmetic until the final
-    division, so the result is exact and order-independent."""
+    division, so the result is exact and order-independent.  With ``cut`` the
+    same pass also gives the accuracy of the classifier ``score >= cut``."""
     per = df.groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("bigint").alias("_pos"),
         F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).cast("bigint").alias("_neg"))
     run = with_running_sum(per, ["_s"], "_neg", "_below")
-    tot = run.agg(
-        F.sum(F.col("_pos") * (F.lit(2) * F.col("_below") + F.col("_neg"))).alias("_twice"),
-        F.sum("_pos").alias("P"), F.sum("_neg").alias("N"))
-    return tot.select(
-        F.try_divide(F.col("_twice").cast("double"),
-                     (F.lit(2) * F.col("P") * F.col("N")).cast("double")).alias("auc"),
-        F.col("P").alias("positives"), F.col("N").alias("negatives"))
+    aggs = [F.sum(F.col("_pos") * (F.lit(2) * F.col("_below") + F.col("_neg"))).alias("_twice"),
+            F.sum("_pos").alias("P"), F.sum("_neg").alias("N")]
+    if cut is not None:
+        hit = F.when(F.col("_s") >= F.lit(cut), F.col("_pos")).otherwise(F.col("_neg"))
+        aggs.append(F.sum(hit).alias("_hits"))
+    tot = run.agg(*aggs)
+    out = [F.try_divide(F.col("_twice").cast("double"),
+                        (F.lit(2) * F.col("P") * F.col("N")).cast("double")).alias("auc"),
+           F.col("P").alias("positives"), F.col("N").alias("negatives")]
+    if cut is not None:
+        out.append(F.try_divide(F.col("_hits").cast("double"),
+                                (F.col("P") + F.col("N")).cast("double")).alias("accuracy"))
+    return tot.select(*out)
 
 
 def accuracy_at(df: DataFrame, prob: str, label: str, threshold: float = 0.5) -> DataFrame:
