@@ -315,7 +315,7 @@ def crosstab(spark, sf):
 @query("trend", MERGED_CTE + f"""
 SELECT {round_sql('REGR_SLOPE(TotalSteps, TotalMinutesAsleep)', 6)} AS slope,
        {round_sql('REGR_INTERCEPT(TotalSteps, TotalMinutesAsleep)', 6)} AS intercept,
-       REGR_COUNT(TotalSteps, TotalMinutesAsleep) AS n
+       CAST(REGR_COUNT(TotalSteps, TotalMinutesAsleep) AS BIGINT) AS n
 FROM merged""")
 def trend(spark, sf):
     """Least-squares steps-on-sleep line."""
