@@ -153,15 +153,22 @@ def split_activity_hour(df: DataFrame, ts_col: str = "ActivityHour") -> DataFram
               .withColumn("Time", F.date_format(ts, "HH:mm:ss")))
 
 
-def hourly_profile(steps: DataFrame, calories: DataFrame, intensities: DataFrame) -> DataFrame:
-    """J3 + A7 (query 6): three-way inner join on (Id, Date, Time), averages
-    per hour of day.  All three sides are hash-partitioned on the same keys,
-    so the second join needs no extra exchange of the first join's output."""
-    keys = ["Id", "Date", "Time"]
+def hourly_profile(steps: DataFrame, calories: DataFrame, intensities: DataFrame,
+                   keys: tuple[str, ...] = ("Id", "Date", "Time")) -> DataFrame:
+    """J3 + A7 (query 6): three-way inner join, averages per hour of day.
+
+    ``keys`` defaults to the (Id, Date, Time) columns of split hourly files.
+    When the three tables were aggregated per (Id, ActivityHour), pass those
+    keys instead: (Date, Time) is the same instant split in two, and joining
+    on the aggregation key reuses its hash partitioning (no re-shuffle of any
+    side)."""
+    keys = list(keys)
+    hour_src = "Time" if "Time" in keys else keys[-1]
     j = (steps.select(*keys, "StepTotal")
          .join(calories.select(*keys, "Calories"), keys, "inner")
          .join(intensities.select(*keys, "TotalIntensity"), keys, "inner"))
-    hour = F.substring("Time", 1, 2).cast("int")
+    hour = (F.substring("Time", 1, 2).cast("int") if hour_src == "Time"
+            else F.hour(hour_src))
     return (j.groupBy(hour.alias("hour_of_day"))
             .agg(round_half(F.avg("StepTotal"), 0).alias("avg_steps"),
                  round_half(F.avg("Calories"), 0).alias("avg_calories"),

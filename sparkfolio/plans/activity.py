@@ -198,7 +198,7 @@ FROM hs JOIN hc ON hs.Id = hc.Id AND hs.Date = hc.Date AND hs.Time = hc.Time
         JOIN hi ON hs.Id = hi.Id AND hs.Date = hi.Date AND hs.Time = hi.Time
 GROUP BY 1""")
 def hourly_profile(spark, sf):
-    return segments.hourly_profile(*hourly_tables(spark, sf))
+    return segments.hourly_profile(*hourly_tables(spark, sf), keys=("Id", "ActivityHour"))
 
 
 @query("hourly_mean", """
