@@ -351,3 +351,17 @@ def first_event_per_day(spark, sf):
         "user_id", F.to_date("ts").alias("day"), "event_id", "event_type", "value",
         F.struct("ts", "event_id").alias("_ord"))
     return keep_first(ev, ["user_id", "day"], "_ord").drop("_ord")
+
+
+@query("weekday_profile_sunday_first", MERGED_CTE + """
+SELECT dayname(Date) AS day_of_week, CAST(dayofweek(Date) + 1 AS INTEGER) AS day_ord,
+       AVG(TotalSteps) AS avg_steps, AVG(TotalMinutesAsleep) AS avg_sleep
+FROM merged GROUP BY 1, 2""")
+def weekday_profile_sunday_first(spark, sf):
+    """A9 chart-feed variant: unrounded means, Sunday-first ordering key."""
+    m = merged_daily(spark, sf)
+    from sparkfolio.functions.calendar import weekday_name, weekday_ord
+    return (m.groupBy(weekday_name("Date").alias("day_of_week"),
+                      weekday_ord("Date", sunday_first=True).alias("day_ord"))
+             .agg(F.avg("TotalSteps").alias("avg_steps"),
+                  F.avg("TotalMinutesAsleep").alias("avg_sleep")))

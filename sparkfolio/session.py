@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name shared storage on a cluster")
         cur = tempfile.mkdtemp(prefix="sparkfolio-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -69,3 +69,12 @@ def test_substring_map_first_wins(spark):
     assert sub == ["Sales", "CurrentAssets", "OperatingIncome", None]
     ex = [r.o for r in df.select(map_label("v", mode="exact").alias("o")).collect()]
     assert ex == ["CostOfSales", None, "OperatingIncome", None]
+
+
+def test_date_coerce(spark):
+    from sparkfolio.functions.coerce import to_date_safe
+    df = spark.createDataFrame([("4/12/2016",), ("2016-04-13",), ("junk",)], "v string")
+    got = [r.d for r in df.select(to_date_safe("v", "M/d/yyyy").alias("d")).collect()]
+    assert got[0].day == 12 and got[1] is None and got[2] is None
+    got2 = [r.d for r in df.select(to_date_safe("v").alias("d")).collect()]
+    assert got2[1].day == 13 and got2[2] is None
