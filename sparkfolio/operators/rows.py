@@ -13,6 +13,7 @@ A DataFrame has no row order.  Where the reference depends on position
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +22,18 @@ POS_COL = "_scan_pos"
 
 
 def with_scan_position(df: DataFrame, name: str = POS_COL) -> DataFrame:
-    """Attach a monotonically increasing position; call right after a scan."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Attach a sortable (file, block, position) key; call right after a file
+    scan.  Spark packs file splits into tasks by size, so the task order alone
+    is not the file order: the key starts with the file path and the split's
+    start offset, then the row's increasing id inside that split.  Non-file
+    inputs get the increasing id only."""
+    mono = F.monotonically_increasing_id()
+    try:
+        key = F.struct(F.col("_metadata.file_path").alias("file"),
+                       F.col("_metadata.file_block_start").alias("block"), mono.alias("row"))
+        return df.withColumn(name, key)
+    except AnalysisException:
+        return df.withColumn(name, mono)
 
 
 def with_row_index(df: DataFrame, order_by: list | None = None,

@@ -76,18 +76,22 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_csv_glob(spark: SparkSession, patterns: list[str], schema=None,
-                  all_string: bool = False) -> DataFrame:
+                  all_string: bool = False, position_col: str | None = None) -> DataFrame:
     """S3: first pattern with hits wins; files are unioned by column name
-    (a single multi-path read would bind columns by position)."""
+    (a single multi-path read would bind columns by position).
+    ``position_col`` attaches a (file, block, row) order key per file, the
+    order that keep-first de-duplication (W3) follows."""
+    from sparkfolio.operators.rows import with_scan_position
     for pat in patterns:
         files = _fs_glob(spark, pat)
         if files:
             frames = []
             for f in files:
-                frames.append(read_csv_text(spark, f) if all_string else
-                              (read_csv_typed(spark, f, schema) if schema is not None
-                               else spark.read.option("header", True)
-                               .option("inferSchema", True).csv(f)))
+                one = (read_csv_text(spark, f) if all_string else
+                       (read_csv_typed(spark, f, schema) if schema is not None
+                        else spark.read.option("header", True)
+                        .option("inferSchema", True).csv(f)))
+                frames.append(with_scan_position(one, position_col) if position_col else one)
             return union_by_name(frames)
     raise FileNotFoundError(f"no files match any of {patterns}")
 
@@ -134,9 +138,14 @@ def read_xml_rows(spark: SparkSession, path, row_tag: str = "list",
 
 
 def price_history(df: DataFrame, start: str, end: str, date_col: str = "date",
-                  value_col: str = "high", keep: list[str] | None = None) -> DataFrame:
-    """[start, end) date range of one price column.  The emptiness error
-    of the reference is left to the caller's action (no job here)."""
+                  value_col: str = "high", keep: list[str] | None = None,
+                  require_rows: bool = False) -> DataFrame:
+    """[start, end) date range of one price column.  ``require_rows``
+    raises ValueError on an empty range (a one-row probe job); by default the
+    check is left to the caller's action."""
     d = F.col(date_col)
-    return (df.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
-              .select(*(keep or []), d.alias("date"), F.col(value_col).alias("high")))
+    out = (df.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
+             .select(*(keep or []), d.alias("date"), F.col(value_col).alias("high")))
+    if require_rows and out.isEmpty():
+        raise ValueError(f"No data between '{start}' '{end}'.")
+    return out

@@ -87,3 +87,27 @@ def test_sinks_roundtrip(spark, tmp_path):
     sinks.create_table_as(df.where(F.col("v") > 1), "ctas_probe", path=str(tmp_path / "ctas"))
     assert spark.table("ctas_probe").count() == 2
     spark.sql("DROP TABLE ctas_probe")
+
+
+def test_glob_keep_first_follows_file_order(spark, tmp_path):
+    from sparkfolio.operators.rows import keep_first
+    _w(tmp_path / "dailyActivity_1.csv", "Id,Date,Steps\n1,d1,10\n1,d1,11\n2,d1,5\n")
+    _w(tmp_path / "dailyActivity_2.csv", "Id,Date,Steps\n1,d1,99\n3,d2,7\n")
+    df = R.read_csv_glob(spark, [str(tmp_path / "dailyActivity_*.csv")], all_string=True,
+                         position_col="_pos")
+    got = sorted((r.Id, r.Date, r.Steps) for r in keep_first(df, ["Id", "Date"], "_pos").collect())
+    assert got == [("1", "d1", "10"), ("2", "d1", "5"), ("3", "d2", "7")]
+
+
+def test_price_history_requires_rows(spark):
+    import datetime as dt
+    import pytest
+    df = spark.createDataFrame([(dt.date(2019, 1, 1), 1.0)], "date date, High double")
+    with pytest.raises(ValueError):
+        R.price_history(df, "2020-01-01", "2020-02-01", value_col="High", require_rows=True)
+
+
+def test_frame_drop_ignore(spark):
+    from sparkfolio.operators.frame import Frame
+    f = Frame.from_columns(spark, ["a", "b"], {"a": [1], "b": [2]})
+    assert f.drop(columns=["zz", "a"], errors="ignore").columns == ["b"]
