@@ -24,11 +24,17 @@ from sparkfolio.operators.rows import with_group_rank, with_running_sum
 
 # ---- M6 stratified split ----------------------------------------------------------
 def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
-                     seed: int = 42, out: str = "split") -> DataFrame:
+                     seed: int = 42, out: str = "split", exact: bool = True) -> DataFrame:
     """Repeatable stratified split: inside each label, rows ordered by
     ``md5(id:seed)``; the first ``ceil(n * test_fraction)`` are validation.
     Ranks come from a distributed sort (``with_group_rank``), so a dominant
-    label is never gathered in one task."""
+    label is never gathered in one task.  ``exact=False`` is the shuffle-free
+    path for very large inputs: a per-row hash threshold, whose per-label
+    validation share holds in expectation (as with ``sampleBy``)."""
+    if not exact:
+        h = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_000))
+        return df.withColumn(out, F.when(h < F.lit(int(test_fraction * 1_000_000)), "validation")
+                             .otherwise("train"))
     key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
     ranked = with_group_rank(df.withColumn("_h", key), [label], ["_h", id_col],
                              name="_rk", size_name="_n")
@@ -39,13 +45,17 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
 
 
 # ---- M1-M4 preprocessing statistics -------------------------------------------------
-def numeric_stats(train: DataFrame, numeric: list[str]) -> DataFrame:
+def numeric_stats(train: DataFrame, numeric: list[str], exact: bool = True) -> DataFrame:
     """M1 + M2: (feature, median, mean, scale) per numeric column; mean and
-    population std of the median-imputed values; zero std -> scale 1."""
+    population std of the median-imputed values; zero std -> scale 1.
+    ``exact=False`` takes the median from a bounded-memory sketch."""
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in numeric)
     long = train.selectExpr(f"stack({len(numeric)}, {stack}) AS (feature, v)")
     present = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    med = exact_quantiles(present, (0.5,), group="feature").withColumnRenamed("p50", "median")
+    if exact:
+        med = exact_quantiles(present, (0.5,), group="feature").withColumnRenamed("p50", "median")
+    else:
+        med = present.groupBy("feature").agg(F.percentile_approx("v", 0.5, 100000).alias("median"))
     filled = long.join(F.broadcast(med), "feature").withColumn(
         "v", F.coalesce(F.when(~F.isnan("v"), F.col("v")), F.col("median")))
     mom = filled.groupBy("feature", "median").agg(F.avg("v").alias("mean"),

@@ -26,11 +26,14 @@ def null_profile(df: DataFrame, top: int = 10) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
-             digits: int | None = 6) -> DataFrame:
+             digits: int | None = 6, exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """Count, mean, std (sample), min, quantiles, max per column.
 
     One row per column.  Moments are rounded to ``digits`` places (their last
     bits depend on summation order); counts, min, max and quantiles are exact.
+    ``exact=False`` is the one-pass path for very large inputs: quantiles come
+    from a bounded-memory sketch (``percentile_approx``, rank error about
+    1/accuracy) inside the same aggregate, so no global sort.
     """
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, v)")
@@ -43,9 +46,14 @@ def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
         F.count(F.lit(1)).alias("count"), r(F.avg("v")).alias("mean"),
         r(F.stddev_samp("v")).alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
 
-    quant = exact_quantiles(long, percentiles)
-    out = moments.join(quant, "column_name")
     names = [f"p{int(round(p * 100))}" for p in percentiles]
+    if not exact:
+        q = F.percentile_approx("v", list(percentiles), accuracy)
+        approx = long.groupBy("column_name").agg(q.alias("_q"))
+        quant = approx.select("column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    else:
+        quant = exact_quantiles(long, percentiles)
+    out = moments.join(quant, "column_name")
     return out.select("column_name", "count", "mean", "std", "min", *names, "max")
 
 

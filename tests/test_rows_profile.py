@@ -79,3 +79,12 @@ def test_trend(spark):
     df = spark.createDataFrame([(float(x), 2.0 * x + 1) for x in range(10)], "x double, y double")
     r = profile.linear_trend(df, "y", "x").first()
     assert (r.slope, r.intercept, r.n) == (2.0, 1.0, 10)
+
+
+def test_describe_sketch_path_close(spark):
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 100000, 2000).astype(float)
+    df = spark.createDataFrame([(float(x),) for x in a], "a double")
+    r = profile.describe(df, ["a"], exact=False).first()
+    assert abs(r.p50 - np.percentile(a, 50)) <= 100000 * 0.01
+    assert r["count"] == 2000

@@ -160,3 +160,16 @@ def test_stream_equals_batch(spark):
     for k, v in batch.items():
         assert got[k][:2] == v
     assert len(batch) == 2
+
+
+def test_stratified_split_hash_path(spark):
+    df = spark.range(20000).withColumn("y", (F.col("id") % 3 == 0).cast("int"))
+    c = ml.stratified_split(df, "y", "id", exact=False).groupBy("y", "split").count().collect()
+    share = {r.y: 0 for r in c}
+    tot = {r.y: 0 for r in c}
+    for r in c:
+        tot[r.y] += r["count"]
+        if r.split == "validation":
+            share[r.y] += r["count"]
+    for y in tot:
+        assert abs(share[y] / tot[y] - 0.2) < 0.02
