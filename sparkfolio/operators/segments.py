@@ -154,30 +154,31 @@ def split_activity_hour(df: DataFrame, ts_col: str = "ActivityHour") -> DataFram
 
 
 def hourly_profile(steps: DataFrame, calories: DataFrame, intensities: DataFrame,
-                   keys: tuple[str, ...] = ("Id", "Date", "Time")) -> DataFrame:
+                   keys: tuple[str, ...] = ("Id", "Date", "Time"),
+                   hour_col: str | None = None) -> DataFrame:
     """J3 + A7 (query 6): three-way inner join, averages per hour of day.
 
-    ``keys`` defaults to the (Id, Date, Time) columns of split hourly files.
-    When the three tables were aggregated per (Id, ActivityHour), pass those
-    keys instead: (Date, Time) is the same instant split in two, and joining
-    on the aggregation key reuses its hash partitioning (no re-shuffle of any
-    side)."""
+    ``keys`` defaults to the (Id, Date, Time) columns of split hourly files
+    (hour read from the 'HH:mm:ss' text).  When the tables were aggregated
+    per (Id, Date, Hour), pass those keys and ``hour_col``: the joins then
+    reuse the aggregation's hash partitioning (no re-shuffle of any side)."""
     keys = list(keys)
-    hour_src = "Time" if "Time" in keys else keys[-1]
     j = (steps.select(*keys, "StepTotal")
          .join(calories.select(*keys, "Calories"), keys, "inner")
          .join(intensities.select(*keys, "TotalIntensity"), keys, "inner"))
-    hour = (F.substring("Time", 1, 2).cast("int") if hour_src == "Time"
-            else F.hour(hour_src))
-    return (j.groupBy(hour.alias("hour_of_day"))
+    hour = F.col(hour_col) if hour_col else F.substring("Time", 1, 2).cast("int")
+    return (j.groupBy(hour.cast("int").alias("hour_of_day"))
             .agg(round_half(F.avg("StepTotal"), 0).alias("avg_steps"),
                  round_half(F.avg("Calories"), 0).alias("avg_calories"),
                  round_half(F.avg("TotalIntensity"), 2).alias("avg_intensity")))
 
 
-def hourly_mean(df: DataFrame, ts_col: str, metric: str, out: str) -> DataFrame:
-    """Mean of one metric per hour of day, NULLs skipped (unrounded)."""
-    return df.groupBy(F.hour(ts_col).alias("hour_of_day")).agg(F.avg(metric).alias(out))
+def hourly_mean(df: DataFrame, ts_col: str, metric: str, out: str,
+                is_hour: bool = False) -> DataFrame:
+    """Mean of one metric per hour of day, NULLs skipped (unrounded).
+    ``ts_col`` is a timestamp, or already the hour when ``is_hour``."""
+    h = F.col(ts_col) if is_hour else F.hour(ts_col)
+    return df.groupBy(h.cast("int").alias("hour_of_day")).agg(F.avg(metric).alias(out))
 
 
 def weekday_profile(merged: DataFrame, rounded: bool = True) -> DataFrame:

@@ -70,8 +70,14 @@ def merged_daily(spark, sf):
 
 
 def hourly_tables(spark, sf):
-    ev = _events(spark, sf).withColumn("ActivityHour", F.date_trunc("hour", "ts"))
-    keys = [F.col("user_id").alias("Id"), "ActivityHour"]
+    """Hourly steps / calories / intensities keyed by (Id, Date, Hour).
+
+    The keys are taken from the wall-clock timestamp without any time-zone
+    conversion (``to_date`` and ``hour`` of a timestamp_ntz), and ``Time`` is
+    the 'HH:00:00' text of the reference files."""
+    ev = _events(spark, sf)
+    keys = [F.col("user_id").alias("Id"), F.to_date("ts").alias("Date"),
+            F.hour("ts").alias("Hour")]
     steps = ev.groupBy(*keys).agg(
         F.round(F.sum("value") * F.lit(100.0)).cast("bigint").alias("StepTotal"))
     cal = (ev.where(F.col("event_type") != "error").groupBy(*keys)
@@ -79,7 +85,8 @@ def hourly_tables(spark, sf):
     inten = (ev.where(F.col("event_type") != "signup").groupBy(*keys)
              .agg((F.lit(3) * F.count(F.lit(1))).alias("TotalIntensity")))
     inten = inten.withColumn("AverageIntensity", F.col("TotalIntensity") / F.lit(60.0))
-    return tuple(segments.split_activity_hour(t) for t in (steps, cal, inten))
+    return tuple(t.withColumn("Time", F.format_string("%02d:00:00", F.col("Hour")))
+                 for t in (steps, cal, inten))
 
 
 # ---- oracle SQL building blocks (same stand-in definitions) ------------------------
@@ -198,7 +205,8 @@ FROM hs JOIN hc ON hs.Id = hc.Id AND hs.Date = hc.Date AND hs.Time = hc.Time
         JOIN hi ON hs.Id = hi.Id AND hs.Date = hi.Date AND hs.Time = hi.Time
 GROUP BY 1""")
 def hourly_profile(spark, sf):
-    return segments.hourly_profile(*hourly_tables(spark, sf), keys=("Id", "ActivityHour"))
+    return segments.hourly_profile(*hourly_tables(spark, sf), keys=("Id", "Date", "Hour"),
+                                   hour_col="Hour")
 
 
 @query("hourly_mean", """
@@ -210,7 +218,7 @@ FROM (SELECT user_id, date_trunc('hour', ts) AS ts,
 GROUP BY 1""")
 def hourly_mean(spark, sf):
     steps, _, _ = hourly_tables(spark, sf)
-    return segments.hourly_mean(steps, "ActivityHour", "StepTotal", "avg_steps")
+    return segments.hourly_mean(steps, "Hour", "StepTotal", "avg_steps", is_hour=True)
 
 
 @query("weekday_profile", MERGED_CTE + f"""
