@@ -1,10 +1,10 @@
 """Data-profile operators.
 
 ``describe`` computes *exact* quartiles (linear interpolation, like pandas)
-without collecting any column into one task: values of all columns are
-unpivoted and range-sorted once, each value gets its rank inside its column
-from a bounded per-partition offsets table, and only the two ranks that
-bracket each quantile are kept.
+without collecting any column into one task: values are counted per distinct
+(column, value) first, then a distributed running sum over the sorted
+distinct values gives every value its rank range, and only the values that
+cover a quantile's bracketing ranks are kept.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.arith import round_half
-from sparkfolio.operators.rows import with_row_index
+from sparkfolio.operators.rows import with_running_sum
 
 
 def null_profile(df: DataFrame, top: int = 10) -> DataFrame:
@@ -62,24 +62,29 @@ def exact_quantiles(long: DataFrame, percentiles=(0.5,), group: str = "column_na
     """Exact quantiles with linear interpolation (pandas / numpy default) per
     group of a long ``(group, value)`` table, columns ``p<100*p>``.
 
-    One distributed range sort on (group, value); each value's rank inside
-    its group comes from the global dense index minus the group's first
-    index (one row per group); only the ranks bracketing each quantile
-    survive the filter, so no group is ever gathered in one task."""
-    ranked = with_row_index(long, [group, value], name="_g")
-    starts = ranked.groupBy(group).agg(F.min("_g").alias("_start"),
-                                       F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(starts, group).withColumn("_r", F.col("_g") - F.col("_start"))
+    Values are first counted per distinct (group, value) - a hot value
+    collapses map-side into one row, so the sort that follows can never pile
+    one value's copies into a single task.  A distributed running sum of the
+    counts over the sorted distinct values gives each value its rank range
+    ``[r0, r0 + count)`` inside its group; only the values whose range covers
+    a quantile's bracketing ranks are kept (one row per group per rank)."""
+    counts = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+    run = with_running_sum(counts, [group, value], "_c", "_cum")
+    starts = run.groupBy(group).agg(F.min("_cum").alias("_start"), F.sum("_c").alias("_n"))
+    ranked = (run.join(starts, group)
+                 .withColumn("_r0", F.col("_cum") - F.col("_start"))
+                 .withColumn("_r1", F.col("_r0") + F.col("_c")))
+    covers = lambda r: (F.col("_r0") <= r) & (r < F.col("_r1"))
     wanted = None
     qcols = []
     for p in percentiles:
         pos = (F.col("_n") - 1) * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
-        hit = (F.col("_r") == lo) | (F.col("_r") == hi)
+        hit = covers(lo) | covers(hi)
         wanted = hit if wanted is None else (wanted | hit)
         frac = pos - lo
-        v_lo = F.max(F.when(F.col("_r") == lo, F.col(value)))
-        v_hi = F.max(F.when(F.col("_r") == hi, F.col(value)))
+        v_lo = F.max(F.when(covers(lo), F.col(value)))
+        v_hi = F.max(F.when(covers(hi), F.col(value)))
         qcols.append((v_lo + (v_hi - v_lo) * F.first(frac)).alias(f"p{int(round(p * 100))}"))
     return ranked.where(wanted).groupBy(group).agg(*qcols)
 

@@ -43,7 +43,13 @@ def with_row_index(df: DataFrame, order_by: list | None = None,
     ``total_name`` additionally attaches the row count (taken from the same
     bounded offsets table, so no extra job and no driver round trip).
     """
-    ordered = df.orderBy(*order_by) if order_by else df
+    if order_by:
+        # A deterministic tie-breaker spreads rows that tie on the user's keys
+        # over several range partitions (equal sort keys always share one).
+        tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        ordered = df.orderBy(*order_by, tie)
+    else:
+        ordered = df
     tagged = (ordered
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))

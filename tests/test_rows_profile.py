@@ -88,3 +88,13 @@ def test_describe_sketch_path_close(spark):
     r = profile.describe(df, ["a"], exact=False).first()
     assert abs(r.p50 - np.percentile(a, 50)) <= 100000 * 0.01
     assert r["count"] == 2000
+
+
+def test_quantiles_with_hot_value(spark):
+    rng = np.random.default_rng(7)
+    a = np.concatenate([np.zeros(400), rng.integers(1, 50, 601)]).astype(float)
+    rng.shuffle(a)
+    df = spark.createDataFrame([(float(x),) for x in a], "a double").repartition(5)
+    r = profile.describe(df, ["a"], percentiles=(0.1, 0.25, 0.5, 0.75, 0.9), digits=None).first()
+    for p in (10, 25, 50, 75, 90):
+        assert r[f"p{p}"] == pytest.approx(np.percentile(a, p), abs=1e-12)
