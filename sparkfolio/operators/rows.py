@@ -159,7 +159,9 @@ def with_running_sum(df: DataFrame, order_by: list, value: str, name: str,
     an in-partition cumulative sum (Arrow batches, in partition order, no
     extra shuffle) and per-partition offsets (one row per partition,
     broadcast)."""
-    ordered = df.orderBy(*order_by).withColumn("_pid", F.spark_partition_id())
+    # deterministic tie-breaker: equal keys never pile into one range partition
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ordered = df.orderBy(*order_by, tie).withColumn("_pid", F.spark_partition_id())
     vtype = ordered.schema[value].dataType
     schema = T.StructType(ordered.schema.fields + [T.StructField("_local", vtype)])
 
