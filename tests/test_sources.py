@@ -111,3 +111,21 @@ def test_frame_drop_ignore(spark):
     from sparkfolio.operators.frame import Frame
     f = Frame.from_columns(spark, ["a", "b"], {"a": [1], "b": [2]})
     assert f.drop(columns=["zz", "a"], errors="ignore").columns == ["b"]
+
+
+def test_bucketed_join_has_no_shuffle(spark, tmp_path):
+    import io
+    import contextlib
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_quantity")
+    od = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderstatus")
+    sinks.write_bucketed(li, "b_lineitem", ["l_orderkey"], 8, str(tmp_path / "bl"))
+    sinks.write_bucketed(od, "b_orders", ["o_orderkey"], 8, str(tmp_path / "bo"))
+    j = spark.table("b_lineitem").join(spark.table("b_orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        j.explain()
+    plan = buf.getvalue()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert j.count() == li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).count()
+    spark.sql("DROP TABLE b_lineitem")
+    spark.sql("DROP TABLE b_orders")
