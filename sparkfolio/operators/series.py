@@ -19,15 +19,18 @@ def chrono_split(df: DataFrame, train_end: str, test_start: str, date: str = "da
     train: dates <= train_end (inclusive slice), test: dates >= test_start;
     validation is the last ``validation_split`` of the *training samples*
     (a sample exists from the ``time_step``-th training day on), cut with
-    integer arithmetic: ``split_at = floor(n_samples * (1 - v))``."""
+    integer arithmetic: ``split_at = floor(n_samples * (1 - v))``.
+    All windows are partitioned by symbol only (training positions are running
+    counts), so they share one exchange with the scaling and lag windows."""
     d = F.col(date)
     is_train = d <= F.lit(train_end).cast("date")
     is_test = d >= F.lit(test_start).cast("date")
-    w = Window.partitionBy(symbol, is_train).orderBy(date)
-    wn = Window.partitionBy(symbol, is_train)
+    upto = Window.partitionBy(symbol).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(symbol)
+    t = is_train.cast("int")
+    out = (df.withColumn("_r", F.sum(t).over(upto) - 1)
+             .withColumn("_n", F.sum(t).over(whole)))
     keep_num = int(round((1 - validation_split) * 1000))
-    out = (df.withColumn("_r", F.row_number().over(w) - 1)
-             .withColumn("_n", F.count(F.lit(1)).over(wn)))
     n_samples = F.greatest(F.col("_n") - time_step, F.lit(0))
     split_at = F.floor(n_samples * F.lit(keep_num) / F.lit(1000))
     label = (F.when(is_test, "test")
@@ -37,6 +40,18 @@ def chrono_split(df: DataFrame, train_end: str, test_start: str, date: str = "da
     return out.withColumn("split", label).drop("_r", "_n")
 
 
+def with_minmax(df: DataFrame, value: str, fit_rows: Column, out: str = "scaled",
+                symbol: str = "symbol") -> DataFrame:
+    """M18 fit + apply in one window pass: ``mn``/``mx`` are the min/max of
+    ``value`` over the rows selected by ``fit_rows`` within the symbol."""
+    whole = Window.partitionBy(symbol)
+    v = F.when(fit_rows, F.col(value))
+    j = df.withColumn("mn", F.min(v).over(whole)).withColumn("mx", F.max(v).over(whole))
+    rng = F.col("mx") - F.col("mn")
+    return j.withColumn(out, F.when(rng == 0, F.col(value) - F.col("mn"))
+                        .otherwise((F.col(value) - F.col("mn")) / rng))
+
+
 def fit_minmax(train: DataFrame, value: str, symbol: str = "symbol") -> DataFrame:
     """M18 fit: one (symbol, mn, mx) row per symbol."""
     return train.groupBy(symbol).agg(F.min(value).alias("mn"), F.max(value).alias("mx"))
@@ -62,14 +77,24 @@ def minmax_inverse(c, mn: Column | None = None, mx: Column | None = None) -> Col
 
 
 def lag_windows(df: DataFrame, value: str, time_step: int = 30, date: str = "date",
-                partition: list[str] | None = None, x: str = "x", y: str = "y") -> DataFrame:
+                partition: list[str] | None = None, x: str = "x", y: str = "y",
+                segment: str | None = None) -> DataFrame:
     """W5 + W6: ``x`` = the previous ``time_step`` values (oldest first),
     ``y`` = the current value; rows without a full window are dropped, so a
-    series of n rows yields n - time_step samples, each keeping its date."""
+    series of n rows yields n - time_step samples, each keeping its date.
+
+    ``segment`` names a column of contiguous date ranges (e.g. train / test):
+    a window must lie inside the current row's segment, checked with the same
+    window frame instead of a second partitioning."""
     partition = partition or ["symbol"]
     w = Window.partitionBy(*partition).orderBy(date).rowsBetween(-time_step, -1)
     out = df.withColumn(x, F.collect_list(value).over(w)).withColumn(y, F.col(value))
-    return out.where(F.size(x) == time_step)
+    keep = F.size(x) == time_step
+    if segment:
+        out = out.withColumn("_segs", F.collect_list(segment).over(w))
+        keep = keep & F.forall("_segs", lambda s: s == F.col(segment))
+        return out.where(keep).drop("_segs")
+    return out.where(keep)
 
 
 def lags_to_vector(df: DataFrame, x: str = "x", out: str = "features") -> DataFrame:

@@ -34,14 +34,13 @@ def split_prices(spark, sf):
 
 def scaled_prices(spark, sf):
     sp = split_prices(spark, sf)
-    params = S.fit_minmax(sp.where(F.col("split").isin("train", "validation")), "high")
-    return S.minmax_transform(sp, params, "high", "scaled")
+    return S.with_minmax(sp, "high", F.col("split").isin("train", "validation"))
 
 
 def windows(spark, sf):
     sc = scaled_prices(spark, sf).where(F.col("split") != "out")
     sc = sc.withColumn("side", F.when(F.col("split") == "test", "test").otherwise("train"))
-    return S.lag_windows(sc, "scaled", STEP, partition=["symbol", "side"])
+    return S.lag_windows(sc, "scaled", STEP, segment="side")
 
 
 BASE_CTE = f"""
