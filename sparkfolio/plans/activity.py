@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from sparkfolio.functions.arith import round_sql
 from sparkfolio.operators import profile, segments
 from sparkfolio.plans.registry import query
+from sparkfolio.plans.stages import stage
 from sparkfolio.sources.tables import load
 
 ENGAGEMENT = (27, 25)
@@ -63,12 +64,18 @@ def sleep_log(spark, sf):
                      (asleep + F.lit(15) + k % 45).alias("TotalTimeInBed"))
 
 
-def merged_daily(spark, sf):
+def build_merged_daily(spark, sf):
     m = segments.merge_daily_sleep(daily_activity(spark, sf), sleep_log(spark, sf),
                                    sleep_order="event_id")
     return segments.with_derived_metrics(m)
 
 
+def merged_daily(spark, sf):
+    """The merged daily table (CREATE TABLE AS): built once per input
+    version, then read by every report."""
+    return stage(spark, sf, "daily_merged", ["events"], lambda: build_merged_daily(spark, sf))
+
+
 def hourly_tables(spark, sf):
     """Hourly steps / calories / intensities keyed by (Id, Date, Hour).
 

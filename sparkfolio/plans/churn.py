@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from sparkfolio.functions.arith import round_half, round_sql
 from sparkfolio.operators import ml
 from sparkfolio.plans.registry import query
+from sparkfolio.plans.stages import stage
 from sparkfolio.session import ensure_checkpoint_dir
 from sparkfolio.sources.sinks import write_json
 from sparkfolio.sources.tables import load, table_path
@@ -29,6 +30,11 @@ FIXED_CUT = 2000  # A20 fixed-formula classifier: n_chars >= cut
 
 
 def doc_features(spark, sf):
+    """Stage table: per-document features over the whole texts, built once."""
+    return stage(spark, sf, "doc_features", ["documents"], lambda: build_doc_features(spark, sf))
+
+
+def build_doc_features(spark, sf):
     d = load(spark, sf, "documents")
     return d.select("doc_id", "n_chars",
                     F.regexp_count("text", F.lit(r"\S+")).cast("bigint").alias("n_words"),

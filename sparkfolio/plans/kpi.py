@@ -22,6 +22,7 @@ from sparkfolio.functions.coerce import zero_pad
 from sparkfolio.functions.synonyms import EXACT_ACCOUNT_MAP
 from sparkfolio.operators import kpi
 from sparkfolio.plans.registry import query
+from sparkfolio.plans.stages import stage
 from sparkfolio.sources.tables import load
 
 # Stand-in statement lines: (statement, label, amount expression over the
@@ -65,6 +66,12 @@ SALT = 64
 
 
 def entity_year_sums(spark, sf):
+    """Stage table (one row per nation and year), built once per input version."""
+    return stage(spark, sf, "entity_year_sums", ["lineitem", "orders", "supplier", "nation"],
+                 lambda: build_entity_year_sums(spark, sf))
+
+
+def build_entity_year_sums(spark, sf):
     """Exact per-(nation, year) money sums.
 
     Per line the work is 64-bit integer arithmetic (cents x basis points),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sparkfolio.functions.arith import round_half, round_sql
 from sparkfolio.operators import series as S
 from sparkfolio.plans.registry import query
+from sparkfolio.plans.stages import stage
 from sparkfolio.sources.readers import price_history
 from sparkfolio.sources.tables import load
 
@@ -21,6 +22,11 @@ STEP = 30
 
 
 def daily_prices(spark, sf):
+    """Stage table: the daily high per symbol, built once per input version."""
+    return stage(spark, sf, "daily_prices", ["orders"], lambda: build_daily_prices(spark, sf))
+
+
+def build_daily_prices(spark, sf):
     o = load(spark, sf, "orders")
     d = o.groupBy(F.col("o_orderpriority").alias("symbol"),
                   F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("high"))

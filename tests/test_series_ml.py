@@ -173,3 +173,11 @@ def test_stratified_split_hash_path(spark):
             share[r.y] += r["count"]
     for y in tot:
         assert abs(share[y] / tot[y] - 0.2) < 0.02
+
+
+def test_lag_windows_stay_inside_segment(spark):
+    df = _series(spark, 70).withColumn(
+        "side", F.when(F.col("date") >= F.lit("2022-12-20").cast("date"), "test").otherwise("train"))
+    w = S.lag_windows(df, "high", 10, segment="side").collect()
+    n_train = sum(1 for r in df.collect() if r.side == "train")
+    assert len(w) == (n_train - 10) + (70 - n_train - 10)
