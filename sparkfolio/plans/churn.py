@@ -9,7 +9,6 @@ computed before the join so the large text column never crosses a shuffle.
 
 from __future__ import annotations
 
-import hashlib
 import os
 
 from pyspark.errors import AnalysisException
@@ -18,10 +17,10 @@ from pyspark.sql import functions as F
 from sparkfolio.functions.arith import round_half, round_sql
 from sparkfolio.operators import ml
 from sparkfolio.plans.registry import query
-from sparkfolio.plans.stages import stage
+from sparkfolio.plans.stages import input_key, stage
 from sparkfolio.session import ensure_checkpoint_dir
 from sparkfolio.sources.sinks import write_json
-from sparkfolio.sources.tables import load, table_path
+from sparkfolio.sources.tables import load
 
 NUMERIC = ["n_chars", "n_words", "n_lines"]
 CATEGORICAL = ["lang", "source"]
@@ -52,11 +51,12 @@ def split_table(spark, sf):
 
 
 def split_materialised(spark, sf):
-    """The split written once to the shared checkpoint folder: statistics
-    and every iterative fit read it instead of re-deriving text features,
-    and a lost executor re-reads files rather than replaying the lineage."""
-    ensure_checkpoint_dir(spark)
-    return split_table(spark, sf).checkpoint(eager=True)
+    """The split as a stage table in the shared checkpoint folder: statistics,
+    every iterative fit and the split query read it instead of re-deriving
+    text features and ranks, and a lost executor re-reads files rather than
+    replaying the lineage."""
+    return stage(spark, sf, "labelled_split", ["documents", "labels"],
+                 lambda: split_table(spark, sf))
 
 
 BASE_CTE = """
@@ -79,7 +79,7 @@ sp AS (SELECT *, CASE WHEN rk < CEIL(n * 200 / 1000) THEN 'validation' ELSE 'tra
 @query("stratified_split", BASE_CTE + "SELECT doc_id, label, split FROM sp")
 def stratified_split(spark, sf):
     """M6: repeatable stratified 80/20 split."""
-    return split_table(spark, sf).select("doc_id", "label", "split")
+    return split_materialised(spark, sf).select("doc_id", "label", "split")
 
 
 def _num_sql(c):
@@ -183,10 +183,7 @@ def train_params(spark, sf) -> dict:
 def artifact_path(spark, sf) -> str:
     """Shared-folder location of the artifact for the current input files
     (keyed by path, size and modification time: new data -> new artifact)."""
-    files = (spark.read.format("binaryFile")
-             .load([table_path(sf, "documents"), table_path(sf, "labels")])
-             .select("path", "length", "modificationTime").collect())
-    key = hashlib.md5(repr(sorted(tuple(r) for r in files)).encode()).hexdigest()
+    key = input_key(spark, sf, ["documents", "labels"])
     return os.path.join(ensure_checkpoint_dir(spark), "artifacts", key)
 
 
