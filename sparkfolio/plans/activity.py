@@ -76,24 +76,36 @@ def merged_daily(spark, sf):
     return stage(spark, sf, "daily_merged", ["events"], lambda: build_merged_daily(spark, sf))
 
 
-def hourly_tables(spark, sf):
-    """Hourly steps / calories / intensities keyed by (Id, Date, Hour).
-
-    The keys are taken from the wall-clock timestamp without any time-zone
-    conversion (``to_date`` and ``hour`` of a timestamp_ntz), and ``Time`` is
-    the 'HH:00:00' text of the reference files."""
+def build_hourly(spark, sf):
+    """One aggregation of ``events`` per (Id, Date, Hour) carrying all three
+    hourly measures and their source-row counts.  The keys come from the
+    wall-clock timestamp without any time-zone conversion (``to_date`` and
+    ``hour`` of a timestamp_ntz)."""
     ev = _events(spark, sf)
     keys = [F.col("user_id").alias("Id"), F.to_date("ts").alias("Date"),
             F.hour("ts").alias("Hour")]
-    steps = ev.groupBy(*keys).agg(
-        F.round(F.sum("value") * F.lit(100.0)).cast("bigint").alias("StepTotal"))
-    cal = (ev.where(F.col("event_type") != "error").groupBy(*keys)
-           .agg((F.lit(60) + F.lit(7) * F.count(F.lit(1))).alias("Calories")))
-    inten = (ev.where(F.col("event_type") != "signup").groupBy(*keys)
-             .agg((F.lit(3) * F.count(F.lit(1))).alias("TotalIntensity")))
-    inten = inten.withColumn("AverageIntensity", F.col("TotalIntensity") / F.lit(60.0))
-    return tuple(t.withColumn("Time", F.format_string("%02d:00:00", F.col("Hour")))
-                 for t in (steps, cal, inten))
+    n_if = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+    return ev.groupBy(*keys).agg(
+        F.round(F.sum("value") * F.lit(100.0)).cast("bigint").alias("StepTotal"),
+        n_if(F.col("event_type") != "error").alias("n_cal"),
+        n_if(F.col("event_type") != "signup").alias("n_int"))
+
+
+def hourly_tables(spark, sf):
+    """Hourly steps / calories / intensities keyed by (Id, Date, Hour), with
+    the 'HH:00:00' ``Time`` text of the reference files: three projections of
+    one stage table (an hour has a calories / intensities row only when it
+    has a source event for it)."""
+    h = stage(spark, sf, "hourly", ["events"], lambda: build_hourly(spark, sf))
+    h = h.withColumn("Time", F.format_string("%02d:00:00", F.col("Hour")))
+    keys = ["Id", "Date", "Hour", "Time"]
+    steps = h.select(*keys, "StepTotal")
+    cal = h.where(F.col("n_cal") > 0).select(
+        *keys, (F.lit(60) + F.lit(7) * F.col("n_cal")).alias("Calories"))
+    inten = h.where(F.col("n_int") > 0).select(
+        *keys, (F.lit(3) * F.col("n_int")).alias("TotalIntensity"),
+        (F.lit(3) * F.col("n_int") / F.lit(60.0)).alias("AverageIntensity"))
+    return steps, cal, inten
 
 
 # ---- oracle SQL building blocks (same stand-in definitions) ------------------------
