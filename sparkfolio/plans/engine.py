@@ -209,3 +209,26 @@ def party_union(spark, sf):
         F.col("s_suppkey").alias("party_id"), F.lit("supplier").alias("kind"),
         F.col("s_acctbal").alias("acctbal"), F.col("s_nationkey").alias("nationkey_s"))
     return union_by_name([c, s])
+
+
+@query("csv_landing", f"""
+SELECT o_orderpriority, COUNT(*) AS o_orderkey_count,
+       {round_sql('AVG(o_totalprice)', 4)} AS o_totalprice_avg,
+       MAX(CAST(o_custkey AS DOUBLE)) AS o_custkey_max
+FROM orders GROUP BY o_orderpriority
+""")
+def csv_landing(spark, sf):
+    """S11 + S3 + S1 + A1 on whole tables: orders landed as header CSV part
+    files, read back by glob as all-string columns, aggregated by the facade
+    with per-value number parsing."""
+    import os
+    from sparkfolio.plans.stages import landed_csv
+    from sparkfolio.sources.readers import read_csv_glob
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    path = landed_csv(spark, sf, "orders_csv", ["orders"],
+                      lambda: load(spark, sf, "orders").select(*cols))
+    raw = read_csv_glob(spark, [os.path.join(path, "part-*.csv")], all_string=True,
+                        same_header=True)
+    g = Frame(raw).groupby(["o_orderpriority"]).agg(
+        {"o_orderkey": "count", "o_totalprice": "avg", "o_custkey": "max"})
+    return g.df

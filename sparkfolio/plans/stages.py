@@ -41,3 +41,17 @@ def stage(spark: SparkSession, sf: str, name: str, tables: list[str],
         build().write.mode("overwrite").parquet(path)
         spark.range(1).write.mode("overwrite").json(marker)
     return spark.read.parquet(path)
+
+
+def landed_csv(spark: SparkSession, sf: str, name: str, tables: list[str],
+               build: Callable[[], DataFrame]) -> str:
+    """Land a derived table as header CSV files once per input version
+    and return the folder: the raw-file landing zone of a CSV pipeline."""
+    from sparkfolio.sources.sinks import write_csv
+    path = os.path.join(ensure_checkpoint_dir(spark), "landed",
+                        f"{name}-{input_key(spark, sf, tables)}")
+    marker = path + ".done"
+    if not _fs_glob(spark, os.path.join(marker, "*.json")):
+        write_csv(build(), path)
+        spark.range(1).write.mode("overwrite").json(marker)
+    return path

@@ -76,14 +76,26 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_csv_glob(spark: SparkSession, patterns: list[str], schema=None,
-                  all_string: bool = False, position_col: str | None = None) -> DataFrame:
+                  all_string: bool = False, position_col: str | None = None,
+                  same_header: bool = False) -> DataFrame:
     """S3: first pattern with hits wins; files are unioned by column name
     (a single multi-path read would bind columns by position).
     ``position_col`` attaches a (file, block, row) order key per file, the
-    order that keep-first de-duplication (W3) follows."""
+    order that keep-first de-duplication (W3) follows.
+    ``same_header=True`` is for part files of one writer (thousands of files
+    at scale): one multi-path scan with the first file's header instead of a
+    per-file read and union."""
     from sparkfolio.operators.rows import with_scan_position
     for pat in patterns:
         files = _fs_glob(spark, pat)
+        if files and same_header:
+            names = csv_header(spark, files[0])
+            sch = schema if schema is not None else T.StructType(
+                [T.StructField(n, T.StringType()) for n in names])
+            df = (spark.read.option("header", True).option("nullValue", "\u0000")
+                  .option("emptyValue", "").schema(sch).csv(files))
+            df = df.na.fill("") if all_string else df
+            return with_scan_position(df, position_col) if position_col else df
         if files:
             frames = []
             for f in files:
