@@ -22,7 +22,7 @@ from sparkfolio.functions.coerce import zero_pad
 from sparkfolio.functions.synonyms import EXACT_ACCOUNT_MAP
 from sparkfolio.operators import kpi
 from sparkfolio.plans.registry import query
-from sparkfolio.plans.stages import stage
+from sparkfolio.plans.stages import landed_split, stage
 from sparkfolio.sources.tables import load
 
 # Stand-in statement lines: (statement, label, amount expression over the
@@ -54,6 +54,10 @@ KO_LINES = [
     ("단기차입금", "tax * 2"), ("영업활동현금흐름", "net * 0.4 - disc - tax"),
     ("기타수익", "tax * 0.5"),
 ]
+# statement of each Korean line (the landing split key)
+KO_STATEMENT = {"재고자산": "BS", "유동자산": "BS", "비유동자산": "BS", "유동부채": "BS",
+                "부채총계": "BS", "자본총계": "BS", "현금및현금성자산": "BS", "단기차입금": "BS",
+                "영업활동현금흐름": "CF"}
 REPORT_CODES = [(11011, "1"), (11014, "0.25")]
 PEER_DIGITS = 8
 
@@ -145,17 +149,31 @@ def peer_raw(spark, sf, sums=None):
     parts = []
     for code, k in REPORT_CODES:
         for lab, ex in KO_LINES:
-            parts.append(f"{code}, {_q(lab)}, {_amount(f'({ex}) * {k}')}")
+            st = KO_STATEMENT.get(lab, "IS")
+            parts.append(f"{code}, {_q(st)}, {_q(lab)}, {_amount(f'({ex}) * {k}')}")
     long = sums.selectExpr(
         "entity", "n_nationkey", "year",
-        f"stack({len(parts)}, {', '.join(parts)}) AS (reprt_code, account_nm, amt)")
+        f"stack({len(parts)}, {', '.join(parts)}) AS (reprt_code, requested_sj_div, account_nm, amt)")
     return long.select(
         F.col("entity").alias("peer_corp_name"),
         zero_pad(F.col("n_nationkey").cast("string"), 6).alias("peer_stock_code"),
-        F.col("year").alias("bsns_year"), "reprt_code", "account_nm",
+        F.col("year").alias("bsns_year"), "reprt_code", "requested_sj_div", "account_nm",
         _accounting_text(F.col("amt")).alias("thstrm_amount"))
 
 
+PEER_RAW_SCHEMA = ("peer_corp_name string, bsns_year int, reprt_code int, account_nm string, "
+                   "thstrm_amount string, peer_stock_code string, requested_sj_div string")
+
+
+def peer_raw_landed(spark, sf, sums=None):
+    """The raw peer lines landed once as header CSV split by (stock code,
+    statement) (S12), read back with partition discovery and a declared
+    schema, so zero-padded codes stay text."""
+    path = landed_split(spark, sf, "peer_raw", ["lineitem", "orders", "supplier", "nation"],
+                        lambda: peer_raw(spark, sf, sums), ["peer_stock_code", "requested_sj_div"])
+    return spark.read.option("header", True).schema(PEER_RAW_SCHEMA).csv(path)
+
+
 def melted(spark, sf, sums=None):
     files = statement_files(spark, sf, sums)
     return kpi.melt_statement(files, F.col("report_year"), F.col("report_year") - 1,
@@ -167,7 +185,7 @@ def kpi_table(spark, sf, sums=None):
 
 
 def peer_kpis(spark, sf, sums=None):
-    return kpi.process_peers_raw(peer_raw(spark, sf, sums))
+    return kpi.process_peers_raw(peer_raw_landed(spark, sf, sums))
 
 
 def peer_avg(spark, sf, sums=None):

@@ -55,3 +55,17 @@ def landed_csv(spark: SparkSession, sf: str, name: str, tables: list[str],
         write_csv(build(), path)
         spark.range(1).write.mode("overwrite").json(marker)
     return path
+
+
+def landed_split(spark: SparkSession, sf: str, name: str, tables: list[str],
+                 build: Callable[[], DataFrame], by: list[str]) -> str:
+    """Land a derived table once per input version as header CSV files split
+    into one folder per key combination (S12) and return the root folder."""
+    from sparkfolio.sources.sinks import write_split
+    path = os.path.join(ensure_checkpoint_dir(spark), "landed",
+                        f"{name}-{input_key(spark, sf, tables)}")
+    marker = path + ".done"
+    if not _fs_glob(spark, os.path.join(marker, "*.json")):
+        write_split(build(), path, by)
+        spark.range(1).write.mode("overwrite").json(marker)
+    return path
