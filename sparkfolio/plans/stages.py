@@ -18,6 +18,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkfolio.session import ensure_checkpoint_dir
 from sparkfolio.sources.readers import _fs_glob
@@ -25,9 +26,15 @@ from sparkfolio.sources.tables import table_path
 
 
 def input_key(spark: SparkSession, sf: str, tables: list[str]) -> str:
-    files = (spark.read.format("binaryFile").load([table_path(sf, t) for t in tables])
-             .select("path", "length", "modificationTime").collect())
-    return hashlib.md5(repr(sorted(tuple(r) for r in files)).encode()).hexdigest()
+    """Fingerprint of the input files (count, total size, latest change and an
+    order-free sum of per-file hashes), aggregated on the executors: a table of
+    a million files returns one row to the driver, not its listing."""
+    files = spark.read.format("binaryFile").load([table_path(sf, t) for t in tables])
+    h = F.xxhash64("path", "length", F.col("modificationTime").cast("long"))
+    r = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
+                  F.max("modificationTime").cast("string").alias("mtime"),
+                  F.sum(h.cast("decimal(38,0)")).cast("string").alias("h")).first()
+    return hashlib.md5(f"{sf}|{tables}|{tuple(r)}".encode()).hexdigest()
 
 
 def stage(spark: SparkSession, sf: str, name: str, tables: list[str],

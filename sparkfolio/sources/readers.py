@@ -40,6 +40,17 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return [h.strip("\r") for h in first[0][0].split(",")]
 
 
+def _first_header(spark: SparkSession, pattern: str) -> list[str] | None:
+    """Header of one file matching ``pattern``: the first line of a split that
+    starts at offset 0 (a one-row probe), or None when nothing matches."""
+    try:
+        row = (spark.read.text(pattern)
+               .where(F.col("_metadata.file_block_start") == 0).limit(1).collect())
+    except AnalysisException:
+        return None
+    return [h.strip("\r") for h in row[0][0].split(",")] if row else None
+
+
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV, every column a string, blanks are '' (not NULL).
 
@@ -87,15 +98,18 @@ def read_csv_glob(spark: SparkSession, patterns: list[str], schema=None,
     per-file read and union."""
     from sparkfolio.operators.rows import with_scan_position
     for pat in patterns:
-        files = _fs_glob(spark, pat)
-        if files and same_header:
-            names = csv_header(spark, files[0])
+        if same_header:
+            names = _first_header(spark, pat)
+            if names is None:
+                continue
             sch = schema if schema is not None else T.StructType(
                 [T.StructField(n, T.StringType()) for n in names])
+            # Spark expands the glob itself: the file list never reaches the driver
             df = (spark.read.option("header", True).option("nullValue", "\u0000")
-                  .option("emptyValue", "").schema(sch).csv(files))
+                  .option("emptyValue", "").schema(sch).csv(pat))
             df = df.na.fill("") if all_string else df
             return with_scan_position(df, position_col) if position_col else df
+        files = _fs_glob(spark, pat)
         if files:
             frames = []
             for f in files:
