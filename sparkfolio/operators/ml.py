@@ -226,3 +226,40 @@ def sample_row(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
     return df.orderBy(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))).limit(1)
 
 
+
+
+# ---- M5 as a Spark ML Pipeline -------------------------------------------------------
+def spark_ml_preprocessor(numeric: list[str], categorical: list[str], out: str = "features",
+                          median_error: float = 0.001):
+    """M5 with Spark ML stages: median Imputer -> StandardScaler (mean
+    centred; note Spark scales by the *sample* std) for numerics,
+    StringIndexer (alphabetical, unseen -> extra index) -> OneHotEncoder
+    (dropLast, so an unseen category is all zeros) for categoricals, then a
+    VectorAssembler.  ``median_error`` is the Imputer's quantile error bound
+    (0 = exact, at the cost of a full sort)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
+                                    VectorAssembler)
+    imp_out = [f"{c}__imp" for c in numeric]
+    stages = [Imputer(inputCols=list(numeric), outputCols=imp_out, strategy="median",
+                      relativeError=median_error),
+              VectorAssembler(inputCols=imp_out, outputCol="_num_vec"),
+              StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True,
+                             withStd=True)]
+    idx_out = [f"{c}__idx" for c in categorical]
+    oh_out = [f"{c}__oh" for c in categorical]
+    if categorical:
+        stages += [StringIndexer(inputCols=list(categorical), outputCols=idx_out,
+                                 stringOrderType="alphabetAsc", handleInvalid="keep"),
+                   # the indexer's extra "unseen" index is the last category, which
+                   # dropLast removes: unseen -> all zeros ("keep" here would add a slot)
+                   OneHotEncoder(inputCols=idx_out, outputCols=oh_out, dropLast=True)]
+    stages.append(VectorAssembler(inputCols=["_num_scaled"] + oh_out, outputCol=out))
+    return Pipeline(stages=stages)
+
+
+def vector_feature_names(df: DataFrame, col: str = "features") -> list[str]:
+    """Feature names of an assembled vector, read from its ML attribute metadata."""
+    attrs = df.schema[col].metadata.get("ml_attr", {}).get("attrs", {})
+    pairs = [(a["idx"], a.get("name", str(a["idx"]))) for group in attrs.values() for a in group]
+    return [n for _, n in sorted(pairs)]

@@ -191,10 +191,15 @@ def weekday_profile(merged: DataFrame, rounded: bool = True) -> DataFrame:
             .agg(steps.alias("avg_steps"), sleep.alias("avg_sleep")))
 
 
-def log_utilization(log: DataFrame, id_col: str = "Id") -> DataFrame:
-    """A10 (query 8): total rows and distinct users (exact two-phase distinct)."""
+def log_utilization(log: DataFrame, id_col: str = "Id", approx: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
+    """A10 (query 8): total rows and distinct users.  Exact by default (a
+    two-phase distinct aggregate); ``approx=True`` uses a HyperLogLog++
+    sketch (relative error ``rsd``) whose memory does not grow with users."""
+    distinct = (F.approx_count_distinct(id_col, rsd) if approx
+                else F.count_distinct(id_col))
     return log.agg(F.count(F.lit(1)).alias("total_logs"),
-                   F.count_distinct(id_col).alias("unique_weight_users"))
+                   distinct.alias("unique_weight_users"))
 
 
 def minutes_long(merged: DataFrame) -> DataFrame:

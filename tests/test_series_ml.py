@@ -181,3 +181,25 @@ def test_lag_windows_stay_inside_segment(spark):
     w = S.lag_windows(df, "high", 10, segment="side").collect()
     n_train = sum(1 for r in df.collect() if r.side == "train")
     assert len(w) == (n_train - 10) + (70 - n_train - 10)
+
+
+def test_spark_ml_pipeline_preprocessor(spark, churn):
+    df, num, cat = churn
+    model = ml.spark_ml_preprocessor(num, cat, median_error=0.0).fit(df)
+    out = model.transform(df)
+    names = ml.vector_feature_names(out)
+    n_cats = sum(df.select(c).distinct().count() for c in cat)
+    assert out.first().features.size == len(num) + n_cats == len(names)
+    unseen = df.limit(1).withColumn("gender", F.lit("unseen-value"))
+    vec = model.transform(unseen).first().features.toArray()
+    g_slots = [i for i, n in enumerate(names) if n.startswith("gender__oh")]
+    assert all(vec[i] == 0.0 for i in g_slots)
+
+
+def test_distinct_users_approx(spark):
+    from sparkfolio.operators.segments import log_utilization
+    log = spark.range(5000).select((F.col("id") % 1000).alias("Id"))
+    exact = log_utilization(log).first()
+    approx = log_utilization(log, approx=True).first()
+    assert exact.unique_weight_users == 1000
+    assert abs(approx.unique_weight_users - 1000) <= 50
