@@ -25,6 +25,25 @@ from sparkfolio.sources.readers import _fs_glob
 from sparkfolio.sources.tables import table_path
 
 
+_CODE_KEY: str | None = None
+
+
+def code_key() -> str:
+    """Fingerprint of the package source: a stage built by other code (an
+    older version of these plans) is never read back."""
+    global _CODE_KEY
+    if _CODE_KEY is None:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        h = hashlib.md5()
+        for d, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(d, f), "rb") as fh:
+                        h.update(f.encode() + fh.read())
+        _CODE_KEY = h.hexdigest()[:12]
+    return _CODE_KEY
+
+
 def input_key(spark: SparkSession, sf: str, tables: list[str]) -> str:
     """Fingerprint of the input files (count, total size, latest change and an
     order-free sum of per-file hashes), aggregated on the executors: a table of
@@ -34,7 +53,7 @@ def input_key(spark: SparkSession, sf: str, tables: list[str]) -> str:
     r = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
                   F.max("modificationTime").cast("string").alias("mtime"),
                   F.sum(h.cast("decimal(38,0)")).cast("string").alias("h")).first()
-    return hashlib.md5(f"{sf}|{tables}|{tuple(r)}".encode()).hexdigest()
+    return hashlib.md5(f"{code_key()}|{sf}|{tables}|{tuple(r)}".encode()).hexdigest()
 
 
 def stage(spark: SparkSession, sf: str, name: str, tables: list[str],
