@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfolio.functions.arith import round_half
 from sparkfolio.functions.calendar import weekday_name, weekday_ord
@@ -147,8 +148,13 @@ def engagement(merged: DataFrame, high: int = 60, moderate: int = 45) -> DataFra
 
 
 def split_activity_hour(df: DataFrame, ts_col: str = "ActivityHour") -> DataFrame:
-    """Split an hourly timestamp into (Date, Time) join keys (J3 prerequisite)."""
+    """Split an hourly timestamp into (Date, Time) join keys (J3 prerequisite).
+    Text values are parsed with the C6 formats ('M/d/yyyy h:mm:ss a', then
+    'yyyy-MM-dd HH:mm:ss'); unparseable text gives NULL keys (no join match)."""
+    from sparkfolio.functions.coerce import multi_format_timestamp
     ts = F.col(ts_col)
+    if isinstance(df.schema[ts_col].dataType, T.StringType):
+        ts = multi_format_timestamp(ts)
     return (df.withColumn("Date", F.to_date(ts))
               .withColumn("Time", F.date_format(ts, "HH:mm:ss")))
 

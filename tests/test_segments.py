@@ -55,3 +55,17 @@ def test_reports(spark):
     assert long[3][2] == 700.0
     u = S.log_utilization(spark.createDataFrame([(1,), (1,), (2,)], "Id int")).first()
     assert (u.total_logs, u.unique_weight_users) == (3, 2)
+
+
+def test_hourly_files_split_and_three_way_join(spark):
+    hs = spark.createDataFrame([(1, "4/12/2016 1:00:00 PM", 100), (1, "4/12/2016 2:00:00 PM", 50),
+                                (2, "2016-04-12 13:00:00", 10)], "Id int, ActivityHour string, StepTotal int")
+    hc = spark.createDataFrame([(1, "4/12/2016 1:00:00 PM", 80), (2, "4/12/2016 1:00:00 PM", 60)],
+                               "Id int, ActivityHour string, Calories int")
+    hi = spark.createDataFrame([(1, "4/12/2016 1:00:00 PM", 7), (2, "4/12/2016 1:00:00 PM", 3),
+                                (1, "bad", 9)], "Id int, ActivityHour string, TotalIntensity int")
+    s = S.split_activity_hour(hs)
+    r = s.orderBy("StepTotal").collect()[-1]
+    assert (str(r.Date), r.Time) == ("2016-04-12", "13:00:00")
+    out = S.hourly_profile(s, S.split_activity_hour(hc), S.split_activity_hour(hi)).collect()
+    assert [(x.hour_of_day, x.avg_steps, x.avg_calories, x.avg_intensity) for x in out] == [(13, 55.0, 70.0, 5.0)]
