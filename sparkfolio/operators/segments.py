@@ -214,3 +214,37 @@ def minutes_long(merged: DataFrame) -> DataFrame:
     stack = ", ".join(f"'{lab}', {i + 1}, {n}" for i, (n, lab) in enumerate(MINUTE_LABELS))
     return wide.selectExpr(f"stack({len(MINUTE_LABELS)}, {stack}) "
                            "AS (activity_level, level_ord, avg_minutes)")
+
+
+def daily_merged_from_files(spark, data_dir: str, date_format: str = "M/d/yyyy") -> DataFrame:
+    """The daily ETL over reference-format files: S3 glob (``dailyActivity*merged*.csv``,
+    else ``dailyActivity_*.csv``; error if none), P6 header normalisation,
+    C5 date parsing, W3 keep-first in (file, position) order, S4 optional sleep
+    file (``sleepDay_merged.csv`` or ``sleepDay.csv``, else empty), J2 left
+    merge on (Id, Date), P7 missing minute columns, C7 and C8."""
+    import os
+    from sparkfolio.functions.coerce import to_date_safe, to_number
+    from sparkfolio.sources.readers import normalise_headers, read_csv_glob, _fs_glob
+    pos = "_pos"
+    daily = read_csv_glob(spark, [os.path.join(data_dir, "dailyActivity*merged*.csv"),
+                                  os.path.join(data_dir, "dailyActivity_*.csv")],
+                          all_string=True, position_col=pos)
+    daily = normalise_headers(daily, {"ActivityDate": "Date"})
+    daily = daily.withColumn("Date", to_date_safe("Date", date_format))
+    numeric = [c for c in daily.columns if c not in ("Id", "Date", pos)]
+    daily = daily.select("Id", "Date", pos, *[to_number(c).alias(c) for c in numeric])
+    sleep = None
+    for name in ("sleepDay_merged.csv", "sleepDay.csv"):
+        path = os.path.join(data_dir, name)
+        if _fs_glob(spark, path):
+            s = normalise_headers(read_csv_glob(spark, [path], all_string=True,
+                                                position_col=pos), {"SleepDay": "Date"})
+            s = s.withColumn("Date", to_date_safe(F.substring_index("Date", " ", 1), date_format))
+            sleep = s.select("Id", "Date", pos, to_number("TotalMinutesAsleep").alias("TotalMinutesAsleep"),
+                             to_number("TotalTimeInBed").alias("TotalTimeInBed"))
+            break
+    if sleep is None:
+        sleep = spark.createDataFrame([], "Id string, Date date, _pos bigint, "
+                                          "TotalMinutesAsleep double, TotalTimeInBed double")
+    merged = merge_daily_sleep(daily, sleep, daily_order=pos, sleep_order=pos)
+    return with_derived_metrics(merged)

@@ -69,3 +69,25 @@ def test_hourly_files_split_and_three_way_join(spark):
     assert (str(r.Date), r.Time) == ("2016-04-12", "13:00:00")
     out = S.hourly_profile(s, S.split_activity_hour(hc), S.split_activity_hour(hi)).collect()
     assert [(x.hour_of_day, x.avg_steps, x.avg_calories, x.avg_intensity) for x in out] == [(13, 55.0, 70.0, 5.0)]
+
+
+def test_daily_etl_from_reference_files(spark, tmp_path):
+    (tmp_path / "dailyActivity_merged.csv").write_text(
+        "Id,ActivityDate,TotalSteps,Calories,VeryActiveMinutes,FairlyActiveMinutes,LightlyActiveMinutes\n"
+        "1,4/12/2016,13162,1985,25,13,328\n1,4/12/2016,999,1,1,1,1\n2,4/13/2016,4000,1500,,2,3\n")
+    (tmp_path / "sleepDay_merged.csv").write_text(
+        "Id,SleepDay,TotalSleepRecords,TotalMinutesAsleep,TotalTimeInBed\n"
+        "1,4/12/2016 12:00:00 AM,1,327,346\n1,4/12/2016 12:00:00 AM,1,1,1\n")
+    m = {(r.Id, str(r.Date)): r for r in S.daily_merged_from_files(spark, str(tmp_path)).collect()}
+    assert len(m) == 2
+    a = m[("1", "2016-04-12")]
+    assert (a.TotalSteps, a.TotalMinutesAsleep, a.TotalActiveMinutes) == (13162.0, 327.0, 366.0)
+    assert abs(a.SleepEfficiency - 100 * 327 / 346) < 1e-12
+    b = m[("2", "2016-04-13")]
+    assert b.TotalMinutesAsleep is None and b.TotalActiveMinutes == 5.0 and b.SedentaryMinutes == 0
+
+
+def test_daily_etl_without_sleep_file(spark, tmp_path):
+    (tmp_path / "dailyActivity_a.csv").write_text("Id,ActivityDate,TotalSteps\n3,5/1/2016,10\n")
+    rows = S.daily_merged_from_files(spark, str(tmp_path)).collect()
+    assert len(rows) == 1 and rows[0].TotalMinutesAsleep is None and rows[0].TotalActiveMinutes == 0
