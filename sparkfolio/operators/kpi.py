@@ -177,3 +177,33 @@ def vs_peer(entity: DataFrame, peer_avg: DataFrame, metrics=PEER_KPIS,
     j = aligned.join(F.broadcast(peer_avg), "year", "left")
     return j.withColumns({f"{m}_vs_peer_mean": F.col(m) - F.col(f"{m}_mean")
                           for m in metrics if f"{m}_mean" in peer_avg.columns})
+
+
+# ---- pipelines over reference-format files -------------------------------------------
+def entity_kpis_from_files(spark, statements: dict[str, str], current_year: int,
+                           prior_year: int, company: str, ticker: str,
+                           unit: float = 1e8) -> tuple[DataFrame, DataFrame]:
+    """Statement files (one per IS / BS / CF, columns ``account_en,
+    current_amount, prior_amount``, landed as CSV - S9 re-aimed) -> tidy lines
+    (R1 + C3 + U2) and the KPI table with ratios (A11 + C13 + C16 + C17).
+    Returns (long, kpis)."""
+    from functools import reduce
+    from sparkfolio.sources.readers import read_csv_typed
+    schema = "account_en string, current_amount string, prior_amount string"
+    parts = [melt_statement(read_csv_typed(spark, path, schema), current_year, prior_year, st)
+             for st, path in statements.items()]
+    long = reduce(lambda a, b: a.unionByName(b), parts)
+    kpis = add_ratios(compute_kpis(long, unit=unit))
+    kpis = kpis.select(F.lit(company).alias("company"), F.lit(ticker).alias("ticker"), "*")
+    return long, kpis
+
+
+def peer_kpis_from_dirs(spark, dirs: list[str], mode: str = "substring") -> DataFrame | None:
+    """Raw peer files (``*_IS_raw.csv`` / ``*_BS_raw.csv`` / ``*_CF_raw.csv``,
+    first folder with hits wins - S6) -> per-peer KPI table (C14 + C3 + A12 +
+    C17); None when no file is found."""
+    from sparkfolio.sources.readers import read_statement_globs
+    raw = read_statement_globs(spark, dirs)
+    if raw is None:
+        return None
+    return process_peers_raw(raw, mode=mode)

@@ -263,3 +263,17 @@ def vector_feature_names(df: DataFrame, col: str = "features") -> list[str]:
     attrs = df.schema[col].metadata.get("ml_attr", {}).get("attrs", {})
     pairs = [(a["idx"], a.get("name", str(a["idx"]))) for group in attrs.values() for a in group]
     return [n for _, n in sorted(pairs)]
+
+
+def load_churn_csv(spark, path: str, target: str = "Churn", drop=("customerID",),
+                   numeric_text=("TotalCharges",)) -> DataFrame:
+    """Churn table loader: header CSV with inferred types, text totals
+    coerced to numbers (C4: blanks -> NULL), Yes/No target -> 1/0 (C15), the
+    id column dropped if present (P4)."""
+    from sparkfolio.functions.coerce import to_number, yes_no_flag
+    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    for c in numeric_text:
+        if c in df.columns:
+            df = df.withColumn(c, to_number(c))
+    df = df.withColumn(target, yes_no_flag(target))
+    return df.drop(*[c for c in drop if c in df.columns])

@@ -118,3 +118,29 @@ def test_peer_substring_mapping_and_pivot(spark):
     assert r.ad_ratio == 0.0 and r.sga_ratio is None
     exact = kpi.process_peers_raw(raw, mode="exact").collect()[0]
     assert close(exact.sales, 10.0)
+
+
+def test_entity_pipeline_from_statement_files(spark, tmp_path):
+    (tmp_path / "IS.csv").write_text('account_en,current_amount,prior_amount\n'
+                                     'Revenue,"200,000,000","100,000,000"\n'
+                                     'Operating income,"(20,000,000)","10,000,000"\n')
+    (tmp_path / "BS.csv").write_text('account_en,current_amount,prior_amount\n'
+                                     'Current assets,"300,000,000",\n'
+                                     'Current liabilities,"100,000,000","50,000,000"\n')
+    long, kpis = kpi.entity_kpis_from_files(
+        spark, {"IS": str(tmp_path / "IS.csv"), "BS": str(tmp_path / "BS.csv")}, 2024, 2023, "Co", "CO")
+    assert long.count() == 7  # the blank prior amount is dropped
+    rows = {r.year: r for r in kpis.collect()}
+    assert rows[2024].Revenue == 2.0 and rows[2024].OperatingIncome == -0.2
+    assert close(rows[2024].OpMargin, -0.2 / (2.0 + 1e-9))
+    assert rows[2023].CurrentAssets == 0.0 and close(rows[2024].CurrentRatio, 3.0 / (1.0 + 1e-9))
+    assert rows[2024].company == "Co"
+
+
+def test_peer_pipeline_from_dirs(spark, tmp_path):
+    assert kpi.peer_kpis_from_dirs(spark, [str(tmp_path)]) is None
+    (tmp_path / "000001_IS_raw.csv").write_text(
+        "peer_corp_name,peer_stock_code,bsns_year,reprt_code,account_nm,thstrm_amount\n"
+        'A,000001,2023,11011,매출액,"500,000,000"\nA,000001,2023,11011,영업이익,"50,000,000"\n')
+    p = kpi.peer_kpis_from_dirs(spark, [str(tmp_path)]).first()
+    assert p.sales == 5.0 and close(p.op_margin, 0.5 / (5.0 + 1e-9))

@@ -203,3 +203,9 @@ def test_distinct_users_approx(spark):
     approx = log_utilization(log, approx=True).first()
     assert exact.unique_weight_users == 1000
     assert abs(approx.unique_weight_users - 1000) <= 50
+
+
+def test_load_churn_csv(spark, fix):
+    df = ml.load_churn_csv(spark, fix("churn_sample.csv"))
+    assert dict(df.dtypes)["TotalCharges"] == "double" and dict(df.dtypes)["Churn"] == "int"
+    assert df.where("Churn = 1").count() == 15 and "customerID" not in df.columns
