@@ -123,3 +123,26 @@ def rmse(df: DataFrame, actual: str, pred: str, by: list[str] | None = None) ->
     """``sqrt(mean((actual - pred)^2))`` (per group when ``by``)."""
     e = F.sqrt(F.avg(F.pow(F.col(actual) - F.col(pred), 2))).alias("rmse")
     return df.groupBy(*(by or [])).agg(e, F.count(F.lit(1)).alias("n"))
+
+
+def prepare_windows(prices: DataFrame, train_end: str, test_start: str,
+                    time_step: int = 30, value: str = "high") -> DataFrame:
+    """M19 + M18 + W5 over ``(symbol, date, value)``: split labels, min-max
+    fitted on the training rows, windows that never cross the train / test
+    boundary.  One symbol partitioning for every step."""
+    sp = chrono_split(prices, train_end, test_start, time_step=time_step)
+    sc = with_minmax(sp, value, F.col("split").isin("train", "validation")).where(F.col("split") != "out")
+    sc = sc.withColumn("side", F.when(F.col("split") == "test", "test").otherwise("train"))
+    return lag_windows(sc, "scaled", time_step, segment="side")
+
+
+def forecast_report(prices: DataFrame, train_end: str, test_start: str, time_step: int = 30,
+                    value: str = "high", kind: str = "linear") -> tuple[DataFrame, DataFrame]:
+    """M20 + M21 + A19: fit on training windows, predict the test windows,
+    return (per-date actual vs predicted prices, RMSE per symbol)."""
+    w = prepare_windows(prices, train_end, test_start, time_step, value)
+    model = fit_forecaster(w.where(F.col("split") == "train"), kind=kind)
+    p = predict(model, w.where(F.col("split") == "test"))
+    table = p.select("symbol", "date", minmax_inverse("y").alias("actual"),
+                     minmax_inverse("pred").alias("predicted"))
+    return table, rmse(table, "actual", "predicted", by=["symbol"])

@@ -44,9 +44,7 @@ def scaled_prices(spark, sf):
 
 
 def windows(spark, sf):
-    sc = scaled_prices(spark, sf).where(F.col("split") != "out")
-    sc = sc.withColumn("side", F.when(F.col("split") == "test", "test").otherwise("train"))
-    return S.lag_windows(sc, "scaled", STEP, segment="side")
+    return S.prepare_windows(daily_prices(spark, sf), TRAIN_END, TEST_START, STEP)
 
 
 BASE_CTE = f"""
@@ -131,7 +129,5 @@ def forecast(spark, sf):
 @query("prediction_vs_actual")
 def prediction_vs_actual(spark, sf):
     """M21 + A19: test dates with inverse-scaled actual and predicted prices."""
-    p = _forecast(spark, sf)
-    return p.select("symbol", "date",
-                    S.minmax_inverse("y").alias("actual"),
-                    S.minmax_inverse("pred").alias("predicted"))
+    table, _ = S.forecast_report(daily_prices(spark, sf), TRAIN_END, TEST_START, STEP)
+    return table

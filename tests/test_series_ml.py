@@ -209,3 +209,12 @@ def test_load_churn_csv(spark, fix):
     df = ml.load_churn_csv(spark, fix("churn_sample.csv"))
     assert dict(df.dtypes)["TotalCharges"] == "double" and dict(df.dtypes)["Churn"] == "int"
     assert df.where("Churn = 1").count() == 15 and "customerID" not in df.columns
+
+
+def test_forecast_report_learns_linear_series(spark):
+    start = dt.date(2021, 1, 1)
+    rows = [("L", start + dt.timedelta(days=i), 100.0 + i) for i in range(800)]
+    df = spark.createDataFrame(rows, "symbol string, date date, high double")
+    table, r = S.forecast_report(df, "2022-06-30", "2022-07-01")
+    assert table.count() == 800 - 546 - 30
+    assert r.first().rmse < 1e-6
