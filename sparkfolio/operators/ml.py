@@ -277,3 +277,19 @@ def load_churn_csv(spark, path: str, target: str = "Churn", drop=("customerID",)
             df = df.withColumn(c, to_number(c))
     df = df.withColumn(target, yes_no_flag(target))
     return df.drop(*[c for c in drop if c in df.columns])
+
+
+def run_benchmark(train: DataFrame, val: DataFrame, numeric: list[str], categorical: list[str],
+                  label: str = "label", seed: int = 42):
+    """M5 + M7-M13 + A20: fit the preprocessor on ``train``, train every model
+    of the zoo, score ``val`` with the exact AUC.  Returns (preprocessor,
+    leaderboard rows (name, type, auc) best first, {name: fitted model})."""
+    prep = Preprocessor.fit(train, numeric, categorical)
+    tr, va = prep.transform(train), prep.transform(val)
+    rows, models = [], {}
+    for name, kind, est in model_zoo(len(prep.feature_names), label=label, seed=seed):
+        model = est.fit(tr)
+        scored = positive_probability(model.transform(va))
+        rows.append((name, kind, auc_exact(scored, "score", label).first()["auc"]))
+        models[name] = model
+    return prep, leaderboard(rows), models

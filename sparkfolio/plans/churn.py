@@ -137,27 +137,19 @@ def auc_known(spark, sf):
 
 
 def fit_benchmark(spark, sf):
-    """Fit the preprocessor on the training split, train every model, score
-    the validation split; returns (preprocessor, [(name, type, auc, model)])."""
+    """Preprocessor + every model on the training split, exact AUC on the
+    validation split; returns the leaderboard rows, best first."""
     data = split_materialised(spark, sf)
-    train = data.where(F.col("split") == "train")
-    val = data.where(F.col("split") == "validation")
-    prep = ml.Preprocessor.fit(train, NUMERIC, CATEGORICAL)
-    tr, va = prep.transform(train), prep.transform(val)
-    out = []
-    for name, kind, est in ml.model_zoo(len(prep.feature_names)):
-        model = est.fit(tr)
-        scored = ml.positive_probability(model.transform(va))
-        auc = ml.auc_exact(scored, "score", "label").first()["auc"]
-        out.append((name, kind, auc, model))
-    return prep, out
+    _, rows, _ = ml.run_benchmark(data.where(F.col("split") == "train"),
+                                  data.where(F.col("split") == "validation"),
+                                  NUMERIC, CATEGORICAL, seed=SEED)
+    return rows
 
 
 @query("leaderboard")
 def leaderboard(spark, sf):
     """M7-M13 + A20 + O6: every model's validation AUC, best first."""
-    _, res = fit_benchmark(spark, sf)
-    rows = ml.leaderboard([(n, k, a) for n, k, a, _ in res])
+    rows = fit_benchmark(spark, sf)
     return spark.createDataFrame([(i + 1, n, k, a) for i, (n, k, a) in enumerate(rows)],
                                  "rank int, name string, type string, auc double")
 

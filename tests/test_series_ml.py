@@ -218,3 +218,14 @@ def test_forecast_report_learns_linear_series(spark):
     table, r = S.forecast_report(df, "2022-06-30", "2022-07-01")
     assert table.count() == 800 - 546 - 30
     assert r.first().rmse < 1e-6
+
+
+def test_run_benchmark_on_churn_sample(spark, churn):
+    df, num, cat = churn
+    df = df.withColumnRenamed("label", "label").withColumn("rid", F.monotonically_increasing_id())
+    sp = ml.stratified_split(df, "label", "rid")
+    prep, board, models = ml.run_benchmark(sp.where("split = 'train'"), sp.where("split = 'validation'"),
+                                           num, cat)
+    assert [r[0] for r in board] and len(board) == 5 and set(models) == {r[0] for r in board}
+    aucs = [r[2] for r in board]
+    assert aucs == sorted(aucs, reverse=True) and all(0.0 <= a <= 1.0 for a in aucs)
