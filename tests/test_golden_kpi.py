@@ -25,15 +25,15 @@ def close(a, b, rel=1e-9):
 def metrics(spark, fix):
     schema = "company string, ticker string, year int, " + ", ".join(
         f"{c} double" for c in METRICS + RATIOS)
-    return read_csv_typed(spark, fix("metrics_jion.csv"), schema)
+    return read_csv_typed(spark, fix("entity_metrics.csv"), schema)
 
 
 def test_g1_g2_kpi_pivot_and_ratios(spark, fix):
-    long = read_csv_typed(spark, fix("jion_long.csv"),
+    long = read_csv_typed(spark, fix("statement_lines.csv"),
                           "year int, statement string, account_en string, amount double")
     wide = kpi.add_ratios(kpi.compute_kpis(long))
     got = {r.year: r.asDict() for r in wide.collect()}
-    exp = pd.read_csv(fix("metrics_jion.csv"))
+    exp = pd.read_csv(fix("entity_metrics.csv"))
     for _, row in exp.iterrows():
         g = got[int(row.year)]
         for c in METRICS + RATIOS:
@@ -46,7 +46,7 @@ def test_g3_first_last_change(metrics, fix):
     wide = kpi.first_last_wide(kpi.first_last_change(metrics, cols))
     got = {r.Metric: r for r in wide.collect()}
     assert set(wide.columns) == {"Metric", "2023", "2024", "Change_pct"}
-    exp = pd.read_csv(fix("jion_summary.csv"))
+    exp = pd.read_csv(fix("entity_change_summary.csv"))
     assert len(exp) == len(got) == 12
     for _, row in exp.iterrows():
         g = got[row.Metric]
@@ -63,12 +63,12 @@ def test_w1_pct_change_first_null(metrics):
 def _peers(spark, fix):
     schema = ("peer_corp_name string, peer_stock_code string, year int, " +
               ", ".join(f"{m} double" for m in kpi.PEER_KPIS))
-    return read_csv_typed(spark, fix("metrics_peers.csv"), schema)
+    return read_csv_typed(spark, fix("peer_metrics.csv"), schema)
 
 
 def test_g4_peer_means_with_carry(spark, fix):
     got = {r.year: r.asDict() for r in kpi.peer_mean_by_year(_peers(spark, fix)).collect()}
-    exp = pd.read_csv(fix("peer_avg_by_year.csv"))
+    exp = pd.read_csv(fix("peer_means_by_year.csv"))
     assert sorted(got) == sorted(int(y) for y in exp.year)
     for _, row in exp.iterrows():
         for m in kpi.PEER_KPIS:
@@ -79,7 +79,7 @@ def test_g4_peer_means_with_carry(spark, fix):
 def test_g5_vs_peer(spark, fix, metrics):
     peer_avg = kpi.peer_mean_by_year(_peers(spark, fix))
     got = {r.year: r.asDict() for r in kpi.vs_peer(metrics, peer_avg).collect()}
-    exp = pd.read_csv(fix("jion_vs_peer_avg.csv"))
+    exp = pd.read_csv(fix("entity_vs_peer.csv"))
     for _, row in exp.iterrows():
         for m in kpi.PEER_KPIS:
             assert close(got[int(row.year)][f"{m}_vs_peer_mean"], float(row[f"{m}_vs_peer_mean"]), 1e-9)

@@ -49,12 +49,12 @@ def test_artifact_is_reused(spark):
     assert a == b
 
 
-def test_sales_target_group_sum(spark, fix):
+def test_monthly_targets_group_sum(spark, fix):
     from sparkfolio.operators.frame import Frame
-    f = Frame.read_csv(spark, fix("sales_target.csv"))
+    f = Frame.read_csv(spark, fix("monthly_targets.csv"))
     got = {r.Category: r.Target_sum for r in f.groupby("Category").agg({"Target": "sum"}).df.collect()}
-    exp = pd.read_csv(fix("sales_target.csv")).groupby("Category")["Target"].sum()
+    exp = pd.read_csv(fix("monthly_targets.csv")).groupby("Category")["Target"].sum()
     for k, v in exp.items():
         assert got[k] == pytest.approx(v)
     high = f[f["Target"] > 14000]
-    assert len(high) == int((pd.read_csv(fix("sales_target.csv"))["Target"] > 14000).sum())
+    assert len(high) == int((pd.read_csv(fix("monthly_targets.csv"))["Target"] > 14000).sum())
