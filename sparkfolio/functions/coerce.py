@@ -62,8 +62,7 @@ def accounting_number(c, unit: float | None = None) -> Column:
 
     ``unit`` divides the parsed value (C16, e.g. 1e8)."""
     s = F.translate(_col(c).cast("string"), ",)", "")
-    s = F.trim(F.translate(s, "(", "-"))
-    v = _nan_to_null(s.try_cast("double"))
+    v = python_float(F.translate(s, "(", "-"))
     return v / F.lit(float(unit)) if unit else v
 
 

@@ -38,3 +38,22 @@ def test_try_num_equals_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r.o for r in df.select(try_num(F.col("v")).alias("o")).collect()]
     assert got == [_python_c1(t) for t in texts]
+
+
+def _python_c3(x: str):
+    s = x.replace(",", "").replace("(", "-").replace(")", "").strip()
+    try:
+        v = float(s)
+    except Exception:
+        return None
+    return None if v != v else v
+
+
+@settings(max_examples=60, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet="0123456789.,()-+ eEd_n", max_size=9), min_size=1, max_size=40))
+def test_accounting_number_equals_python(spark, texts):
+    from sparkfolio.functions.coerce import accounting_number
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r.o for r in df.select(accounting_number(F.col("v")).alias("o")).collect()]
+    assert got == [_python_c3(t) for t in texts]
