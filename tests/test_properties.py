@@ -57,3 +57,17 @@ def test_accounting_number_equals_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r.o for r in df.select(accounting_number(F.col("v")).alias("o")).collect()]
     assert got == [_python_c3(t) for t in texts]
+
+
+@settings(max_examples=20, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.integers(0, 99)),
+                     min_size=0, max_size=60))
+def test_keep_first_equals_pandas(spark, rows):
+    import pandas as pd
+    from sparkfolio.operators.rows import keep_first
+    data = [(i, a, b, v) for i, (a, b, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "pos long, a int, b int, v int").repartition(3)
+    got = sorted(tuple(r) for r in keep_first(df, ["a", "b"], "pos").select("a", "b", "pos", "v").collect())
+    pdf = pd.DataFrame(data, columns=["pos", "a", "b", "v"]).drop_duplicates(subset=["a", "b"], keep="first")
+    assert got == sorted((int(r.a), int(r.b), int(r.pos), int(r.v)) for r in pdf.itertuples())
