@@ -16,8 +16,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfolio.functions.arith import sigmoid_dot
+from sparkfolio.functions.coerce import python_float
 from sparkfolio.operators.profile import exact_quantiles
 from sparkfolio.operators.rows import with_group_rank, with_running_sum
 
@@ -114,7 +116,7 @@ class Preprocessor:
         out = []
         for f, med, mean, sc in zip(self.numeric, self.medians, self.means, self.scales):
             raw = F.col(f"`{f}`")
-            x = raw.cast("string").try_cast("double") if scoring else raw.cast("double")
+            x = python_float(raw) if scoring else raw.cast("double")
             x = F.coalesce(F.when(~F.isnan(x), x), F.lit(med))
             out.append(F.lit(0.0) if sc == 0 else (x - F.lit(mean)) / F.lit(sc))
         for f, mode, cats in zip(self.categorical, self.modes, self.categories):
@@ -208,10 +210,13 @@ def score_from_params(df: DataFrame, params: dict, prob: str = "probability",
     feats = []
     for f, med, mean, sc in zip(params["numeric_features"], params["numeric_imputer_medians"],
                                 params["numeric_means"], params["numeric_scales"]):
-        raw = F.col(f"`{f}`") if f in df.columns else F.lit(None).cast("string")
-        t = F.trim(raw.cast("string"))
-        x = F.when(t == "", F.lit(None)).otherwise(t.try_cast("double"))
-        x = F.coalesce(F.when(~F.isnan(x), x), F.lit(float(med)))
+        if f in df.columns and isinstance(df.schema[f].dataType, T.NumericType):
+            x = F.col(f"`{f}`").cast("double")
+            x = F.when(~F.isnan(x), x)
+        else:
+            # missing, blank or non-numeric text -> median (Python float() rules)
+            x = python_float(F.col(f"`{f}`") if f in df.columns else F.lit(None).cast("string"))
+        x = F.coalesce(x, F.lit(float(med)))
         feats.append(F.lit(0.0) if sc == 0 else (x - F.lit(float(mean))) / F.lit(float(sc)))
     for f, cats in zip(params["categorical_features"], params["categories"]):
         raw = F.col(f"`{f}`") if f in df.columns else F.lit(None).cast("string")

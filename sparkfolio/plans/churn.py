@@ -161,14 +161,19 @@ PARAMS_SCHEMA = (
     "coef array<double>, intercept double")
 
 
-def train_params(spark, sf) -> dict:
-    """Artifact of the linear ("SGD") model with its preprocessing,
-    fitted on the training split (statistics and coefficients alike)."""
+def train_params(spark, sf, stats_from: str = "train") -> dict:
+    """Artifact of the linear ("SGD") model with its preprocessing.
+    Coefficients are fitted on the training split.  The exported statistics
+    come from the same split by default; ``stats_from="all"`` refits them on
+    every labelled row, as the reference's export does (coefficients then
+    see slightly different scaling than they were fitted with)."""
     data = split_materialised(spark, sf)
     train = data.where(F.col("split") == "train")
     prep = ml.Preprocessor.fit(train, NUMERIC, CATEGORICAL)
     est = [e for n, _, e in ml.model_zoo(len(prep.feature_names)) if n == "SGDClassifier"][0]
     model = est.fit(prep.transform(train))
+    if stats_from == "all":
+        prep = ml.Preprocessor.fit(data, NUMERIC, CATEGORICAL)
     return prep.params_row(model.coefficients.toArray().tolist(), model.intercept)
 
 

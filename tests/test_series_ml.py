@@ -229,3 +229,20 @@ def test_run_benchmark_on_churn_sample(spark, churn):
     assert [r[0] for r in board] and len(board) == 5 and set(models) == {r[0] for r in board}
     aucs = [r[2] for r in board]
     assert aucs == sorted(aucs, reverse=True) and all(0.0 <= a <= 1.0 for a in aucs)
+
+
+def test_score_rejects_java_suffix_numbers(spark):
+    params = {"numeric_features": ["a"], "numeric_imputer_medians": [2.0], "numeric_means": [0.0],
+              "numeric_scales": [1.0], "categorical_features": [], "categories": [],
+              "coef": [1.0], "intercept": 0.0}
+    df = spark.createDataFrame([("5d",), (" 5 ",)], "a string")
+    got = [r.probability for r in ml.score_from_params(df, params).collect()]
+    assert got[0] == pytest.approx(1 / (1 + np.exp(-2.0)))   # '5d' is not a number -> median
+    assert got[1] == pytest.approx(1 / (1 + np.exp(-5.0)))
+
+
+def test_artifact_stats_from_all_rows(spark):
+    from sparkfolio.plans import churn
+    a = churn.train_params(spark, "/root/testdata/sf0.001")
+    b = churn.train_params(spark, "/root/testdata/sf0.001", stats_from="all")
+    assert a["coef"] == pytest.approx(b["coef"]) and a["numeric_means"] != b["numeric_means"]
