@@ -115,13 +115,13 @@ def slice_rows(df: DataFrame, start=None, stop=None, step=None,
 
 def head_rows(df: DataFrame, n: int = 5, order_by: list | None = None) -> DataFrame:
     """O1: first ``n`` rows, ``n`` clamped at 0.  With a key this is a
-    TakeOrdered (top-k, no full sort); without one, scan order."""
+    TakeOrdered (top-k, no full sort); without one, (file, block, row) scan
+    order - also a top-k, never a full sort."""
     n = max(0, int(n))
     if order_by:
         return df.orderBy(*order_by).limit(n)
     pos = "_head_pos"
-    return (df.withColumn(pos, F.monotonically_increasing_id())
-              .orderBy(pos).limit(n).drop(pos))
+    return with_scan_position(df, pos).orderBy(pos).limit(n).drop(pos)
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:

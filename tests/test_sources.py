@@ -129,3 +129,12 @@ def test_bucketed_join_has_no_shuffle(spark, tmp_path):
     assert j.count() == li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).count()
     spark.sql("DROP TABLE b_lineitem")
     spark.sql("DROP TABLE b_orders")
+
+
+def test_head_follows_file_order(spark, tmp_path):
+    from sparkfolio.operators.frame import Frame
+    _w(tmp_path / "a.csv", "k,v\n" + "".join(f"a{i},{i}\n" for i in range(3)))
+    _w(tmp_path / "b.csv", "k,v\n" + "".join(f"b{i},{i}\n" for i in range(50)))
+    df = spark.read.option("header", True).csv(str(tmp_path))
+    got = [r.k for r in Frame(df).head(4).df.collect()]
+    assert got == ["a0", "a1", "a2", "b0"]
