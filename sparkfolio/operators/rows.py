@@ -38,7 +38,8 @@ def with_scan_position(df: DataFrame, name: str = POS_COL) -> DataFrame:
 
 def with_row_index(df: DataFrame, order_by: list | None = None,
                    name: str = "row_idx", total_name: str | None = None) -> DataFrame:
-    """Dense 0-based index in ``order_by`` order (scan order when omitted).
+    """Dense 0-based index in ``order_by`` order ((file, block, row) scan
+    order when omitted).
 
     ``total_name`` additionally attaches the row count (taken from the same
     bounded offsets table, so no extra job and no driver round trip).
@@ -49,7 +50,8 @@ def with_row_index(df: DataFrame, order_by: list | None = None,
         tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         ordered = df.orderBy(*order_by, tie)
     else:
-        ordered = df
+        # no key: (file, block, row) scan order, the order of the input files
+        ordered = with_scan_position(df, "_scan_key").orderBy("_scan_key").drop("_scan_key")
     tagged = (ordered
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))

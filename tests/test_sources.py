@@ -138,3 +138,11 @@ def test_head_follows_file_order(spark, tmp_path):
     df = spark.read.option("header", True).csv(str(tmp_path))
     got = [r.k for r in Frame(df).head(4).df.collect()]
     assert got == ["a0", "a1", "a2", "b0"]
+
+
+def test_slice_without_key_follows_file_order(spark, tmp_path):
+    from sparkfolio.operators.rows import slice_rows
+    _w(tmp_path / "a.csv", "k\n" + "".join(f"a{i}\n" for i in range(3)))
+    _w(tmp_path / "b.csv", "k\n" + "".join(f"b{i}\n" for i in range(40)))
+    df = spark.read.option("header", True).csv(str(tmp_path))
+    assert [r.k for r in slice_rows(df, 1, 5).collect()] == ["a1", "a2", "b0", "b1"]
