@@ -79,12 +79,23 @@ def add_ratios(wide: DataFrame, ratios=ENTITY_RATIOS, eps: float = EPS) -> DataF
 
 
 def pct_change(df: DataFrame, metrics: list[str], keys: list[str] | None = None,
-               order: str = "year", suffix: str = "_YoY") -> DataFrame:
+               order: str = "year", suffix: str = "_YoY", pad: bool = True) -> DataFrame:
     """``x / previous(x) - 1`` per entity in ``order``; first is NULL and
-    a zero prior gives NULL (pandas gives inf)."""
+    a zero prior gives NULL (pandas gives inf).  ``pad`` forward-fills missing
+    values first, as pandas' default ``fill_method='pad'`` does
+    ([1, NaN, 3] -> [NaN, 0, 2])."""
     w = Window.partitionBy(*(keys or [])).orderBy(order)
-    return df.withColumns({f"{m}{suffix}": F.try_divide(F.col(m), F.lag(m).over(w)) - F.lit(1.0)
-                           for m in metrics})
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = {}
+    for m in metrics:
+        if pad:
+            cur = F.last(m, ignorenulls=True).over(upto)
+            prev = F.last(m, ignorenulls=True).over(before)
+        else:
+            cur, prev = F.col(m), F.lag(m).over(w)
+        out[f"{m}{suffix}"] = F.try_divide(cur, prev) - F.lit(1.0)
+    return df.withColumns(out)
 
 
 def first_last_change(df: DataFrame, metrics: list[str], keys: list[str] | None = None,

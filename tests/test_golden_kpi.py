@@ -144,3 +144,16 @@ def test_peer_pipeline_from_dirs(spark, tmp_path):
         'A,000001,2023,11011,매출액,"500,000,000"\nA,000001,2023,11011,영업이익,"50,000,000"\n')
     p = kpi.peer_kpis_from_dirs(spark, [str(tmp_path)]).first()
     assert p.sales == 5.0 and close(p.op_margin, 0.5 / (5.0 + 1e-9))
+
+
+def test_pct_change_pads_like_pandas(spark):
+    import pandas as pd
+    vals = [1.0, None, 3.0, 0.0, 5.0]
+    df = spark.createDataFrame([(2020 + i, v) for i, v in enumerate(vals)], "year int, x double")
+    got = [r.x_YoY for r in kpi.pct_change(df, ["x"]).orderBy("year").collect()]
+    exp = pd.Series(vals, dtype=float).pct_change(fill_method="pad").tolist()
+    for g, e in zip(got, exp):
+        if e != e or e in (float("inf"), float("-inf")):
+            assert g is None
+        else:
+            assert close(g, e)
