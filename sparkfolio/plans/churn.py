@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from sparkfolio.functions.arith import round_half, round_sql
 from sparkfolio.operators import ml
 from sparkfolio.plans.registry import query
-from sparkfolio.plans.stages import input_key, stage
-from sparkfolio.session import ensure_checkpoint_dir
+from sparkfolio.plans.stages import input_key, stage, stage_root
 from sparkfolio.sources.sinks import write_json
 from sparkfolio.sources.tables import load
 
@@ -181,7 +180,7 @@ def artifact_path(spark, sf) -> str:
     """Shared-folder location of the artifact for the current input files
     (keyed by path, size and modification time: new data -> new artifact)."""
     key = input_key(spark, sf, ["documents", "labels"])
-    return os.path.join(ensure_checkpoint_dir(spark), "artifacts", key)
+    return os.path.join(stage_root(spark, "artifacts"), key)
 
 
 def save_params(spark, p: dict, path: str) -> None:

@@ -56,10 +56,20 @@ def input_key(spark: SparkSession, sf: str, tables: list[str]) -> str:
     return hashlib.md5(f"{code_key()}|{sf}|{tables}|{tuple(r)}".encode()).hexdigest()
 
 
+NAMESPACE_CONF = "sparkfolio.stages.namespace"
+
+
+def stage_root(spark: SparkSession, kind: str) -> str:
+    """Folder for stage tables; an optional namespace (e.g. one per benchmark
+    run) keeps runs from reusing each other's stages."""
+    ns = spark.conf.get(NAMESPACE_CONF, "") or ""
+    return os.path.join(ensure_checkpoint_dir(spark), kind, ns) if ns else \
+        os.path.join(ensure_checkpoint_dir(spark), kind)
+
+
 def stage(spark: SparkSession, sf: str, name: str, tables: list[str],
           build: Callable[[], DataFrame]) -> DataFrame:
-    path = os.path.join(ensure_checkpoint_dir(spark), "stages",
-                        f"{name}-{input_key(spark, sf, tables)}")
+    path = os.path.join(stage_root(spark, "stages"), f"{name}-{input_key(spark, sf, tables)}")
     # Completion marker in a sibling folder, written only after the data
     # (Spark's own file listing hides names starting with '_', e.g. _SUCCESS).
     marker = path + ".done"
@@ -74,8 +84,7 @@ def landed_csv(spark: SparkSession, sf: str, name: str, tables: list[str],
     """Land a derived table as header CSV files once per input version
     and return the folder: the raw-file landing zone of a CSV pipeline."""
     from sparkfolio.sources.sinks import write_csv
-    path = os.path.join(ensure_checkpoint_dir(spark), "landed",
-                        f"{name}-{input_key(spark, sf, tables)}")
+    path = os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}")
     marker = path + ".done"
     if not _fs_glob(spark, os.path.join(marker, "*.json")):
         write_csv(build(), path)
@@ -88,8 +97,7 @@ def landed_split(spark: SparkSession, sf: str, name: str, tables: list[str],
     """Land a derived table once per input version as header CSV files split
     into one folder per key combination (S12) and return the root folder."""
     from sparkfolio.sources.sinks import write_split
-    path = os.path.join(ensure_checkpoint_dir(spark), "landed",
-                        f"{name}-{input_key(spark, sf, tables)}")
+    path = os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}")
     marker = path + ".done"
     if not _fs_glob(spark, os.path.join(marker, "*.json")):
         write_split(build(), path, by)
