@@ -151,7 +151,7 @@ def test_pct_change_pads_like_pandas(spark):
     vals = [1.0, None, 3.0, 0.0, 5.0]
     df = spark.createDataFrame([(2020 + i, v) for i, v in enumerate(vals)], "year int, x double")
     got = [r.x_YoY for r in kpi.pct_change(df, ["x"]).orderBy("year").collect()]
-    exp = pd.Series(vals, dtype=float).pct_change(fill_method="pad").tolist()
+    exp = pd.Series(vals, dtype=float).ffill().pct_change(fill_method=None).tolist()
     for g, e in zip(got, exp):
         if e != e or e in (float("inf"), float("-inf")):
             assert g is None
