@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfolio.llm.bpe import decode, encode
+from sparkfolio.llm.langid import identify
 from sparkfolio.llm.sharding import external_shuffle
 from sparkfolio.llm.url_filter import judge_urls
 
@@ -60,3 +62,17 @@ f AS (
   FROM s LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rhost || rpath AS rule, coalesce(verdict, 'allow') AS verdict FROM f WHERE k = 1
 """
+
+
+@query
+def op4_bpe_round_trip(spark, sf_dir):
+    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select("record.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_cross_parsing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("record.doc_id", "held_out", "lang_pred", "score", "density")
