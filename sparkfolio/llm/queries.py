@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkfolio.llm.bpe import decode, encode
 from sparkfolio.llm.langid import identify
 from sparkfolio.llm.sharding import external_shuffle
+from sparkfolio.llm.toxicity import classify
 from sparkfolio.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,9 @@ def op4_bpe_round_trip(spark, sf_dir):
 def op10_cross_parsing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select("record.doc_id", "held_out", "lang_pred", "score", "density")
+
+
+@query
+def op3_counterfactual_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classify(docs, table(spark, sf_dir, "labels")).select("record.doc_id", "held_out", "score", "predicted")
