@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkfolio.llm.bpe import decode, encode
 from sparkfolio.llm.langid import identify
+from sparkfolio.llm.quality import judge
 from sparkfolio.llm.sharding import external_shuffle
 from sparkfolio.llm.toxicity import classify
 from sparkfolio.llm.url_filter import judge_urls
@@ -83,3 +84,10 @@ def op10_cross_parsing(spark, sf_dir):
 def op3_counterfactual_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return classify(docs, table(spark, sf_dir, "labels")).select("record.doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op1_isolation_forest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, table(spark, sf_dir, "labels")).select(
+        "record.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
