@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkfolio.llm.bpe import decode, encode
 from sparkfolio.llm.langid import identify
+from sparkfolio.llm.packing import pack, token_pieces
 from sparkfolio.llm.quality import judge
 from sparkfolio.llm.sharding import external_shuffle
 from sparkfolio.llm.toxicity import classify
@@ -91,3 +92,9 @@ def op1_isolation_forest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge(docs, table(spark, sf_dir, "labels")).select(
         "record.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
+@query
+def op9_linear_grouping_packing(spark, sf_dir):
+    pieces = token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pack(pieces).select("row.record.doc_id", "row.piece", "row.start", "row.length", "row.ids_crc32", "sequence_id", "offset")
