@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.bpe import decode, encode
+from sparkfolio.llm.hamming_search import top_k
 from sparkfolio.llm.langid import identify
 from sparkfolio.llm.packing import pack, token_pieces
 from sparkfolio.llm.quality import judge
@@ -98,3 +99,19 @@ def op1_isolation_forest(spark, sf_dir):
 def op9_linear_grouping_packing(spark, sf_dir):
     pieces = token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return pack(pieces).select("row.record.doc_id", "row.piece", "row.start", "row.length", "row.ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op8_multi_index_hashing(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), k=10)
+
+
+ORACLE["op8_multi_index_hashing"] = """
+WITH c AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b FROM embeddings),
+d AS (
+  SELECT q.vec_id AS query_id, o.vec_id AS neighbor_id,
+         CAST(list_sum(list_transform(list_zip(q.b, o.b), lambda p: CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS BIGINT) AS distance
+  FROM c q JOIN c o ON q.vec_id % 100 = 0 AND q.vec_id <> o.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS k FROM d)
+SELECT query_id, CAST(k AS INTEGER) AS rank, neighbor_id, distance FROM r WHERE k <= 10
+"""
