@@ -25,6 +25,8 @@ from sparkfolio.llm.store import saved
 
 CHUNK = 16_384          # characters; longer texts take the chunked path
 OVERLAP = 512           # characters a chunk's run goes into the next chunk
+#: The cut points of so many chunks (8 bytes each, and 30 a text) are broadcast.
+BROADCAST_CHUNKS = 2_000_000
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -105,6 +107,8 @@ def encode(df: DataFrame, path: str | None = None, pattern: str = public_tokeniz
 
     points = (runs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "head", "tail"))).alias("runs"))
               .select("row", stitched("runs").alias("points")))
+    if runs.count() <= BROADCAST_CHUNKS:
+        points = F.broadcast(points)            # else the chunks are shuffled to them
     parts = runs.select("row", "i", "record", "part").join(points, "row")
     start, stop = F.get("points", F.col("i")) - F.col("i") * chunk, F.get("points", F.col("i") + 1) - F.col("i") * chunk
     piece = F.expr("substring(part, int(start) + 1, int(coalesce(stop, length(part)) - start))")
