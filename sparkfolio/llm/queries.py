@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkfolio.llm.bpe import decode, encode
 from sparkfolio.llm.hamming_search import top_k
 from sparkfolio.llm.langid import identify
+from sparkfolio.llm.line_dedup import dedup_lines
 from sparkfolio.llm.packing import pack, token_pieces
 from sparkfolio.llm.quality import judge
 from sparkfolio.llm.sharding import external_shuffle
@@ -115,3 +116,9 @@ d AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS k FROM d)
 SELECT query_id, CAST(k AS INTEGER) AS rank, neighbor_id, distance FROM r WHERE k <= 10
 """
+
+
+@query
+def op6_line_chunks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("record.doc_id", "text", "n_lines", "n_removed")
