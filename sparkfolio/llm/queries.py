@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkfolio.llm.bpe import decode, encode
 from sparkfolio.llm.hamming_search import top_k
+from sparkfolio.llm.jaccard_join import link_components
 from sparkfolio.llm.langid import identify
 from sparkfolio.llm.line_dedup import dedup_lines
 from sparkfolio.llm.packing import pack, token_pieces
@@ -122,3 +123,29 @@ SELECT query_id, CAST(k AS INTEGER) AS rank, neighbor_id, distance FROM r WHERE
 def op6_line_chunks(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("record.doc_id", "text", "n_lines", "n_removed")
+
+
+@query
+def op2_vertical_jaccard(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return link_components(docs).select("record.doc_id", "n_shingles", "component_id", "class_id")
+
+
+ORACLE["op2_vertical_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+k AS (SELECT x FROM e GROUP BY x HAVING count(*) > 1),
+m AS (SELECT e.* FROM e SEMI JOIN k USING (x)),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM m a JOIN m b USING (x) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(doc_id, low) AS (SELECT doc_id, doc_id FROM s UNION SELECT p.b, r.low FROM r JOIN p ON r.doc_id = p.a),
+c AS (SELECT doc_id, min(low) AS component_id FROM r GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id,
+       CASE WHEN len(g) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY list_sort(g)) END AS class_id
+FROM s JOIN c USING (doc_id)
+"""
