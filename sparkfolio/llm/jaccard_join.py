@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkfolio.llm.components import components
-from sparkfolio.llm.keyfilter import key_filter
+from sparkfolio.llm.keyfilter import key_filter, maybe_in
 from sparkfolio.llm.store import saved
 from sparkfolio.llm.textarrays import LOWER, U64, Texts, gram_hashes, mix, per_text, span_hashes, text_slices, words
 
@@ -275,8 +275,9 @@ def _test_block(percent: int):
 
 # ---- the whole ----------------------------------------------------------------------
 
-def link_components(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Columns ``record`` (the row without its text), ``n_shingles``,
+def link_components(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = N, percent: int = PERCENT,
+                    carry_text: bool = False) -> DataFrame:
+    """Columns ``record`` (the row, without its text unless ``carry_text``), ``n_shingles``,
     ``class_id`` (smallest id with the same set) and ``component_id`` (smallest
     id reachable over links, the own one included).
 
@@ -286,14 +287,14 @@ def link_components(documents: DataFrame, text_col: str = "text", id_col: str =
     unless all are null.  Repeated rows are one class.
     """
     spark = documents.sparkSession
-    keep = [c for c in documents.columns if c != text_col]
+    keep = [c for c in documents.columns if carry_text or c != text_col]
     text = F.col(f"`{text_col}`").alias("text")
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), F.col(f"`{id_col}`").alias("id"), text)
     schema = T.StructType([T.StructField("record", rows.schema["record"].dataType), T.StructField("id", rows.schema["id"].dataType),
                            T.StructField("class", T.BinaryType()), T.StructField("n", T.LongType())])
     docs = saved(rows.mapInArrow(_classes(schema.names, n), schema), "join-docs")
     total = docs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    classes = docs.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("class_id"))
+    classes = docs.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
 
     texts = documents.select(text)
     fragments = max(1, math.ceil(total / FRAGMENT_GRAMS))
@@ -362,10 +363,14 @@ def link_components(documents: DataFrame, text_col: str = "text", id_col: str =
 
     comp = (member.select("node", "part").join(merged.select(F.col("node").alias("part"), "root"), "part", "left")
             .select(F.col("node").alias("class"), F.coalesce("root", "part").alias("comp")))
-    named = classes.join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    named = saved(named, "join-classes")
+    # documents of one class and no link are their own answer and stay where they are
+    named = saved(classes.join(comp, "class", "left").where((F.col("copies") > 1) | F.col("comp").isNotNull())
+                  .withColumn("comp", F.coalesce("comp", "class")), "join-classes")
     lowest = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    ids = named.join(lowest, "comp").select("class", "class_id", "component_id")
-    return docs.join(ids, "class", "left").select(
-        "record", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    ids = saved(named.join(lowest, "comp").select("class", "class_id", "component_id"), "join-ids")
+    grouped = spark.sparkContext.broadcast(key_filter(ids.select(half.alias("k")), "k"))
+    split = docs.withColumn("maybe", maybe_in(grouped, half))
+    alone = split.where(~F.col("maybe")).select("record", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.col("id").alias("component_id"))
+    in_groups = split.where("maybe").join(ids, "class", "left")
+    return alone.unionByName(in_groups.select(
+        "record", F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id")))

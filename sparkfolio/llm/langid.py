@@ -176,8 +176,9 @@ def training_texts(df: DataFrame, text_col: str, lang_col: str, order_col: str,
 
 def predict(df: DataFrame, parser: CrossParser, text_col: str = "text") -> DataFrame:
     """Columns ``record`` (the row), ``lang_pred``, ``score`` (0 to 1: by how
-    much the best language needs fewer phrases than the next) and ``density``
-    (phrases a character in the best one; null if there is no letter).
+    much the best language needs fewer phrases than the next), ``density``
+    (phrases a character in the best one; null if there is no letter) and
+    ``n_parsed`` (characters after normalising).
 
     Null, empty and letterless texts are ``und`` with score 0, as is every
     text if nothing was labelled; with a single language the score is 1.
@@ -186,7 +187,7 @@ def predict(df: DataFrame, parser: CrossParser, text_col: str = "text") -> DataF
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record"), F.col(f"`{text_col}`").alias("text"))
     shared = df.sparkSession.sparkContext.broadcast(parser)
     schema = T.StructType([T.StructField("record", rows.schema["record"].dataType), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("density", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()), T.StructField("density", T.DoubleType()), T.StructField("n_parsed", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
@@ -194,8 +195,9 @@ def predict(df: DataFrame, parser: CrossParser, text_col: str = "text") -> DataF
             for at in range(0, b.num_rows, 500):
                 x = b.slice(at, 500)
                 texts = [normalised(t) for t in x["text"].to_pylist()]
-                names, score, density = _decide(parser, parser.phrases(texts), np.array([len(t) for t in texts]))
-                yield pa.RecordBatch.from_arrays([x["record"], pa.array(names, pa.string()), pa.array(score), pa.array(density, from_pandas=True)], schema.names)
+                sizes = np.array([len(t) for t in texts], np.int64)
+                names, score, density = _decide(parser, parser.phrases(texts), sizes)
+                yield pa.RecordBatch.from_arrays([x["record"], pa.array(names, pa.string()), pa.array(score), pa.array(density, from_pandas=True), pa.array(sizes)], schema.names)
 
     return rows.mapInArrow(run, schema)
 
