@@ -240,8 +240,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, n_groups: int = GROUPS, ro
     and ``offset``.
 
     Pieces of one length are interchangeable; they are numbered within salts,
-    whose number grows with the rows, so a length that a third of all rows
-    share is spread over tasks.  One histogram of at most ``capacity`` rows
+    as many as shuffle partitions and more as the rows grow, so a length that a
+    third of all rows share is spread over tasks.  One histogram of at most ``capacity`` rows
     reaches the driver.  Repeated rows are packed separately."""
     spark = pieces.sparkSession
     rows = saved(pieces.select(F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("row"),
@@ -250,7 +250,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, n_groups: int = GROUPS, ro
     if counts and not 1 <= min(counts) <= max(counts) <= capacity:
         raise ValueError("a piece is empty or longer than a sequence")
     runs, _ = best_plan(counts, capacity, n_groups)
-    salts = max(1, sum(counts.values()) // rows_per_salt)
+    salts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(counts.values()) // rows_per_salt)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int"))
     before = Window.partitionBy("len").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = (salted.groupBy("len", "salt").agg(F.count(F.lit(1)).alias("n"))
