@@ -3,8 +3,8 @@
 A rolling hash over the hashes of two neighbouring lines chooses the chunk
 boundaries, so an inserted line shifts only the chunk around it.  A long line
 is a chunk by itself.  Chunks whose hash occurs again anywhere are compared
-byte for byte with the first one; repeats are removed, along with the equal
-lines that reach from them into the neighbouring chunks.
+byte for byte with the first one; repeats are removed, along with the lines of
+equal hash that reach from them into the neighbouring chunks.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def chunks(texts: Texts) -> dict[str, np.ndarray]:
     total = np.concatenate([[0], np.cumsum(n_words)])
     chunk_words, n_lines = total[last + 1] - total[first], last - first + 1
     line0 = np.searchsorted(owner, np.arange(len(texts)))
-    return {"owner": owner[first], "line": first - line0[owner[first]], "n_lines": n_lines, "start": starts[first], "end": ends[last],
+    return {"line_hash": h.view(np.int64), "first": first, "last": last, "owner": owner[first], "line": first - line0[owner[first]], "n_lines": n_lines, "start": starts[first], "end": ends[last],
             "hash": span_hashes(texts.data, starts[first], ends[last]).view(np.int64),
             "removable": np.where(n_lines > 1, chunk_words >= MIN_WORDS, chunk_words >= LONG_WORDS)}
 
@@ -60,7 +60,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeats(shared):
-    """The removable chunks that may repeat, with the text of the chunks around them."""
+    """The removable chunks that may repeat, with the line hashes of the chunks around them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for texts in text_slices(b["text"]):
@@ -70,11 +70,12 @@ def _repeats(shared):
                 last = len(own) - 1
                 before = np.where((at > 0) & (own[at] == own[at - 1]), at - 1, -1)
                 after = np.where((at < last) & (own[at] == own[np.minimum(at + 1, last)]), at + 1, -1)
-                cut = lambda i: None if i < 0 else raw[c["start"][i]:c["end"][i]].decode()
+                part = [raw[c["start"][i]:c["end"][i]].decode() for i in at.tolist()]
+                around = lambda i: [] if i < 0 else c["line_hash"][c["first"][i]:c["last"][i] + 1].tolist()
                 place = pa.array(own[at] + texts.first)
                 yield pa.RecordBatch.from_arrays(
                     [b["id"].take(place), b["key"].take(place), pa.array(c["hash"][at]), pa.array(c["line"][at]), pa.array(c["n_lines"][at].astype(np.int64)),
-                     *(pa.array([cut(i) for i in x.tolist()], pa.string()) for x in (at, before, after))],
+                     pa.array(part, pa.string()), *(pa.array([around(i) for i in x.tolist()], pa.list_(pa.int64())) for x in (before, after))],
                     ["id", "key", "h", "line", "n_lines", "part", "before", "after"])
     return run
 
@@ -89,17 +90,12 @@ def _equal_on(own: pd.Series, first: pd.Series) -> pd.Series:
     return pd.Series([_equal(a, b, False) for a, b in zip(own, first)], dtype="int64")
 
 
-def _equal(a: str | None, b: str | None, from_end: bool) -> int:
+def _equal(a: np.ndarray, b: np.ndarray, from_end: bool) -> int:
     """Lines in which two passages agree, from their end or their start."""
-    if a is None or b is None:
-        return 0
-    x, y = a.split("\n"), b.split("\n")
-    if from_end:
-        x, y = x[::-1], y[::-1]
-    n = 0
-    while n < min(len(x), len(y)) and x[n] == y[n]:
-        n += 1
-    return n
+    n = min(len(a), len(b))
+    x, y = (a[len(a) - n:][::-1], b[len(b) - n:][::-1]) if from_end else (a[:n], b[:n])
+    other = np.flatnonzero(x != y)
+    return int(other[0]) if len(other) else n
 
 
 def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -120,7 +116,7 @@ def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc
     shared = spark.sparkContext.broadcast(key_filter(repeated, "h"))
     id_type = T.StructField("id", texts.schema["id"].dataType)
     schema = T.StructType([id_type] + [T.StructField(c, T.LongType()) for c in ("key", "h", "line", "n_lines")]
-                          + [T.StructField(c, T.StringType()) for c in ("part", "before", "after")])
+                          + [T.StructField("part", T.StringType())] + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("before", "after")])
     found = saved(texts.mapInArrow(_repeats(shared), schema), "line-repeats")
     # the first passage of each text of a hash; equal bytes only, whatever the hash says
     place = F.struct("id", "key", "line")
@@ -134,7 +130,7 @@ def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc
     removed = saved(removed, "line-removals")
     hit = spark.sparkContext.broadcast(key_filter(removed, "key"))
     flagged = rows.withColumn("maybe", maybe_in(hit, F.col("key")))
-    touched = flagged.where("maybe").join(removed, "key", "left")
+    touched = flagged.where("maybe").join(removed.hint("merge"), "key", "left")      # both sides grow with the corpus
     split = F.split("text", "\n", -1)
     gone = lambda i: F.exists("gone", lambda g: (i >= g["a"]) & (i < g["z"]))
     kept = F.filter("all_lines", lambda _, i: ~gone(i))
