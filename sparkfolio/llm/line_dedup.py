@@ -4,7 +4,7 @@ A rolling hash over the hashes of two neighbouring lines chooses the chunk
 boundaries, so an inserted line shifts only the chunk around it.  A long line
 is a chunk by itself.  Chunks whose hash occurs again anywhere are compared
 byte for byte with the first one; repeats are removed, along with the lines of
-equal hash that reach from them into the neighbouring chunks.
+equal hash that reach from them into the text around.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from sparkfolio.llm.textarrays import Texts, lines, mix, span_hashes, text_slice
 DIVISOR = 2             # a boundary at every second line on average
 LONG_WORDS = 25         # a line of so many words is a chunk of its own
 MIN_WORDS = 12          # words that a chunk of several lines must have to be removed
+REACH = 12              # lines before and after a repeated chunk that are compared with those around the first one
 
 
 def chunks(texts: Texts) -> dict[str, np.ndarray]:
@@ -45,7 +46,7 @@ def chunks(texts: Texts) -> dict[str, np.ndarray]:
     total = np.concatenate([[0], np.cumsum(n_words)])
     chunk_words, n_lines = total[last + 1] - total[first], last - first + 1
     line0 = np.searchsorted(owner, np.arange(len(texts)))
-    return {"line_hash": h.view(np.int64), "first": first, "last": last, "owner": owner[first], "line": first - line0[owner[first]], "n_lines": n_lines, "start": starts[first], "end": ends[last],
+    return {"line_hash": h.view(np.int64), "line0": line0, "first": first, "last": last, "owner": owner[first], "line": first - line0[owner[first]], "n_lines": n_lines, "start": starts[first], "end": ends[last],
             "hash": span_hashes(texts.data, starts[first], ends[last]).view(np.int64),
             "removable": np.where(n_lines > 1, chunk_words >= MIN_WORDS, chunk_words >= LONG_WORDS)}
 
@@ -60,22 +61,21 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeats(shared):
-    """The removable chunks that may repeat, with the line hashes of the chunks around them."""
+    """The removable chunks that may repeat, with the hashes of the lines around them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for texts in text_slices(b["text"]):
                 c = chunks(texts)
                 at = np.flatnonzero(c["removable"] & shared.value(c["hash"]))
                 own, raw = c["owner"], texts.data.tobytes()
-                last = len(own) - 1
-                before = np.where((at > 0) & (own[at] == own[at - 1]), at - 1, -1)
-                after = np.where((at < last) & (own[at] == own[np.minimum(at + 1, last)]), at + 1, -1)
+                begin, end = c["line0"][own[at]], np.append(c["line0"], len(c["line_hash"]))[own[at] + 1]
+                before = [(max(f - REACH, x), f) for f, x in zip(c["first"][at].tolist(), begin.tolist())]
+                after = [(z + 1, min(z + 1 + REACH, x)) for z, x in zip(c["last"][at].tolist(), end.tolist())]
                 part = [raw[c["start"][i]:c["end"][i]].decode() for i in at.tolist()]
-                around = lambda i: [] if i < 0 else c["line_hash"][c["first"][i]:c["last"][i] + 1].tolist()
                 place = pa.array(own[at] + texts.first)
                 yield pa.RecordBatch.from_arrays(
                     [b["id"].take(place), b["key"].take(place), pa.array(c["hash"][at]), pa.array(c["line"][at]), pa.array(c["n_lines"][at].astype(np.int64)),
-                     pa.array(part, pa.string()), *(pa.array([around(i) for i in x.tolist()], pa.list_(pa.int64())) for x in (before, after))],
+                     pa.array(part, pa.string()), *(pa.array([c["line_hash"][i:j].tolist() for i, j in x], pa.list_(pa.int64())) for x in (before, after))],
                     ["id", "key", "h", "line", "n_lines", "part", "before", "after"])
     return run
 
