@@ -20,10 +20,19 @@ _FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _FLOAT_WORDS = r"^[+-]?(?i)(inf|infinity|nan)$"
 
 
+# What Python's str.strip() takes off: Unicode white space and the four separators 0x1C-0x1F.
+_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """Text without white space at both ends (``F.trim`` takes off blanks only)."""
+    return F.regexp_replace(_col(c).cast("string"), _EDGES, "")
+
+
 def _nan_to_null(x: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
@@ -31,7 +40,7 @@ def _nan_to_null(x: Column) -> Column:
 def python_float(c) -> Column:
     """Text -> double the way Python ``float()`` reads it (trim, ``1e5``,
     ``inf``, ``1_000``); NaN and garbage -> NULL."""
-    s = F.regexp_replace(F.trim(_col(c).cast("string")), _DIGIT_UNDERSCORE, "")
+    s = F.regexp_replace(strip(c), _DIGIT_UNDERSCORE, "")
     ok = s.rlike(_FLOAT_TEXT) | s.rlike(_FLOAT_WORDS)
     return _nan_to_null(F.when(ok, s.try_cast("double")))
 
@@ -50,7 +59,7 @@ def try_num(c) -> Column:
     ``'1e5.0'`` and ``'1_000'`` are.
     """
     raw = _col(c).cast("string")
-    s = F.regexp_replace(F.trim(raw), _DIGIT_UNDERSCORE, "")
+    s = F.regexp_replace(strip(raw), _DIGIT_UNDERSCORE, "")
     as_float = _nan_to_null(F.when(s.rlike(_FLOAT_TEXT) | s.rlike(_FLOAT_WORDS),
                                    s.try_cast("double")))
     as_int = F.when(s.rlike(_INT_TEXT), s.try_cast("double"))
@@ -87,7 +96,7 @@ def yes_no_flag(c) -> Column:
 
 
 def zero_pad(c, width: int = 6) -> Column:
-    """Left-pad codes with zeros; NULL/blank stay NULL (a blank would
-    otherwise become ``000000``)."""
-    s = F.trim(_col(c).cast("string"))
-    return F.when(s != "", F.lpad(s, width, "0"))
+    """Left-pad codes with zeros, never shorten them; NULL/blank stay NULL
+    (a blank would otherwise become ``000000``)."""
+    s = strip(c)
+    return F.when(s != "", F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s))

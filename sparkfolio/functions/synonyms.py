@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkfolio.functions.coerce import strip
+
 # Canonical KPI -> English statement labels (matched exactly
 # after trim + lower-case), in this order.
 EXACT_ACCOUNT_MAP = {
@@ -54,7 +56,7 @@ def _col(c) -> Column:
 
 def exact_match(label, names: list[str]) -> Column:
     """``lower(trim(label))`` equals one of ``names`` (also trimmed)."""
-    return F.lower(F.trim(_col(label))).isin([n.strip().lower() for n in names])
+    return F.lower(strip(label)).isin([n.strip().lower() for n in names])
 
 
 def map_label(label, mapping: dict[str, list[str]] | None = None,

@@ -1,14 +1,11 @@
 """Row position and keep-first operators.
 
 A DataFrame has no row order.  Where the reference depends on position
-(head, slicing, keep-first de-duplication) we derive it explicitly:
-
-* scan order: ``monotonically_increasing_id`` taken right after the scan;
-  it grows with file split and position inside the split;
-* a dense 0..n-1 index: sort (range-partitioned, distributed), then per
-  partition counts -> running offsets (one row per partition, so the table
-  that is broadcast is bounded by the partition count, never by the data),
-  joined back.  No single-task global window over the rows.
+(head, slicing, positional lists) we derive it explicitly.  The rows are placed
+once: they are written to the shared folder with their place (split, position
+inside the split), and both the rows and the splits' offsets are read from that
+table.  Nothing rests on two evaluations of a plan giving the same partitions.
+Without a key the order is that of the files, and no sort is needed.
 """
 
 from __future__ import annotations
@@ -18,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkfolio.sources.sinks import written_once
+
 POS_COL = "_scan_pos"
 
 
@@ -36,41 +35,53 @@ def with_scan_position(df: DataFrame, name: str = POS_COL) -> DataFrame:
         return df.withColumn(name, mono)
 
 
+def _tie(df: DataFrame) -> Column:
+    """A hash of the whole row: it spreads rows that tie on the user's keys
+    over several range partitions, and makes their order repeatable."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _place_once(df: DataFrame, order_by: list | None) -> DataFrame:
+    """``df`` with its place: ``_file`` and ``_block`` name the split, ``_mid``
+    grows inside it.  Keyed: the range partitions of one sort.  Without a key:
+    the file splits, or the input's partitions if it does not come from files."""
+    mid = F.monotonically_increasing_id()
+    task = F.shiftright(mid, 33)
+    if order_by:
+        tagged = df.orderBy(*order_by, _tie(df)).withColumns({"_file": F.lit(""), "_block": task, "_mid": mid})
+    else:
+        try:
+            tagged = df.withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_mid": mid})
+        except AnalysisException:
+            tagged = df.withColumns({"_file": F.lit(""), "_block": task, "_mid": mid})
+    return written_once(tagged, "rows")
+
+
+def _offset(value: Column) -> Column:
+    """An offset that must be there: a row without one stops the job."""
+    return F.coalesce(value, F.raise_error("a row's split has no offset").cast("long"))
+
+
 def with_row_index(df: DataFrame, order_by: list | None = None,
                    name: str = "row_idx", total_name: str | None = None) -> DataFrame:
-    """Dense 0-based index in ``order_by`` order ((file, block, row) scan
-    order when omitted).
+    """Dense 0-based index in ``order_by`` order ((file, block, row) order
+    when omitted).
 
-    ``total_name`` additionally attaches the row count (taken from the same
-    bounded offsets table, so no extra job and no driver round trip).
+    ``total_name`` additionally attaches the row count, from the same table of
+    one row a split (its key is 16 bytes), which is broadcast.
     """
-    if order_by:
-        # A deterministic tie-breaker spreads rows that tie on the user's keys
-        # over several range partitions (equal sort keys always share one).
-        tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        ordered = df.orderBy(*order_by, tie)
-    else:
-        # no key: (file, block, row) scan order, the order of the input files
-        ordered = with_scan_position(df, "_scan_key").orderBy("_scan_key").drop("_scan_key")
-    tagged = (ordered
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = tagged.withColumn(
-        "_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding,
-                                                    Window.unboundedFollowing)
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        F.sum("_n").over(everything).alias("_total"))
-    # Bounded broadcast: one row per partition of `ordered`.
-    out = tagged.join(F.broadcast(offsets), "_pid")
-    out = out.withColumn(name, F.col("_off") + F.col("_pos"))
+    split = [F.xxhash64("_file").alias("_fid"), F.col("_block")]
+    placed = _place_once(df, order_by).withColumn("_fid", split[0])
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = (placed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+               .select(*split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                       F.sum("_n").over(everything).alias("_total")))
+    out = placed.join(F.broadcast(offsets), ["_fid", "_block"], "left")
+    out = out.withColumn(name, _offset(F.col("_off") + F.col("_mid") - F.col("_first")))
     if total_name:
         out = out.withColumn(total_name, F.col("_total"))
-    return out.drop("_pid", "_mid", "_pos", "_off", "_total")
+    return out.drop("_file", "_fid", "_block", "_mid", "_first", "_off", "_total")
 
 
 def _bound(v: Column, n: Column, lo: Column, hi: Column) -> Column:
@@ -80,12 +91,12 @@ def _bound(v: Column, n: Column, lo: Column, hi: Column) -> Column:
 
 def slice_rows(df: DataFrame, start=None, stop=None, step=None,
                order_by: list | None = None, index_col: str = "row_idx",
-               keep_index: bool = False) -> DataFrame:
+               keep_index: bool = False, ordered: bool = True) -> DataFrame:
     """O2: Python ``rows[start:stop:step]`` (negative indices and steps too).
 
-    Bounds are resolved against the row count inside the plan (see
-    ``with_row_index``), so there is no action here.  Output is sorted by the
-    index (descending for a negative step).
+    Bounds are resolved against the row count inside the plan.  Output is
+    sorted by the index (descending for a negative step) unless ``ordered`` is
+    false, which saves a sort when the caller does not need it.
     """
     step = 1 if step is None else int(step)
     if step == 0:
@@ -105,13 +116,13 @@ def slice_rows(df: DataFrame, start=None, stop=None, step=None,
         s = norm(start, F.lit(0), F.lit(0), n)
         e = norm(stop, n, F.lit(0), n)
         pred = (i >= s) & (i < e) & (((i - s) % F.lit(step)) == 0)
-        out = idx.where(pred).orderBy(i)
+        out, by = idx.where(pred), i.asc()
     else:
         s = norm(start, n - 1, F.lit(-1), n - 1)
         e = norm(stop, F.lit(-1), F.lit(-1), n - 1)
         pred = (i <= s) & (i > e) & (((s - i) % F.lit(-step)) == 0)
-        out = idx.where(pred).orderBy(i.desc())
-    out = out.drop("_n_rows")
+        out, by = idx.where(pred), i.desc()
+    out = (out.orderBy(by) if ordered else out).drop("_n_rows")
     return out if keep_index else out.drop(index_col)
 
 
@@ -127,16 +138,17 @@ def head_rows(df: DataFrame, n: int = 5, order_by: list | None = None) -> DataFr
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Keep the first row (smallest ``order_col``) per key.
+    """Keep the first row (smallest ``order_col``) per key; a missing order
+    value comes last, and equal ones are decided by a hash of the row.
 
-    Expressed as ``min_by`` aggregation so it runs as partial + final hash
-    aggregate: a hot key is reduced map-side instead of landing whole in one
-    window task (``row_number`` over the key would sort every row of it).
-    """
+    A ``min`` over (order missing, order, hash, row): combined map-side, so a
+    hot key sends one row a task.  The row is part of the minimum, which Spark
+    runs as a sort aggregate."""
     others = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in others])
-    agg = df.groupBy(*keys).agg(F.min_by(packed, F.col(order_col)).alias("_first"))
-    return agg.select(*keys, *[F.col("_first")[c].alias(c) for c in others])
+    first = F.min(F.struct(F.col(order_col).isNull().alias("missing"), F.col(order_col).alias("order"), _tie(df).alias("tie"),
+                           F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"))).alias("_first")
+    agg = df.groupBy(*keys).agg(first)
+    return agg.select(*keys, *[F.col("_first")["row"][c].alias(c) for c in others])
 
 
 def with_group_rank(df: DataFrame, group_cols: list[str], order_cols: list,
@@ -156,31 +168,29 @@ def with_group_rank(df: DataFrame, group_cols: list[str], order_cols: list,
 
 def with_running_sum(df: DataFrame, order_by: list, value: str, name: str,
                      inclusive: bool = False) -> DataFrame:
-    """Global running sum of ``value`` in ``order_by`` order (exclusive by
-    default), distributed like ``with_row_index``: a range-partitioned sort,
-    an in-partition cumulative sum (Arrow batches, in partition order, no
-    extra shuffle) and per-partition offsets (one row per partition,
-    broadcast)."""
-    # deterministic tie-breaker: equal keys never pile into one range partition
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ordered = df.orderBy(*order_by, tie).withColumn("_pid", F.spark_partition_id())
-    vtype = ordered.schema[value].dataType
+    """Global running sum of ``value`` (missing: 0) in ``order_by`` order,
+    exclusive by default.  One range-partitioned sort with an in-partition
+    cumulative sum (Arrow batches in partition order) is written once; the
+    partitions' totals (one row a partition, broadcast) come from that table."""
+    vtype = df.schema[value].dataType
+    ordered = df.orderBy(*order_by, _tie(df)).withColumns(
+        {"_pid": F.spark_partition_id(), "_v": F.coalesce(F.col(f"`{value}`"), F.lit(0).cast(vtype))})
     schema = T.StructType(ordered.schema.fields + [T.StructField("_local", vtype)])
 
     def cumulative(batches):
         carry = 0
         for pdf in batches:
-            v = pdf[value].fillna(0)
-            c = v.cumsum() + carry
+            c = pdf["_v"].cumsum() + carry
             if len(c):
                 carry = c.iloc[-1]
-            pdf["_local"] = c if inclusive else c - v
+            pdf["_local"] = c if inclusive else c - pdf["_v"]
             yield pdf
 
-    local = ordered.mapInPandas(cumulative, schema)
-    totals = ordered.groupBy("_pid").agg(F.sum(value).alias("_tot"))
+    local = written_once(ordered.mapInPandas(cumulative, schema), "running")
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    out = local.join(F.broadcast(offsets), "_pid")
-    return (out.withColumn(name, (F.col("_off") + F.col("_local")).cast(vtype))
-               .drop("_pid", "_local", "_off"))
+    offsets = (local.groupBy("_pid").agg(F.sum("_v").alias("_tot"))
+               .select("_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).cast(vtype).alias("_off")))
+    out = local.join(F.broadcast(offsets), "_pid", "left")
+    missing = F.raise_error("a row's partition has no offset").cast(vtype)
+    return (out.withColumn(name, (F.coalesce("_off", missing) + F.col("_local")).cast(vtype))
+               .drop("_pid", "_v", "_local", "_off"))

@@ -23,8 +23,8 @@ def facade_flow(spark, sf):
     merged = orders.join(high, left_on="o_orderkey", right_on="l_orderkey")
     stats = merged.groupby(["o_orderstatus"]).agg(
         {"tax": "sum", "l_extendedprice": "avg", "l_quantity": "max", "o_orderkey": "count"})
-    # sums of 4-decimal values: one more place removes summation-order noise
-    return stats.df.withColumn("tax_sum", round_half("tax_sum", 5))
+    # a sum of 4-decimal values has 4 decimals: rounding there removes summation-order noise
+    return stats.df.withColumn("tax_sum", round_half("tax_sum", 4))
 
 
 _FLAGSHIP_SQL = f"""
@@ -40,7 +40,7 @@ GROUP BY o.o_orderstatus
 
 _FACADE_SQL = f"""
 SELECT o.o_orderstatus,
-       {round_sql(f"CAST(SUM(CAST({round_sql('l.l_extendedprice * 0.1', 4)} AS DECIMAL(38,8))) AS DOUBLE)", 5)} AS tax_sum,
+       {round_sql(f"SUM({round_sql('l.l_extendedprice * 0.1', 4)})", 4)} AS tax_sum,
        {round_sql('AVG(l.l_extendedprice)', 4)} AS l_extendedprice_avg,
        MAX(l.l_quantity) AS l_quantity_max,
        COUNT(*) AS o_orderkey_count
@@ -122,7 +122,7 @@ def head_slice(spark, sf):
     """O2 + O5: rows[100:-100:7] in key order, with the dense index kept."""
     from sparkfolio.operators.rows import slice_rows
     o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return slice_rows(o, 100, -100, 7, order_by=["o_orderkey"], keep_index=True)
+    return slice_rows(o, 100, -100, 7, order_by=["o_orderkey"], keep_index=True, ordered=False)
 
 
 @query("slice_reverse", """
@@ -136,7 +136,7 @@ def slice_reverse(spark, sf):
     """O2 with a negative start and step: rows[-11:50:-13]."""
     from sparkfolio.operators.rows import slice_rows
     o = load(spark, sf, "orders").select("o_orderkey")
-    return slice_rows(o, -11, 50, -13, order_by=["o_orderkey"], keep_index=True)
+    return slice_rows(o, -11, 50, -13, order_by=["o_orderkey"], keep_index=True, ordered=False)
 
 
 @query("head_rows", """
@@ -252,3 +252,93 @@ def csv_landing(spark, sf):
     g = Frame(raw).groupby(["o_orderpriority"]).agg(
         {"o_orderkey": "count", "o_totalprice": "avg", "o_custkey": "max"})
     return g.df
+
+
+@query("slice_keyless", """
+SELECT l_orderkey, l_linenumber, l_extendedprice, row_idx FROM (
+  SELECT l_orderkey, l_linenumber, l_extendedprice, ROW_NUMBER() OVER () - 1 AS row_idx FROM lineitem) t
+WHERE row_idx >= 3
+""")
+def slice_keyless(spark, sf):
+    """O2 + O5 without a key: rows[3:] in file order, with the index kept."""
+    from sparkfolio.operators.rows import slice_rows
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return slice_rows(li, 3, None, keep_index=True, ordered=False)
+
+
+@query("list_mask", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM (
+  SELECT l_orderkey, l_linenumber, l_quantity, ROW_NUMBER() OVER () - 1 AS i FROM lineitem) t
+WHERE i % 3 <> 1
+""")
+def list_mask(spark, sf):
+    """P10 with a list of booleans, one a row, in file order."""
+    f = Frame(load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
+    return f[[i % 3 != 1 for i in range(len(f))]].df
+
+
+@query("list_column", """
+SELECT l_orderkey, l_linenumber, CAST((ROW_NUMBER() OVER () - 1) * 2 AS BIGINT) AS twice FROM lineitem
+""")
+def list_column(spark, sf):
+    """P5 with a list of values, one a row, in file order."""
+    f = Frame(load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    f["twice"] = [2 * i for i in range(len(f))]
+    return f.df
+
+
+_ODD_VALUES = """
+SELECT l_returnflag, l_linenumber, l_orderkey,
+       CASE l_linenumber WHEN 1 THEN 1e-9 WHEN 2 THEN 9e28 WHEN 3 THEN 9e30 ELSE l_quantity END AS v
+FROM lineitem"""
+
+
+@query("sum_sizes", f"""
+WITH t AS ({_ODD_VALUES})
+SELECT l_linenumber, COUNT(*) AS l_orderkey_count, CAST(SUM(l_orderkey) AS DOUBLE) AS l_orderkey_sum,
+       {round_sql("SUM(v) / (CASE l_linenumber WHEN 1 THEN 1e-9 WHEN 2 THEN 9e28 WHEN 3 THEN 9e30 ELSE 1.0 END)", 3)} AS units
+FROM t GROUP BY l_linenumber
+""")
+def sum_sizes(spark, sf):
+    """A1 ``sum`` of tiny and of huge values, in units of the value, and of whole numbers."""
+    n = F.col("l_linenumber")
+    unit = F.when(n == 1, 1e-9).when(n == 2, 9e28).when(n == 3, 9e30)
+    li = load(spark, sf, "lineitem").select("l_linenumber", "l_orderkey", F.coalesce(unit, "l_quantity").alias("v"))
+    g = Frame(li).groupby(["l_linenumber"]).agg({"l_orderkey": "count", "v": "sum"}).df
+    keys = Frame(li).groupby(["l_linenumber"]).agg({"l_orderkey": "sum"}).df
+    return (g.join(keys, "l_linenumber")
+            .select("l_linenumber", "l_orderkey_count", "l_orderkey_sum", round_half(F.col("v_sum") / F.coalesce(unit, F.lit(1.0)), 3).alias("units")))
+
+
+@query("code_padding", """
+SELECT o_orderkey, CASE WHEN length(code) < 6 THEN lpad(code, 6, '0') ELSE code END AS code,
+       CAST(o_custkey AS DOUBLE) AS number FROM (
+  SELECT o_orderkey, o_custkey, CAST(o_orderkey * (CASE WHEN o_orderkey % 2 = 0 THEN 1000003 ELSE 1 END) AS VARCHAR) AS code FROM orders) t
+""")
+def code_padding(spark, sf):
+    """C12 on codes of one to over six characters, and C1 on numbers with white space around them."""
+    from sparkfolio.functions.coerce import try_num, zero_pad
+    code = (F.col("o_orderkey") * F.when(F.col("o_orderkey") % 2 == 0, 1000003).otherwise(1)).cast("string")
+    return load(spark, sf, "orders").select(
+        "o_orderkey", zero_pad(F.concat(F.lit(" "), code, F.lit("\t"))).alias("code"),
+        try_num(F.concat(F.lit("\t\n"), F.col("o_custkey").cast("string"), F.lit("\u00a0"))).alias("number"))
+
+
+@query("keep_first_missing", """
+SELECT l_suppkey, l_partkey, l_orderkey, ord FROM (
+  SELECT l_suppkey, l_partkey, l_orderkey, ord,
+         ROW_NUMBER() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY ord NULLS LAST) AS k,
+         COUNT(*) OVER (PARTITION BY l_suppkey, l_partkey) AS n,
+         COUNT(*) OVER (PARTITION BY l_suppkey, l_partkey, ord) AS ties
+  FROM (SELECT l_suppkey, l_partkey, l_orderkey, CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey * 10 + l_linenumber END AS ord FROM lineitem) x) t
+WHERE k = 1 AND (ord IS NOT NULL OR n = 1)
+""")
+def keep_first_missing(spark, sf):
+    """W3 where half of the order values are missing: they come last, and a key
+    with nothing else keeps a whole row (checked where it has one row)."""
+    from sparkfolio.operators.rows import keep_first
+    li = load(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_orderkey", F.when(
+        F.col("l_orderkey") % 2 == 0, F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
+    sizes = li.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    first = keep_first(li, ["l_suppkey", "l_partkey"], "ord").join(sizes, ["l_suppkey", "l_partkey"])
+    return first.where(F.col("ord").isNotNull() | (F.col("n") == 1)).select("l_suppkey", "l_partkey", "l_orderkey", "ord")

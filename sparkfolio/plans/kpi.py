@@ -236,7 +236,7 @@ FROM kw)"""
 PEER_RAW_CTE = SUMS_CTE + """,
 praw AS (
 """ + "\n  UNION ALL ".join(
-    f"SELECT entity AS peer_corp_name, lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS peer_stock_code, "
+    f"SELECT entity AS peer_corp_name, CASE WHEN length(CAST(n_nationkey AS VARCHAR)) < 6 THEN lpad(CAST(n_nationkey AS VARCHAR), 6, '0') ELSE CAST(n_nationkey AS VARCHAR) END AS peer_stock_code, "
     f"year AS bsns_year, {code} AS reprt_code, {_q(lab)} AS account_nm, "
     f"{_amount(f'({ex}) * {k}')} AS amount FROM sums"
     for code, k in REPORT_CODES for lab, ex in KO_LINES) + ")"

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
+from sparkfolio.session import scratch_dir
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV, no index column."""
@@ -48,3 +52,12 @@ def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int,
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under a path of its own in the shared folder and read it
+    back: everything derived from the result sees one evaluation of ``df``,
+    and a lost executor re-reads files."""
+    path = scratch_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
