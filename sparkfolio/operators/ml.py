@@ -14,7 +14,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +24,7 @@ from sparkfolio.functions.arith import sigmoid_dot
 from sparkfolio.functions.coerce import python_float
 from sparkfolio.operators.profile import exact_quantiles
 from sparkfolio.operators.rows import with_group_rank, with_running_sum
+from sparkfolio.sources.sinks import written_once
 
 
 # ---- M6 stratified split ----------------------------------------------------------
@@ -40,8 +43,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
     key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
     ranked = with_group_rank(df.withColumn("_h", key), [label], ["_h", id_col],
                              name="_rk", size_name="_n")
-    num = int(round(test_fraction * 1000))
-    n_val = F.ceil(F.col("_n") * F.lit(num) / F.lit(1000))
+    n_val = F.ceil(F.round(F.col("_n") * F.lit(float(test_fraction)), 6))
     return (ranked.withColumn(out, F.when(F.col("_rk") < n_val, "validation").otherwise("train"))
                   .drop("_h", "_rk", "_n"))
 
@@ -74,10 +76,9 @@ def categorical_stats(train: DataFrame, categorical: list[str]) -> DataFrame:
     stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in categorical)
     long = train.selectExpr(f"stack({len(categorical)}, {stack}) AS (feature, value)")
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("value"))
-    mode = (counts.where(F.col("value").isNotNull())
-                  .withColumn("_r", F.row_number().over(w)).where("_r = 1")
-                  .select("feature", F.col("value").alias("mode")))
+    # smallest (-count, value): combined map-side
+    mode = (counts.where(F.col("value").isNotNull()).groupBy("feature")
+                  .agg(F.min(F.struct((-F.col("n")).alias("k"), "value"))["value"].alias("mode")))
     cats = (counts.join(mode, "feature")
                   .select("feature", F.coalesce("value", "mode").alias("value"))
                   .groupBy("feature").agg(F.array_sort(F.collect_set("value")).alias("categories")))
@@ -138,14 +139,16 @@ class Preprocessor:
 
 
 # ---- M7-M11 models ----------------------------------------------------------------
-def model_zoo(n_features: int, label: str = "label", seed: int = 42):
-    """(name, type, estimator) for the benchmark (Spark ML analogues)."""
+def model_zoo(n_features: int, n_rows: int, label: str = "label", seed: int = 42, c: float = 1.0):
+    """(name, type, estimator) for the benchmark (Spark ML analogues).  ``c``
+    is the inverse L2 strength of the logistic regression on a sum of losses;
+    on Spark's mean loss the penalty is 1 / (c * training rows)."""
     from pyspark.ml.classification import (
         GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
         RandomForestClassifier)
     common = dict(featuresCol="features", labelCol=label)
     return [
-        ("LogisticRegression", "sklearn", LogisticRegression(maxIter=500, regParam=0.0, **common)),
+        ("LogisticRegression", "sklearn", LogisticRegression(maxIter=500, regParam=1.0 / (c * max(n_rows, 1)), **common)),
         ("RandomForestClassifier", "sklearn",
          RandomForestClassifier(numTrees=100, seed=seed, **common)),
         ("GradientBoostingClassifier", "sklearn",
@@ -198,8 +201,10 @@ def accuracy_at(df: DataFrame, prob: str, label: str, threshold: float = 0.5) ->
 
 
 def leaderboard(results: list[tuple]) -> list[tuple]:
-    """M12 + M13 (O6): rows sorted by AUC desc, name asc for ties."""
-    return sorted(results, key=lambda r: (-(r[2] if r[2] is not None else -1), r[0]))
+    """M12 + M13 (O6): (name, type, auc, accuracy) sorted by AUC descending,
+    name for ties, each with whether it is the picked model: the first."""
+    ordered = sorted(results, key=lambda r: (-(r[2] if r[2] is not None else -1), r[0]))
+    return [(*r, i == 0) for i, r in enumerate(ordered)]
 
 
 def score_from_params(df: DataFrame, params: dict, prob: str = "probability",
@@ -285,16 +290,23 @@ def load_churn_csv(spark, path: str, target: str = "Churn", drop=("customerID",)
 
 
 def run_benchmark(train: DataFrame, val: DataFrame, numeric: list[str], categorical: list[str],
-                  label: str = "label", seed: int = 42):
+                  label: str = "label", id_col: str | None = None, seed: int = 42):
     """M5 + M7-M13 + A20: fit the preprocessor on ``train``, train every model
-    of the zoo, score ``val`` with the exact AUC.  Returns (preprocessor,
-    leaderboard rows (name, type, auc) best first, {name: fitted model})."""
+    of the zoo, score ``val`` with the exact AUC and the accuracy at 0.5.
+    Returns (preprocessor, leaderboard rows (name, type, auc, accuracy, picked)
+    best first, {name: fitted model}, scores): the scores of all models are
+    written once, and the figures come from that table."""
     prep = Preprocessor.fit(train, numeric, categorical)
     tr, va = prep.transform(train), prep.transform(val)
-    rows, models = [], {}
-    for name, kind, est in model_zoo(len(prep.feature_names), label=label, seed=seed):
-        model = est.fit(tr)
-        scored = positive_probability(model.transform(va))
-        rows.append((name, kind, auc_exact(scored, "score", label).first()["auc"]))
-        models[name] = model
-    return prep, leaderboard(rows), models
+    models, parts = {}, []
+    zoo = model_zoo(len(prep.feature_names), train.count(), label=label, seed=seed)
+    for name, _, est in zoo:
+        models[name] = est.fit(tr)
+        ids = [F.col(id_col)] if id_col else []
+        parts.append(positive_probability(models[name].transform(va)).select(F.lit(name).alias("name"), *ids, F.col(label).alias("label"), "score"))
+    scores = written_once(reduce(DataFrame.unionByName, parts), "scores")
+    rows = []
+    for name, kind, _ in zoo:
+        r = auc_exact(scores.where(F.col("name") == name), "score", "label", cut=0.5).first()
+        rows.append((name, kind, r["auc"], r["accuracy"]))
+    return prep, leaderboard(rows), models, scores

@@ -1,8 +1,9 @@
 """Time-series operators.
 
-Series are long tables ``(symbol, date, value)``; every window is partitioned
-by symbol (and split side), so symbols run in parallel and a window never
-spans the whole table.
+Series are long tables ``(symbol, date, value)``.  A symbol may hold most of
+the rows, so no window covers a whole symbol: positions come from counts per
+(symbol, year), minima and maxima from grouped aggregates, and lag windows run
+over (symbol, block of positions) with the rows before the block repeated.
 """
 
 from __future__ import annotations
@@ -11,6 +12,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+BLOCK = 4096        # positions of one symbol in one lag window task
+
+
+def position_in(df: DataFrame, partition: list[str], date: str, counted: Column | None = None,
+                name: str = "_pos", total: str | None = None) -> DataFrame:
+    """Number of ``counted`` rows (default: all) of the same partition up to
+    and with the row, by ``date``; ``total`` adds the number in the partition.
+    Counts of each (partition, year) give the years' offsets (one row each)."""
+    one = F.lit(1) if counted is None else counted.cast("int")
+    years = [*partition, "_year"]
+    dated = df.withColumn("_year", F.year(date)).withColumn("_one", F.coalesce(one, F.lit(0)))
+    before = Window.partitionBy(*partition).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (dated.groupBy(*years).agg(F.sum("_one").alias("_c"))
+              .select(*years, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"),
+                      F.sum("_c").over(Window.partitionBy(*partition)).alias("_all")))
+    inside = F.sum("_one").over(Window.partitionBy(*years).orderBy(date).rowsBetween(Window.unboundedPreceding, 0))
+    joined = dated.withColumn("_in", inside)
+    # null-safe keys: a row without a symbol or a date keeps its place
+    joined = joined.join(starts, [joined[c].eqNullSafe(starts[c]) for c in years], "left").select(
+        *[joined[c] for c in df.columns], joined["_in"], starts["_start"], starts["_all"])
+    out = joined.withColumn(name, F.col("_start") + F.col("_in"))
+    if total:
+        out = out.withColumn(total, F.col("_all"))
+    return out.drop("_in", "_start", "_all")
+
+
 def chrono_split(df: DataFrame, train_end: str, test_start: str, date: str = "date",
                  symbol: str = "symbol", time_step: int = 30,
                  validation_split: float = 0.1) -> DataFrame:
@@ -18,21 +45,14 @@ def chrono_split(df: DataFrame, train_end: str, test_start: str, date: str = "da
 
     train: dates <= train_end (inclusive slice), test: dates >= test_start;
     validation is the last ``validation_split`` of the *training samples*
-    (a sample exists from the ``time_step``-th training day on), cut with
-    integer arithmetic: ``split_at = floor(n_samples * (1 - v))``.
-    All windows are partitioned by symbol only (training positions are running
-    counts), so they share one exchange with the scaling and lag windows."""
+    (a sample exists from the ``time_step``-th training day on):
+    ``split_at = floor(n_samples * (1 - v))``."""
     d = F.col(date)
     is_train = d <= F.lit(train_end).cast("date")
     is_test = d >= F.lit(test_start).cast("date")
-    upto = Window.partitionBy(symbol).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(symbol)
-    t = is_train.cast("int")
-    out = (df.withColumn("_r", F.sum(t).over(upto) - 1)
-             .withColumn("_n", F.sum(t).over(whole)))
-    keep_num = int(round((1 - validation_split) * 1000))
+    out = position_in(df, [symbol], date, is_train, "_r", "_n").withColumn("_r", F.col("_r") - 1)
     n_samples = F.greatest(F.col("_n") - time_step, F.lit(0))
-    split_at = F.floor(n_samples * F.lit(keep_num) / F.lit(1000))
+    split_at = F.floor(F.round(n_samples * F.lit(1 - float(validation_split)), 6))
     label = (F.when(is_test, "test")
               .when(is_train & ((F.col("_r") - time_step) >= split_at) & (F.col("_r") >= time_step),
                     "validation")
@@ -42,14 +62,9 @@ def chrono_split(df: DataFrame, train_end: str, test_start: str, date: str = "da
 
 def with_minmax(df: DataFrame, value: str, fit_rows: Column, out: str = "scaled",
                 symbol: str = "symbol") -> DataFrame:
-    """M18 fit + apply in one window pass: ``mn``/``mx`` are the min/max of
-    ``value`` over the rows selected by ``fit_rows`` within the symbol."""
-    whole = Window.partitionBy(symbol)
-    v = F.when(fit_rows, F.col(value))
-    j = df.withColumn("mn", F.min(v).over(whole)).withColumn("mx", F.max(v).over(whole))
-    rng = F.col("mx") - F.col("mn")
-    return j.withColumn(out, F.when(rng == 0, F.col(value) - F.col("mn"))
-                        .otherwise((F.col(value) - F.col("mn")) / rng))
+    """M18 fit + apply: ``mn``/``mx`` are the min/max of ``value`` over the
+    rows selected by ``fit_rows`` within the symbol."""
+    return minmax_transform(df, fit_minmax(df.where(fit_rows), value, symbol), value, out, symbol)
 
 
 def fit_minmax(train: DataFrame, value: str, symbol: str = "symbol") -> DataFrame:
@@ -60,8 +75,9 @@ def fit_minmax(train: DataFrame, value: str, symbol: str = "symbol") -> DataFram
 def minmax_transform(df: DataFrame, params: DataFrame, value: str, out: str = "scaled",
                      symbol: str = "symbol") -> DataFrame:
     """M18 apply: ``(x - mn) / (mx - mn)``; a constant series scales by 1
-    (so it maps to 0).  ``params`` has one row per symbol: bounded broadcast."""
-    j = df.join(F.broadcast(params), symbol, "left")
+    (so it maps to 0).  ``params`` has one row per symbol; how it is joined is
+    left to the planner, which knows its size."""
+    j = df.join(params, symbol, "left")
     rng = F.col("mx") - F.col("mn")
     return j.withColumn(out, F.when(rng == 0, F.col(value) - F.col("mn"))
                         .otherwise((F.col(value) - F.col("mn")) / rng))
@@ -84,17 +100,24 @@ def lag_windows(df: DataFrame, value: str, time_step: int = 30, date: str = "dat
     series of n rows yields n - time_step samples, each keeping its date.
 
     ``segment`` names a column of contiguous date ranges (e.g. train / test):
-    a window must lie inside the current row's segment, checked with the same
-    window frame instead of a second partitioning."""
+    a window must lie inside the current row's segment, so the row
+    ``time_step`` places earlier must be in it too.
+
+    Windows run over blocks of BLOCK positions; the last ``time_step`` rows of
+    a block are repeated in front of the next one."""
     partition = partition or ["symbol"]
-    w = Window.partitionBy(*partition).orderBy(date).rowsBetween(-time_step, -1)
-    out = df.withColumn(x, F.collect_list(value).over(w)).withColumn(y, F.col(value))
-    keep = F.size(x) == time_step
+    block = max(BLOCK, time_step)
+    at = F.col("_pos") - 1
+    placed = position_in(df, partition, date)
+    here = F.floor(at / block)
+    spread = placed.withColumn("_block", F.explode(F.when(at % block >= block - time_step, F.array(here, here + 1)).otherwise(F.array(here))))
+    by = Window.partitionBy(*partition, "_block").orderBy("_pos")
+    out = spread.withColumn(x, F.collect_list(value).over(by.rowsBetween(-time_step, -1))).withColumn(y, F.col(value))
+    keep = (F.size(x) == time_step) & (F.floor(at / block) == F.col("_block"))
     if segment:
-        out = out.withColumn("_segs", F.collect_list(segment).over(w))
-        keep = keep & F.forall("_segs", lambda s: s == F.col(segment))
-        return out.where(keep).drop("_segs")
-    return out.where(keep)
+        out = out.withColumn("_then", F.lag(segment, time_step).over(by))
+        return out.where(keep & (F.col("_then") == F.col(segment))).drop("_then", "_pos", "_block")
+    return out.where(keep).drop("_pos", "_block")
 
 
 def lags_to_vector(df: DataFrame, x: str = "x", out: str = "features") -> DataFrame:
@@ -129,7 +152,7 @@ def prepare_windows(prices: DataFrame, train_end: str, test_start: str,
                     time_step: int = 30, value: str = "high") -> DataFrame:
     """M19 + M18 + W5 over ``(symbol, date, value)``: split labels, min-max
     fitted on the training rows, windows that never cross the train / test
-    boundary.  One symbol partitioning for every step."""
+    boundary."""
     sp = chrono_split(prices, train_end, test_start, time_step=time_step)
     sc = with_minmax(sp, value, F.col("split").isin("train", "validation")).where(F.col("split") != "out")
     sc = sc.withColumn("side", F.when(F.col("split") == "test", "test").otherwise("train"))

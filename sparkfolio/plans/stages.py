@@ -103,3 +103,14 @@ def landed_split(spark: SparkSession, sf: str, name: str, tables: list[str],
         write_split(build(), path, by)
         spark.range(1).write.mode("overwrite").json(marker)
     return path
+
+
+def landed_json(spark: SparkSession, sf: str, name: str, tables: list[str],
+                build: Callable[[], DataFrame]) -> str:
+    """Land a derived table as JSON lines once per input version and return the folder."""
+    path = os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}")
+    marker = path + ".done"
+    if not _fs_glob(spark, os.path.join(marker, "*.json")):
+        build().write.mode("overwrite").json(path)
+        spark.range(1).write.mode("overwrite").json(marker)
+    return path

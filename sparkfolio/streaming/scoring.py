@@ -11,15 +11,14 @@ rerunning it against the same checkpoint processes only new files.
 
 from __future__ import annotations
 
-import os
-import uuid
+import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkfolio.operators.ml import score_from_params
-from sparkfolio.session import ensure_checkpoint_dir
 
 RECORD_FIELDS = ["n_chars", "n_words", "n_lines", "lang", "source"]
 REQUEST_SCHEMA = T.StructType([
@@ -31,24 +30,25 @@ REQUEST_SCHEMA = T.StructType([
 INVALID_REQUEST = "Invalid input: Request must contain a non-empty 'records' list."
 
 
-def _fresh(spark: SparkSession, kind: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), f"{kind}-{uuid.uuid4().hex}")
-
-
 def requests_from_documents(spark: SparkSession, sf: str, out_dir: str | None = None) -> str:
-    """Land one request per document as JSON lines (derived from the tables):
-    toxic-labelled documents become empty (invalid) requests."""
+    """Land one request per document as JSON lines (derived from the tables,
+    once per input version): toxic-labelled documents become empty (invalid)
+    requests."""
     from sparkfolio.plans.churn import doc_features
+    from sparkfolio.plans.stages import landed_json
     from sparkfolio.sources.tables import load
-    docs = doc_features(spark, sf)
-    tox = load(spark, sf, "labels").select("doc_id", "toxic")
-    d = docs.join(tox, "doc_id", "left")
-    rec = F.struct(*[F.col(f).cast("string").alias(f) for f in RECORD_FIELDS])
-    req = d.select(F.col("doc_id").alias("request_id"),
-                   F.when(F.col("toxic") == 1, F.array().cast(REQUEST_SCHEMA["records"].dataType))
-                    .otherwise(F.array(rec)).alias("records"))
-    out_dir = out_dir or _fresh(spark, "requests")
-    req.write.mode("overwrite").json(out_dir)
+
+    def requests() -> DataFrame:
+        toxic = load(spark, sf, "labels").where(F.col("toxic") == 1).select("doc_id").distinct().withColumn("toxic", F.lit(1))
+        d = doc_features(spark, sf).join(toxic, "doc_id", "left")
+        rec = F.struct(*[F.col(f).cast("string").alias(f) for f in RECORD_FIELDS])
+        return d.select(F.col("doc_id").alias("request_id"),
+                        F.when(F.col("toxic") == 1, F.array().cast(REQUEST_SCHEMA["records"].dataType))
+                         .otherwise(F.array(rec)).alias("records"))
+
+    if out_dir is None:
+        return landed_json(spark, sf, "requests", ["documents", "labels"], requests)
+    requests().write.mode("overwrite").json(out_dir)
     return out_dir
 
 
@@ -71,8 +71,10 @@ def scoring_stream(spark: SparkSession, req_dir: str, params: dict) -> DataFrame
 
 def run_scoring_stream(spark: SparkSession, req_dir: str, params: dict,
                        sink_dir: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    sink_dir = sink_dir or _fresh(spark, "scores")
-    checkpoint = checkpoint or _fresh(spark, "scores-ckpt")
+    # one sink and checkpoint for these requests and parameters: a rerun takes only new files
+    version = hashlib.md5(json.dumps(params, sort_keys=True).encode()).hexdigest()[:12]
+    sink_dir = sink_dir or f"{req_dir.rstrip('/')}.scores-{version}"
+    checkpoint = checkpoint or f"{req_dir.rstrip('/')}.scores-ckpt-{version}"
     q = (scoring_stream(spark, req_dir, params).writeStream
          .format("parquet").outputMode("append")
          .option("path", sink_dir).option("checkpointLocation", checkpoint)

@@ -123,12 +123,12 @@ def test_models_learn_separable_signal(spark):
     sp = ml.stratified_split(df, "label", "id")
     tr, va = sp.where("split = 'train'"), sp.where("split = 'validation'")
     prep = ml.Preprocessor.fit(tr, ["x"], ["c"])
-    name, _, est = ml.model_zoo(len(prep.feature_names))[0]
+    name, _, est = ml.model_zoo(len(prep.feature_names), tr.count())[0]
     model = est.fit(prep.transform(tr))
     auc = ml.auc_exact(ml.positive_probability(model.transform(prep.transform(va))), "score", "label").first().auc
     assert auc > 0.75
-    board = ml.leaderboard([("b", "t", 0.7), ("a", "t", 0.7), ("c", "t", 0.9)])
-    assert [r[0] for r in board] == ["c", "a", "b"]
+    board = ml.leaderboard([("b", "t", 0.7, 0.5), ("a", "t", 0.7, 0.5), ("c", "t", 0.9, 0.5)])
+    assert [(r[0], r[4]) for r in board] == [("c", True), ("a", False), ("b", False)]
 
 
 def test_stream_equals_batch(spark):
@@ -224,11 +224,38 @@ def test_run_benchmark_on_churn_sample(spark, churn):
     df, num, cat = churn
     df = df.withColumnRenamed("label", "label").withColumn("rid", F.monotonically_increasing_id())
     sp = ml.stratified_split(df, "label", "rid")
-    prep, board, models = ml.run_benchmark(sp.where("split = 'train'"), sp.where("split = 'validation'"),
+    prep, board, models, scores = ml.run_benchmark(sp.where("split = 'train'"), sp.where("split = 'validation'"),
                                            num, cat)
     assert [r[0] for r in board] and len(board) == 5 and set(models) == {r[0] for r in board}
     aucs = [r[2] for r in board]
     assert aucs == sorted(aucs, reverse=True) and all(0.0 <= a <= 1.0 for a in aucs)
+    assert scores.groupBy("name").count().count() == 5 and [r[4] for r in board] == [True] + [False] * 4
+
+
+def test_lag_windows_cross_blocks(spark, monkeypatch):
+    """Small blocks give what one window over the symbol gives."""
+    rows = [(s, dt.date(2020, 1, 1) + dt.timedelta(days=3 * i), float(i)) for s, n in (("a", 50), ("b", 7), ("c", 200)) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, date date, v double").withColumn("seg", F.when(F.col("v") < 30, "p").otherwise("q"))
+    want = sorted((r.symbol, r.y, r.x) for r in S.lag_windows(df, "v", 5, segment="seg").collect())
+    monkeypatch.setattr(S, "BLOCK", 8)
+    got = sorted((r.symbol, r.y, r.x) for r in S.lag_windows(df, "v", 5, segment="seg").collect())
+    brute = sorted((s, float(i), [float(j) for j in range(i - 5, i)]) for s, n in (("a", 50), ("b", 7), ("c", 200))
+                   for i in range(5, n) if (i < 30) == (i - 5 < 30))
+    assert got == want == brute
+
+
+def test_fitted_scoring_equals_sql(spark):
+    """The trained artifact scored by the library and by the same SQL."""
+    from sparkfolio.plans import churn
+    sf = "/root/testdata/sf0.001"
+    params = churn.export_params(spark, sf)
+    churn.doc_features(spark, sf).createOrReplaceTempView("fitted_features")
+    want = {r.doc_id: (r.probability, r.label) for r in spark.sql(churn.score_sql(params, "fitted_features")).collect()}
+    got = churn.score_fitted(spark, sf).collect()
+    assert len(got) == len(want)
+    for r in got:
+        p, label = want[r.doc_id]
+        assert r.probability == pytest.approx(p, abs=2e-9) and r.label == label
 
 
 def test_score_rejects_java_suffix_numbers(spark):
