@@ -224,7 +224,7 @@ def daily_merged_from_files(spark, data_dir: str, date_format: str = "M/d/yyyy")
     merge on (Id, Date), P7 missing minute columns, C7 and C8."""
     import os
     from sparkfolio.functions.coerce import to_date_safe, to_number
-    from sparkfolio.sources.readers import normalise_headers, read_csv_glob, _fs_glob
+    from sparkfolio.sources.readers import exists, normalise_headers, read_csv_glob
     pos = "_pos"
     daily = read_csv_glob(spark, [os.path.join(data_dir, "dailyActivity*merged*.csv"),
                                   os.path.join(data_dir, "dailyActivity_*.csv")],
@@ -236,7 +236,7 @@ def daily_merged_from_files(spark, data_dir: str, date_format: str = "M/d/yyyy")
     sleep = None
     for name in ("sleepDay_merged.csv", "sleepDay.csv"):
         path = os.path.join(data_dir, name)
-        if _fs_glob(spark, path):
+        if exists(spark, path):
             s = normalise_headers(read_csv_glob(spark, [path], all_string=True,
                                                 position_col=pos), {"SleepDay": "Date"})
             s = s.withColumn("Date", to_date_safe(F.substring_index("Date", " ", 1), date_format))

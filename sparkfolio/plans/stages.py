@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.session import ensure_checkpoint_dir
-from sparkfolio.sources.readers import _fs_glob
+from sparkfolio.sources.readers import exists
+from sparkfolio.sources.sinks import write_csv, write_json, write_split
 from sparkfolio.sources.tables import table_path
 
 
@@ -73,44 +74,44 @@ def stage(spark: SparkSession, sf: str, name: str, tables: list[str],
     # Completion marker in a sibling folder, written only after the data
     # (Spark's own file listing hides names starting with '_', e.g. _SUCCESS).
     marker = path + ".done"
-    if not _fs_glob(spark, os.path.join(marker, "*.json")):
+    if not exists(spark, os.path.join(marker, "*.json")):
         build().write.mode("overwrite").parquet(path)
         spark.range(1).write.mode("overwrite").json(marker)
     return spark.read.parquet(path)
 
 
-def landed_csv(spark: SparkSession, sf: str, name: str, tables: list[str],
-               build: Callable[[], DataFrame]) -> str:
-    """Land a derived table as header CSV files once per input version
-    and return the folder: the raw-file landing zone of a CSV pipeline."""
-    from sparkfolio.sources.sinks import write_csv
+def _landed(spark: SparkSession, sf: str, name: str, tables: list[str], write: Callable[[str], None]) -> str:
+    """Write a derived table once per input version; the folder's name is its
+    version, and a marker beside it says that it is complete."""
     path = os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}")
     marker = path + ".done"
-    if not _fs_glob(spark, os.path.join(marker, "*.json")):
-        write_csv(build(), path)
+    if not exists(spark, os.path.join(marker, "*.json")):
+        write(path)
         spark.range(1).write.mode("overwrite").json(marker)
     return path
 
 
+def landed_csv(spark: SparkSession, sf: str, name: str, tables: list[str],
+               build: Callable[[], DataFrame]) -> str:
+    """Land a derived table as header CSV files (S11) and return the folder:
+    the raw-file landing zone of a CSV pipeline."""
+    return _landed(spark, sf, name, tables, lambda path: write_csv(build(), path))
+
+
 def landed_split(spark: SparkSession, sf: str, name: str, tables: list[str],
                  build: Callable[[], DataFrame], by: list[str]) -> str:
-    """Land a derived table once per input version as header CSV files split
-    into one folder per key combination (S12) and return the root folder."""
-    from sparkfolio.sources.sinks import write_split
-    path = os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}")
-    marker = path + ".done"
-    if not _fs_glob(spark, os.path.join(marker, "*.json")):
-        write_split(build(), path, by)
-        spark.range(1).write.mode("overwrite").json(marker)
-    return path
+    """Land a derived table as header CSV files split into one folder per key
+    combination (S12) and return the root folder."""
+    return _landed(spark, sf, name, tables, lambda path: write_split(build(), path, by))
 
 
 def landed_json(spark: SparkSession, sf: str, name: str, tables: list[str],
                 build: Callable[[], DataFrame]) -> str:
-    """Land a derived table as JSON lines once per input version and return the folder."""
-    path = os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}")
-    marker = path + ".done"
-    if not _fs_glob(spark, os.path.join(marker, "*.json")):
-        build().write.mode("overwrite").json(path)
-        spark.range(1).write.mode("overwrite").json(marker)
-    return path
+    """Land a derived table as JSON lines and return the folder."""
+    return _landed(spark, sf, name, tables, lambda path: write_json(build(), path))
+
+
+def landed_xml(spark: SparkSession, sf: str, name: str, tables: list[str],
+               build: Callable[[], DataFrame], row_tag: str) -> str:
+    """Land a derived table as XML, one element a row, and return the folder."""
+    return _landed(spark, sf, name, tables, lambda path: build().write.mode("overwrite").format("xml").option("rowTag", row_tag).option("rootTag", "result").save(path))

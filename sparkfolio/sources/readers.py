@@ -8,6 +8,7 @@ filesystem glob (metadata only).
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,39 +17,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _fs_glob(spark: SparkSession, pattern: str) -> list[str]:
-    """File names matching a glob, listed through Spark's own file index
-    (works for any filesystem the cluster reads; the content column is pruned,
-    so only metadata is touched)."""
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob matches a file, probed with one row through
+    Spark's own file index (any filesystem the cluster reads; the content
+    column is pruned, so only metadata is touched)."""
     try:
-        found = (spark.read.format("binaryFile").load(pattern)
-                 .select("path").collect())
+        return not spark.read.format("binaryFile").load(path).select("path").limit(1).isEmpty()
     except AnalysisException:
-        return []
-    return sorted(r.path for r in found)
+        return False
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    return bool(_fs_glob(spark, path))
+def _header_names(line: str) -> list[str]:
+    """Column names of a header line; quoted names may hold commas."""
+    return next(csv.reader([line.rstrip("\r\n")]))
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Header names of a CSV (reads only the first line through Spark)."""
     first = spark.read.text(path).limit(1).collect()
     if not first:
-        raise ValueError("File is empty or cannot be read")
-    return [h.strip("\r") for h in first[0][0].split(",")]
+        raise ValueError(f"no header line in {path}")
+    return _header_names(first[0][0])
 
 
-def _first_header(spark: SparkSession, pattern: str) -> list[str] | None:
-    """Header of one file matching ``pattern``: the first line of a split that
-    starts at offset 0 (a one-row probe), or None when nothing matches."""
+def _file_headers(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """(file, header line) of every file matching ``pattern``, as a table; None
+    when nothing matches.  Only splits at offset 0 are read, and of them the
+    first line is kept."""
     try:
-        row = (spark.read.text(pattern)
-               .where(F.col("_metadata.file_block_start") == 0).limit(1).collect())
+        first = (spark.read.text(pattern).where(F.col("_metadata.file_block_start") == 0)
+                 .select(F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_at")))
     except AnalysisException:
         return None
-    return [h.strip("\r") for h in row[0][0].split(",")] if row else None
+    return first.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
@@ -90,35 +91,47 @@ def read_csv_glob(spark: SparkSession, patterns: list[str], schema=None,
                   all_string: bool = False, position_col: str | None = None,
                   same_header: bool = False) -> DataFrame:
     """S3: first pattern with hits wins; files are unioned by column name
-    (a single multi-path read would bind columns by position).
+    (a single multi-path read would bind columns by position).  Columns are
+    text unless ``schema`` is given, which all files then share.
     ``position_col`` attaches a (file, block, row) order key per file, the
     order that keep-first de-duplication (W3) follows.
-    ``same_header=True`` is for part files of one writer (thousands of files
-    at scale): one multi-path scan with the first file's header instead of a
-    per-file read and union."""
+    ``same_header=True`` is for part files of one writer: no look at the other
+    files' headers."""
     from sparkfolio.operators.rows import with_scan_position
+
+    def scan(pattern: str, names: list[str]) -> DataFrame:
+        sch = schema if schema is not None else T.StructType([T.StructField(n, T.StringType()) for n in names])
+        # Spark expands the glob itself: the file list never reaches the driver
+        df = (spark.read.option("header", True).option("nullValue", "\u0000")
+              .option("emptyValue", "").schema(sch).csv(pattern))
+        return df.withColumn("_source", F.col("_metadata.file_path"))
+
+    def finished(df: DataFrame) -> DataFrame:
+        if position_col:
+            df = with_scan_position(df, position_col)
+        df = df.drop("_source")
+        return df.na.fill("") if all_string else df
+
     for pat in patterns:
-        if same_header:
-            names = _first_header(spark, pat)
-            if names is None:
-                continue
-            sch = schema if schema is not None else T.StructType(
-                [T.StructField(n, T.StringType()) for n in names])
-            # Spark expands the glob itself: the file list never reaches the driver
-            df = (spark.read.option("header", True).option("nullValue", "\u0000")
-                  .option("emptyValue", "").schema(sch).csv(pat))
-            df = df.na.fill("") if all_string else df
-            return with_scan_position(df, position_col) if position_col else df
-        files = _fs_glob(spark, pat)
-        if files:
-            frames = []
-            for f in files:
-                one = (read_csv_text(spark, f) if all_string else
-                       (read_csv_typed(spark, f, schema) if schema is not None
-                        else spark.read.option("header", True)
-                        .option("inferSchema", True).csv(f)))
-                frames.append(with_scan_position(one, position_col) if position_col else one)
-            return union_by_name(frames)
+        files = _file_headers(spark, pat)
+        if files is None:
+            continue
+        if same_header or schema is not None:
+            row = files.select("_header").limit(1).collect()
+            return finished(scan(pat, _header_names(row[0][0])))
+        # one scan a distinct header, each kept to the files that have it
+        headers = sorted(r[0] for r in files.select("_header").distinct().collect())
+        frames = []
+        for h in headers:
+            df = scan(pat, _header_names(h))
+            if len(headers) > 1:
+                mine = files.where(F.col("_header") == h).select(F.col("_file").alias("_source"))
+                df = (with_scan_position(df, position_col) if position_col else df).join(mine, "_source", "left_semi")
+                df = df.drop("_source")
+                frames.append(df.na.fill("") if all_string else df)
+            else:
+                frames.append(finished(df))
+        return union_by_name(frames)
     raise FileNotFoundError(f"no files match any of {patterns}")
 
 
@@ -136,22 +149,21 @@ def read_statement_globs(spark: SparkSession, dirs: list[str],
                          schema=None) -> DataFrame | None:
     """Per-statement globs, first directory with hits wins, else None."""
     for d in dirs:
-        files = []
-        for s in suffixes:
-            files.extend(_fs_glob(spark, f"{d.rstrip('/')}/*{s}"))
-        if files:
-            frames = [read_csv_typed(spark, f, schema) if schema is not None else
-                      spark.read.option("header", True).csv(f) for f in files]
-            return union_by_name(frames)
+        globs = [g for g in (f"{d.rstrip('/')}/*{s}" for s in suffixes) if exists(spark, g)]
+        if globs:
+            if schema is not None:
+                return read_csv_typed(spark, globs, schema)
+            return union_by_name([read_csv_glob(spark, [g]) for g in globs])
     return None
 
 
 def read_status_payload(spark: SparkSession, path, row_schema: T.StructType,
-                        ok_status: str = "000") -> DataFrame:
-    """JSON payloads ``{status, list:[...]}``; keep status == ok, explode."""
+                        ok_status: str = "000", multi_line: bool = True) -> DataFrame:
+    """JSON payloads ``{status, list:[...]}``; keep status == ok, explode.
+    One payload a file, or one a line with ``multi_line=False``."""
     schema = T.StructType([T.StructField("status", T.StringType()),
                            T.StructField("list", T.ArrayType(row_schema))])
-    df = spark.read.option("multiLine", True).schema(schema).json(path)
+    df = spark.read.option("multiLine", multi_line).schema(schema).json(path)
     return (df.where(F.col("status") == ok_status)
               .select(F.explode("list").alias("r")).select("r.*"))
 
@@ -173,5 +185,5 @@ def price_history(df: DataFrame, start: str, end: str, date_col: str = "date",
     out = (df.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
              .select(*(keep or []), d.alias("date"), F.col(value_col).alias("high")))
     if require_rows and out.isEmpty():
-        raise ValueError(f"No data between '{start}' '{end}'.")
+        raise ValueError(f"no prices from {start} to {end}")
     return out
