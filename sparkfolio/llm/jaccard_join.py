@@ -38,9 +38,9 @@ from sparkfolio.llm.textarrays import LOWER, U64, Texts, gram_hashes, mix, per_t
 N = 5                           # words an n-gram
 PERCENT = 80                    # similarity
 SLICE = 4 << 20
-FRAGMENT_GRAMS = 4_000_000      # n-grams of one fragment, about
+FRAGMENT_GRAMS = 2_000_000      # n-grams of one fragment, about
 SEGMENTS = 8                    # fragments in which pairs are counted
-ROW_BLOCK, COLUMN_BLOCK = 512, 4_096
+ROW_BLOCK, COLUMN_BLOCK = 256, 1_024
 LISTS = T.ArrayType(T.LongType())
 
 
@@ -298,24 +298,21 @@ def link_components(documents: DataFrame, text_col: str = "text", id_col: str =
 
     texts = documents.select(text)
     fragments = max(1, math.ceil(total / FRAGMENT_GRAMS))
-    counted = texts.mapInArrow(_cut(n, fragments), CUT).groupBy("fragment").applyInArrow(_count_fragment, COUNTED)
+    cut_texts = texts.mapInArrow(_cut(n, fragments), CUT).repartitionById(fragments, F.col("fragment"))      # one a task
+    counted = cut_texts.groupBy("fragment").applyInArrow(_count_fragment, COUNTED)
     able = saved(counted.groupBy("slice").applyInArrow(_able(percent), "class binary").distinct(), "join-able")
     half = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")
     shared = spark.sparkContext.broadcast(key_filter(able.select(half.alias("k")), "k"))
-    sets = (texts.mapInArrow(_some_sets(shared, n), T.StructType([T.StructField("class", T.BinaryType()), T.StructField("grams", LISTS)]))
-            .join(able, "class", "left_semi").dropDuplicates(["class"]))
-
-    segment = lambda g: F.pmod(F.shiftrightunsigned(g, 60), F.lit(SEGMENTS))
-    parts = sets.select("class", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda k: F.filter("grams", lambda g: segment(g) == k))).alias("segment", "grams"))
-    # a segment is cut further into fragments of bounded size; small inputs have one a segment
-    finer = max(1, fragments // SEGMENTS)
-    cut = parts if finer == 1 else None
-    if cut is None:
-        inner = lambda g: F.pmod(F.shiftrightunsigned(g, 40), F.lit(finer))
-        cut = parts.select("class", "segment", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(finer - 1)), lambda k: F.filter("grams", lambda g: inner(g) == k))).alias("inner", "grams"))
-    else:
-        cut = cut.withColumn("inner", F.lit(0))
-    cut = cut.where(F.size("grams") > 0).select("class", (F.col("inner") * SEGMENTS + F.col("segment")).cast("int").alias("fragment"), F.col("segment").cast("int").alias("segment"), "grams")
+    sets = saved(texts.mapInArrow(_some_sets(shared, n), T.StructType([T.StructField("class", T.BinaryType()), T.StructField("grams", LISTS)]))
+                 .join(able, "class", "left_semi").dropDuplicates(["class"]), "join-sets")
+
+    # a segment of the order is a fragment, or several of bounded size when the kept sets are many
+    kept = sets.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("n")).first()["n"]
+    finer = max(1, math.ceil(kept / (SEGMENTS * FRAGMENT_GRAMS)))
+    fragment = lambda g: (F.pmod(F.shiftrightunsigned(g, 60), F.lit(SEGMENTS)) + SEGMENTS * F.pmod(F.shiftrightunsigned(g, 40), F.lit(finer))).cast("int")
+    cut = (sets.select("class", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS * finer - 1)), lambda k: F.filter("grams", lambda g: fragment(g) == k))).alias("fragment", "grams"))
+           .where(F.size("grams") > 0).select("class", "fragment", (F.col("fragment") % SEGMENTS).alias("segment"), "grams")
+           .repartitionById(SEGMENTS * finer, F.col("fragment")))
     cut_schema = T.StructType([T.StructField("class", T.BinaryType()), T.StructField("fragment", T.IntegerType()), T.StructField("segment", T.IntegerType()),
                                T.StructField("grams", LISTS), T.StructField("found_in", LISTS)])
     segs = saved(cut.groupBy("fragment").applyInArrow(_frequencies, cut_schema), "join-segments")
