@@ -16,14 +16,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkfolio.functions.arith import sigmoid_dot
 from sparkfolio.functions.coerce import python_float
 from sparkfolio.operators.profile import exact_quantiles
-from sparkfolio.operators.rows import with_group_rank, with_running_sum
+from sparkfolio.operators.rows import with_running_sum
 from sparkfolio.sources.sinks import written_once
 
 
@@ -32,20 +32,27 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
                      seed: int = 42, out: str = "split", exact: bool = True) -> DataFrame:
     """Repeatable stratified split: inside each label, rows ordered by
     ``md5(id:seed)``; the first ``ceil(n * test_fraction)`` are validation.
-    Ranks come from a distributed sort (``with_group_rank``), so a dominant
-    label is never gathered in one task.  ``exact=False`` is the shuffle-free
-    path for very large inputs: a per-row hash threshold, whose per-label
-    validation share holds in expectation (as with ``sampleBy``)."""
+    Rows are counted per (label, hash prefix); only the one prefix of a label
+    that holds the cut is ranked, so no sort covers a label.  ``exact=False``
+    is the shuffle-free path for very large inputs: a per-row hash threshold,
+    whose per-label validation share holds in expectation (as with ``sampleBy``)."""
     if not exact:
         h = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_000))
-        return df.withColumn(out, F.when(h < F.lit(int(test_fraction * 1_000_000)), "validation")
-                             .otherwise("train"))
-    key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
-    ranked = with_group_rank(df.withColumn("_h", key), [label], ["_h", id_col],
-                             name="_rk", size_name="_n")
-    n_val = F.ceil(F.round(F.col("_n") * F.lit(float(test_fraction)), 6))
-    return (ranked.withColumn(out, F.when(F.col("_rk") < n_val, "validation").otherwise("train"))
-                  .drop("_h", "_rk", "_n"))
+        return df.withColumn(out, F.when(h < F.lit(int(round(test_fraction * 1_000_000))),
+                                         "validation").otherwise("train"))
+    key = F.coalesce(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))), F.lit(""))
+    hashed = df.withColumn("_h", key).withColumn("_p", F.substring("_h", 1, 4))
+    before = Window.partitionBy(label).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)        # 65,536 prefixes at most
+    counts = hashed.groupBy(label, "_p").agg(F.count(F.lit(1)).alias("_c")).select(
+        F.col(label).alias("_label"), F.col("_p").alias("_prefix"), "_c", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_from"),
+        F.ceil(F.round(F.sum("_c").over(Window.partitionBy(label)) * F.lit(float(test_fraction)), 6)).alias("_cut"))
+    placed = hashed.join(counts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_p") == F.col("_prefix"))).drop("_label", "_prefix")
+    held = (F.col("_from") < F.col("_cut")) & (F.col("_cut") < F.col("_from") + F.col("_c"))
+    inside = F.row_number().over(Window.partitionBy(label, "_p").orderBy("_h", id_col)) - 1
+    sides = placed.where(~held).withColumn(out, F.when(F.col("_from") < F.col("_cut"), "validation").otherwise("train"))
+    cut = placed.where(held).withColumn("_i", inside).withColumn(
+        out, F.when(F.col("_from") + F.col("_i") < F.col("_cut"), "validation").otherwise("train")).drop("_i")
+    return sides.unionByName(cut).drop("_h", "_p", "_c", "_from", "_cut")
 
 
 # ---- M1-M4 preprocessing statistics -------------------------------------------------

@@ -1,15 +1,15 @@
 """Data-profile operators.
 
 ``describe`` computes *exact* quartiles (linear interpolation, like pandas)
-without collecting any column into one task: values are counted per distinct
-(column, value) first, then a distributed running sum over the sorted
-distinct values gives every value its rank range, and only the values that
-cover a quantile's bracketing ranks are kept.
+without collecting or sorting any column: bucket counts tell which small part
+of a column's range holds a quantile, and only that part is ranked.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.arith import round_half
@@ -25,6 +25,9 @@ def null_profile(df: DataFrame, top: int = 10) -> DataFrame:
     return long.orderBy(F.col("null_count").desc(), "column_name").limit(top)
 
 
+BUCKETS = 1024
+
+
 def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
              digits: int | None = 6, exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """Count, mean, std (sample), min, quantiles, max per column.
@@ -35,16 +38,17 @@ def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
     from a bounded-memory sketch (``percentile_approx``, rank error about
     1/accuracy) inside the same aggregate, so no global sort.
     """
-    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = (df.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, v)")
-              .where(F.col("v").isNotNull() & ~F.isnan("v")))
+    value = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    value = {c: F.when(~F.isnan(v), v) for c, v in value.items()}
 
     def r(e: Column) -> Column:
         return round_half(e, digits) if digits is not None else e
 
-    moments = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"), r(F.avg("v")).alias("mean"),
-        r(F.stddev_samp("v")).alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    # all columns' moments in one pass over the wide rows
+    wide = df.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(v).alias("count"), r(F.avg(v)).alias("mean"), r(F.stddev_samp(v)).alias("std"),
+                             F.min(v).alias("min"), F.max(v).alias("max")).alias(f"_{i}") for i, (c, v) in enumerate(value.items())])
+    moments = wide.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(cols))]))).where("count > 0")
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), v.alias("v")) for c, v in value.items()]))).where(F.col("v").isNotNull())
 
     names = [f"p{int(round(p * 100))}" for p in percentiles]
     if not exact:
@@ -62,17 +66,26 @@ def exact_quantiles(long: DataFrame, percentiles=(0.5,), group: str = "column_na
     """Exact quantiles with linear interpolation (pandas / numpy default) per
     group of a long ``(group, value)`` table, columns ``p<100*p>``.
 
-    Values are first counted per distinct (group, value) - a hot value
-    collapses map-side into one row, so the sort that follows can never pile
-    one value's copies into a single task.  A distributed running sum of the
-    counts over the sorted distinct values gives each value its rank range
-    ``[r0, r0 + count)`` inside its group; only the values whose range covers
-    a quantile's bracketing ranks are kept (one row per group per rank)."""
-    counts = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
-    run = with_running_sum(counts, [group, value], "_c", "_cum")
-    starts = run.groupBy(group).agg(F.min("_cum").alias("_start"), F.sum("_c").alias("_n"))
-    ranked = (run.join(starts, group)
-                 .withColumn("_r0", F.col("_cum") - F.col("_start"))
+    The group's range is cut into BUCKETS, which are counted (map-side
+    first); the buckets that hold a wanted rank are then ranked by themselves:
+    their values are counted per distinct value - a hot value is one row - and
+    a distributed running sum of the counts gives each value its rank range
+    ``[r0, r0 + count)``.  So no sort covers more than those buckets."""
+    span = long.groupBy(group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    width = F.col("_hi") - F.col("_lo")
+    place = F.when((width > 0) & (width < F.lit(float("inf"))), F.floor((F.col(value) - F.col("_lo")) / width * (BUCKETS - 1))).otherwise(0).cast("int")
+    placed = long.join(span, group).select(group, value, "_n", place.alias("_b"))
+    upto = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (placed.groupBy(group, "_n", "_b").agg(F.count(F.lit(1)).alias("_k"))
+               .withColumn("_from", F.coalesce(F.sum("_k").over(upto), F.lit(0))))
+    ranks = [f((F.col("_n") - 1) * F.lit(float(p))) for p in percentiles for f in (F.floor, F.ceil)]
+    holds = reduce(lambda a, c: a | c, [(F.col("_from") <= k) & (k < F.col("_from") + F.col("_k")) for k in ranks])
+    counts = (placed.drop("_n").join(buckets.where(holds).drop("_k"), [group, "_b"])
+              .groupBy(group, "_n", "_b", "_from", value).agg(F.count(F.lit(1)).alias("_c")))
+    run = with_running_sum(counts, [group, "_b", value], "_c", "_cum")
+    starts = run.groupBy(group, "_b").agg(F.min("_cum").alias("_start"))
+    ranked = (run.join(starts, [group, "_b"])
+                 .withColumn("_r0", F.col("_from") + F.col("_cum") - F.col("_start"))
                  .withColumn("_r1", F.col("_r0") + F.col("_c")))
     covers = lambda r: (F.col("_r0") <= r) & (r < F.col("_r1"))
     wanted = None

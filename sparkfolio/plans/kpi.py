@@ -78,10 +78,11 @@ def entity_year_sums(spark, sf):
 def build_entity_year_sums(spark, sf):
     """Exact per-(nation, year) money sums.
 
-    Per line the work is 64-bit integer arithmetic (cents x basis points),
-    summed inside ``SALT`` hash buckets of the order key: a hot (nation, year)
-    is split across buckets (no single huge partial) and every bucket sum
-    stays far below the long range.  Only the ``SALT`` partials per group are
+    Per line the work is 64-bit integer arithmetic (cents x basis points).
+    After the order join the lines are summed per (supplier, year) and ``SALT``
+    hash buckets of the order key, map-side first, so what goes on to the
+    supplier join is sums, not lines; a hot supplier is split across buckets
+    and every bucket sum stays far below the long range.  These partials are
     then added as DECIMAL(38), which keeps the totals exact at any size."""
     cents = lambda c: F.round(F.col(c) * F.lit(100.0)).cast("bigint")
     li = load(spark, sf, "lineitem").select(
@@ -91,17 +92,16 @@ def build_entity_year_sums(spark, sf):
     o = load(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
     s = load(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     n = load(spark, sf, "nation").select("n_nationkey", "n_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(s, li.l_suppkey == s.s_suppkey)
-           # nation is a fixed 25-row dimension: bounded broadcast
-           .join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")))
-    keys = [F.col("n_name").alias("entity"), "n_nationkey", "year"]
-    part = j.groupBy(*keys, F.pmod(F.xxhash64("l_orderkey"), F.lit(SALT)).alias("_salt")).agg(
-        F.sum("e").alias("e"), F.sum(F.col("e") * F.col("dp")).alias("ed"),
-        F.sum(F.col("e") * F.col("tp")).alias("et"),
-        F.sum(F.when(F.col("l_linestatus") == "O", F.col("q")).otherwise(0)).alias("oq"))
+    part = (li.join(o, li.l_orderkey == o.o_orderkey)
+            .groupBy("l_suppkey", "year", F.pmod(F.xxhash64("l_orderkey"), F.lit(SALT)).alias("_salt")).agg(
+                F.sum("e").alias("e"), F.sum(F.col("e") * F.col("dp")).alias("ed"),
+                F.sum(F.col("e") * F.col("tp")).alias("et"),
+                F.sum(F.when(F.col("l_linestatus") == "O", F.col("q")).otherwise(0)).alias("oq")))
+    j = (part.join(s, part.l_suppkey == s.s_suppkey)
+         # nation is a fixed 25-row dimension: bounded broadcast
+         .join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")))
     dec = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
-    tot = part.groupBy("entity", "n_nationkey", "year").agg(
+    tot = j.groupBy(F.col("n_name").alias("entity"), "n_nationkey", "year").agg(
         dec("e").alias("e"), dec("ed").alias("ed"), dec("et").alias("et"), dec("oq").alias("oq"))
     return tot.selectExpr(
         "entity", "n_nationkey", "year",
