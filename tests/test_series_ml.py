@@ -139,7 +139,8 @@ def test_stream_equals_batch(spark):
               "coef": [0.1, -0.2, 0.3, 0.5, -0.5, 0.05], "intercept": -0.1}
     import os
     import tempfile
-    d = tempfile.mkdtemp(prefix="req-", dir=scoring.ensure_checkpoint_dir(spark))
+    from sparkfolio.session import ensure_checkpoint_dir
+    d = tempfile.mkdtemp(prefix="req-", dir=ensure_checkpoint_dir(spark))
     reqs = [
         {"request_id": 1, "records": [{"n_chars": "120", "n_words": "9", "n_lines": "2", "lang": "en", "source": "s1"},
                                       {"n_chars": None, "n_words": "x", "n_lines": "", "lang": None, "source": "zz"}]},
