@@ -15,7 +15,7 @@ from sparkfolio.functions.coerce import multi_format_timestamp, to_date_safe, to
 from sparkfolio.operators.frame import Frame, columns_by_kind, present_columns
 from sparkfolio.operators.segments import order_report
 from sparkfolio.plans.registry import query
-from sparkfolio.plans.stages import _landed, landed_csv, landed_json, landed_xml, stage_root
+from sparkfolio.plans.stages import landed, landed_csv, landed_json, landed_xml, stage_root
 from sparkfolio.sources import readers as R
 from sparkfolio.sources.sinks import create_table_as, write_csv
 from sparkfolio.sources.tables import load
@@ -56,7 +56,7 @@ def _order_parts(spark, sf) -> str:
             F.col("o_orderkey").alias("Order Key"))
         write_csv(us, os.path.join(path, "us"))
         write_csv(iso, os.path.join(path, "iso"))
-    return _landed(spark, sf, "order_parts", ["orders"], write)
+    return landed(spark, sf, "order_parts", ["orders"], write)
 
 
 @query("csv_parts_by_name", """
@@ -110,7 +110,7 @@ def statement_files(spark, sf):
         s = load(spark, sf, "supplier").select(F.col("s_nationkey").alias("entity"), F.col("s_suppkey").alias("code"), "s_acctbal")
         write_csv(s.where("s_acctbal > 0").select("entity", F.lit("IS").alias("statement"), "code"), os.path.join(path, "all_IS_raw.csv"))
         write_csv(s.where("s_acctbal <= 0").select("code", F.lit("BS").alias("statement"), "entity"), os.path.join(path, "all_BS_raw.csv"))
-    path = _landed(spark, sf, "statement_files", ["supplier"], write)
+    path = landed(spark, sf, "statement_files", ["supplier"], write)
     df = R.read_statement_globs(spark, [path + "-empty", path])
     return (df.groupBy(F.col("entity").cast("int").alias("entity"), "statement")
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("code").cast("long")).alias("code")))

@@ -8,13 +8,18 @@ files.  Every later query that needs the stage reads the small table instead
 of re-scanning and re-aggregating the large inputs - the role the
 CREATE TABLE AS statement and the processed CSV files play in the reference
 pipelines.  New input files give a new key, so a stale stage is never read.
-A stage without its completion marker (an interrupted write) is rebuilt.
+A stage without its completion marker (an interrupted write) is rebuilt; a
+marker names the folder it stands for, so drivers can build at once.  Folders
+of superseded keys stay until the launcher clears the shared folder.
 """
 
 from __future__ import annotations
 
 import hashlib
+import importlib
 import os
+import pkgutil
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,17 +35,19 @@ _CODE_KEY: str | None = None
 
 
 def code_key() -> str:
-    """Fingerprint of the package source: a stage built by other code (an
-    older version of these plans) is never read back."""
+    """Fingerprint of the packages that stages are made by: a stage built by
+    other code is never read back.  The sources come from the modules' loader,
+    so a zipped package has them too."""
     global _CODE_KEY
     if _CODE_KEY is None:
-        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         h = hashlib.md5()
-        for d, _, files in sorted(os.walk(root)):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    with open(os.path.join(d, f), "rb") as fh:
-                        h.update(f.encode() + fh.read())
+        for name in ("functions", "operators", "plans", "sources"):
+            package = importlib.import_module(f"sparkfolio.{name}")
+            for m in sorted(pkgutil.iter_modules(package.__path__, package.__name__ + "."), key=lambda m: m.name):
+                source = m.module_finder.find_spec(m.name).loader.get_source(m.name)
+                if source is None:
+                    raise RuntimeError(f"no source of {m.name} to key stage tables on")
+                h.update(m.name.encode() + source.encode())
         _CODE_KEY = h.hexdigest()[:12]
     return _CODE_KEY
 
@@ -68,50 +75,62 @@ def stage_root(spark: SparkSession, kind: str) -> str:
         os.path.join(ensure_checkpoint_dir(spark), kind)
 
 
-def stage(spark: SparkSession, sf: str, name: str, tables: list[str],
-          build: Callable[[], DataFrame]) -> DataFrame:
-    path = os.path.join(stage_root(spark, "stages"), f"{name}-{input_key(spark, sf, tables)}")
-    # Completion marker in a sibling folder, written only after the data
-    # (Spark's own file listing hides names starting with '_', e.g. _SUCCESS).
-    marker = path + ".done"
+def _published(spark: SparkSession, marker: str) -> str | None:
+    """The folder that a marker names, if there is one."""
     if not exists(spark, os.path.join(marker, "*.json")):
-        build().write.mode("overwrite").parquet(path)
-        spark.range(1).write.mode("overwrite").json(marker)
-    return spark.read.parquet(path)
+        return None
+    return spark.read.schema("path string").json(marker).agg(F.min("path")).first()[0]
 
 
-def _landed(spark: SparkSession, sf: str, name: str, tables: list[str], write: Callable[[str], None]) -> str:
-    """Write a derived table once per input version; the folder's name is its
-    version, and a marker beside it says that it is complete."""
-    path = os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}")
-    marker = path + ".done"
-    if not exists(spark, os.path.join(marker, "*.json")):
+def _once(spark: SparkSession, base: str, write: Callable[[str], None]) -> str:
+    """The folder with what ``write`` made for ``base``, made if need be.
+
+    It is written under a path of its own and published by a marker that names
+    it, after the data.  Drivers that build the same thing at once do not touch
+    each other's files: all then read the folder whose name sorts first.  An
+    unfinished write is never named."""
+    marker = base + ".done"
+    found = _published(spark, marker)
+    if found is None:
+        path = f"{base}-{uuid.uuid4().hex}"
         write(path)
-        spark.range(1).write.mode("overwrite").json(marker)
-    return path
+        spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("append").json(marker)
+        found = _published(spark, marker)
+    return found
+
+
+def stage(spark: SparkSession, sf: str, name: str, tables: list[str],
+          build: Callable[[], DataFrame]) -> DataFrame:
+    base = os.path.join(stage_root(spark, "stages"), f"{name}-{input_key(spark, sf, tables)}")
+    return spark.read.parquet(_once(spark, base, lambda path: build().write.parquet(path)))
+
+
+def landed(spark: SparkSession, sf: str, name: str, tables: list[str], write: Callable[[str], None]) -> str:
+    """Write derived files once per input version and return their folder."""
+    return _once(spark, os.path.join(stage_root(spark, "landed"), f"{name}-{input_key(spark, sf, tables)}"), write)
 
 
 def landed_csv(spark: SparkSession, sf: str, name: str, tables: list[str],
                build: Callable[[], DataFrame]) -> str:
     """Land a derived table as header CSV files (S11) and return the folder:
     the raw-file landing zone of a CSV pipeline."""
-    return _landed(spark, sf, name, tables, lambda path: write_csv(build(), path))
+    return landed(spark, sf, name, tables, lambda path: write_csv(build(), path))
 
 
 def landed_split(spark: SparkSession, sf: str, name: str, tables: list[str],
                  build: Callable[[], DataFrame], by: list[str]) -> str:
     """Land a derived table as header CSV files split into one folder per key
     combination (S12) and return the root folder."""
-    return _landed(spark, sf, name, tables, lambda path: write_split(build(), path, by))
+    return landed(spark, sf, name, tables, lambda path: write_split(build(), path, by))
 
 
 def landed_json(spark: SparkSession, sf: str, name: str, tables: list[str],
                 build: Callable[[], DataFrame]) -> str:
     """Land a derived table as JSON lines and return the folder."""
-    return _landed(spark, sf, name, tables, lambda path: write_json(build(), path))
+    return landed(spark, sf, name, tables, lambda path: write_json(build(), path))
 
 
 def landed_xml(spark: SparkSession, sf: str, name: str, tables: list[str],
                build: Callable[[], DataFrame], row_tag: str) -> str:
     """Land a derived table as XML, one element a row, and return the folder."""
-    return _landed(spark, sf, name, tables, lambda path: build().write.mode("overwrite").format("xml").option("rowTag", row_tag).option("rootTag", "result").save(path))
+    return landed(spark, sf, name, tables, lambda path: build().write.mode("overwrite").format("xml").option("rowTag", row_tag).option("rootTag", "result").save(path))
