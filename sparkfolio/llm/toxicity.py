@@ -25,7 +25,8 @@ from sparkfolio.llm.textarrays import LOWER, Texts, per_text, span_hashes, spans
 TRAIN_ROWS = 20_000
 FEATURES = 4_096
 PREFIXES = (5, 6, 7)        # bytes; a longer word also counts by these beginnings
-MIN_ROWS = 3                # a feature of fewer labelled rows is noise
+MIN_ROWS = 3                # a feature of fewer labelled rows is noise,
+MIN_GAIN = 7.0              # as is one whose log-likelihood ratio is below this (chance: one in a hundred and twenty)
 
 #: Identity terms that stand for each other in a sentence; the last of a group is neutral.
 IDENTITY_GROUPS = (
@@ -149,7 +150,7 @@ def train(documents: DataFrame, labels: DataFrame, text_col: str = "text", id_co
     n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
     share = (n0 + n1) / (t0 + t1)
     gain = sum((term(n, share * t) + term(F.lit(t) - n, (1 - share) * t) for n, t in ((n0, t0), (n1, t1))), F.lit(0.0))
-    best = counts.where((n0 + n1 >= MIN_ROWS) & (n0 + n1 < t0 + t1)).orderBy(gain.desc(), "h").limit(n_features).select("h").toPandas()
+    best = counts.where((n0 + n1 >= MIN_ROWS) & (n0 + n1 < t0 + t1) & (2 * gain >= MIN_GAIN)).orderBy(gain.desc(), "h").limit(n_features).select("h").toPandas()
     features = np.unique(np.concatenate([best["h"].to_numpy(np.int64).view(np.uint64), identity]))
     shared = spark.sparkContext.broadcast(features)
 
