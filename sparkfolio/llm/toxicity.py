@@ -26,7 +26,7 @@ TRAIN_ROWS = 20_000
 FEATURES = 4_096
 PREFIXES = (5, 6, 7)        # bytes; a longer word also counts by these beginnings
 MIN_ROWS = 3                # a feature of fewer labelled rows is noise,
-MIN_GAIN = 7.0              # as is one whose log-likelihood ratio is below this (chance: one in a hundred and twenty)
+MIN_GAIN = 5.0              # as is one whose log-likelihood ratio is below this (chance: one in forty)
 
 #: Identity terms that stand for each other in a sentence; the last of a group is neutral.
 IDENTITY_GROUPS = (
