@@ -122,7 +122,8 @@ def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc
     place = F.struct("id", "key", "line")
     firsts = (found.groupBy("h", "part").agg(F.min(place).alias("place"), F.min_by(F.struct("before", "after"), place).alias("around"), F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > 1).drop("n"))
-    f = firsts.select("h", F.col("part").alias("first_part"), "place", "around")
+    # written, so that the join below deals plain rows, whose large keys Spark can split
+    f = saved(firsts.select("h", F.col("part").alias("first_part"), "place", "around"), "line-firsts")
     removed = (found.join(f, "h").where((F.col("part") == F.col("first_part"))
                                         & ~(F.col("id").eqNullSafe(F.col("place.id")) & (F.col("key") == F.col("place.key")) & (F.col("line") == F.col("place.line"))))
                .withColumn("back", _equal_back("before", "around.before")).withColumn("on", _equal_on("after", "around.after"))
