@@ -255,7 +255,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, n_groups: int = GROUPS, ro
     before = Window.partitionBy("len").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = (salted.groupBy("len", "salt").agg(F.count(F.lit(1)).alias("n"))
               .select("len", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
-    if capacity * salts <= 1_000_000:           # rows of 20 bytes; beyond, the planner decides
+    if capacity * salts <= 200_000:             # rows of 100 bytes in a hash table; beyond, the planner decides
         starts = F.broadcast(starts)
     inside = F.row_number().over(Window.partitionBy("len", "salt").orderBy("key")) - 1
     ranked = salted.withColumn("i", inside).join(starts, ["len", "salt"])
