@@ -341,8 +341,9 @@ def link_components(documents: DataFrame, text_col: str = "text", id_col: str =
     member = saved(groups.join(linked.select("node", F.col("root").alias("part")), "node", "left")
                    .select("node", F.col("root").alias("grp"), F.coalesce("part", "node").alias("part")), "join-members")
     per_part = member.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("c"))
-    per_group = (per_part.groupBy("grp").agg(F.max_by("part", F.struct("c", "part")).alias("largest"), F.count(F.lit(1)).alias("parts"),
-                                             F.sum("c").alias("m"), F.max("c").alias("big")).where(F.col("parts") > 1))
+    # written, so that the join below deals plain rows, whose large groups Spark can split
+    per_group = saved(per_part.groupBy("grp").agg(F.max_by("part", F.struct("c", "part")).alias("largest"), F.count(F.lit(1)).alias("parts"),
+                                             F.sum("c").alias("m"), F.max("c").alias("big")).where(F.col("parts") > 1), "join-groups")
     open_ = member.join(per_group, "grp").withColumn("is_row", F.col("part") != F.col("largest"))
     row_blocks, column_blocks = F.ceil((F.col("m") - F.col("big")) / ROW_BLOCK).cast("int"), F.ceil(F.col("m") / COLUMN_BLOCK).cast("int")
     own = F.xxhash64("node")
