@@ -52,7 +52,7 @@ def chunks(texts: Texts) -> dict[str, np.ndarray]:
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every removable chunk's hash and its text's id, once a text and twice at most."""
+    """The removable chunks' hashes and how often each occurs, summed per slice of texts."""
     for b in batches:
         for texts in text_slices(b["text"]):
             c = chunks(texts)
