@@ -323,7 +323,7 @@ def link_components(documents: DataFrame, text_col: str = "text", id_col: str =
 
     # candidate graph: each prefix n-gram's classes with the one whose n-grams are the most frequent
     entries = prefixes.select(F.explode("prefix").alias("gram"), "class", F.struct("share", "class").alias("rank"))
-    leaders = entries.groupBy("gram").agg(F.max("rank")["class"].alias("leader"))
+    leaders = saved(entries.groupBy("gram").agg(F.max("rank")["class"].alias("leader")), "join-leaders")
     star = saved(entries.join(leaders, "gram").where(F.col("class") != F.col("leader")).select(F.col("class").alias("a"), F.col("leader").alias("b")).distinct(), "join-star")
     groups = components(star)
 
