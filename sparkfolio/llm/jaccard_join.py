@@ -37,7 +37,7 @@ from sparkfolio.llm.textarrays import LOWER, U64, Texts, gram_hashes, mix, per_t
 
 N = 5                           # words an n-gram
 PERCENT = 80                    # similarity
-SLICE = 4 << 20
+SLICE = 2 << 20
 FRAGMENT_GRAMS = 2_000_000      # n-grams of one fragment, about
 SEGMENTS = 8                    # fragments in which pairs are counted
 ROW_BLOCK, COLUMN_BLOCK = 256, 1_024
@@ -76,17 +76,22 @@ def _binary(values) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
+def _nested(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in a column of lists of lists, and the inner lists' ends; no Python objects."""
+    inner = lists.flatten()
+    return np.asarray(inner.flatten()), np.concatenate([[0], np.cumsum(np.asarray(inner.value_lengths()), dtype=np.int64)])
+
+
 # ---- 1: classes ----------------------------------------------------------------
 
 def _classes(names: list[str], n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sizes = [], []
             for texts in text_slices(b["text"]):
                 values, ends = gram_sets(texts, n)
-                keys += [k or None for k in class_keys(values, ends)]
-                sizes.append(np.diff(ends))
-            yield pa.RecordBatch.from_arrays([b["record"], b["id"], _binary(keys), pa.array(np.concatenate([np.zeros(0, np.int64), *sizes]).astype(np.int64))], names)
+                keys = [k or None for k in class_keys(values, ends)]
+                part = [b[c].slice(texts.first, len(texts)) for c in ("record", "id")]
+                yield pa.RecordBatch.from_arrays([*part, _binary(keys), pa.array(np.diff(ends).astype(np.int64))], names)
     return run
 
 
@@ -214,13 +219,14 @@ def _prefix(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, sizes, shares, lists = [], [], [], []
-            for r in b.to_pylist():
-                g = np.concatenate([np.array(x, np.int64) for x in r["grams"]])
-                f = np.concatenate([np.array(x, np.int64) for x in r["found_in"]])
+            (grams, ends), (found, _) = _nested(b["grams"]), _nested(b["found_in"])
+            ends = ends[np.concatenate([[0], np.cumsum(np.asarray(b["grams"].value_lengths()))])]
+            for i, key in enumerate(b["class"].to_pylist()):
+                g, f = grams[ends[i]:ends[i + 1]], found[ends[i]:ends[i + 1]]
                 if 100 * np.count_nonzero(f > 1) < percent * len(g):
                     continue
                 order = np.lexsort((g, f))[:len(g) - -(-percent * len(g) // 100) + 1]
-                keys.append(r["class"])
+                keys.append(key)
                 sizes.append(len(g))
                 shares.append(float(np.log(f).sum() / len(g)))
                 lists.append(g[order][f[order] > 1].tolist())
@@ -234,14 +240,17 @@ def _test_block(percent: int):
     """Rows (classes outside the largest part) against columns of one candidate
     group: a spanning forest, over the parts, of the links between them."""
     def run(table: pa.Table) -> pa.Table:
-        rows = [r for r in table.to_pylist()]
-        sides = [[r for r in rows if r["is_row"]], [r for r in rows if not r["is_row"]]]
+        table = table.combine_chunks()
+        is_row = np.asarray(table["is_row"]).astype(bool)
+        sides = [np.flatnonzero(is_row), np.flatnonzero(~is_row)]
+        part_of = table["part"].to_pylist()
         out: list[tuple[bytes, bytes]] = []
-        if all(sides):
-            sizes = [np.array([r["n"] for r in s], np.int64) for s in sides]
+        if len(sides[0]) and len(sides[1]):
+            sizes = [np.asarray(table["n"])[s] for s in sides]
+            grams, ends = _nested(pa.concat_arrays(table["grams"].chunks))
             overlap = np.zeros((len(sides[0]), len(sides[1])), np.float32)
             for k in range(SEGMENTS):                       # partial overlaps, one fragment after another
-                parts = [[np.array(r["grams"][k], np.int64) for r in s] for s in sides]
+                parts = [[grams[ends[SEGMENTS * r + k]:ends[SEGMENTS * r + k + 1]] for r in s] for s in sides]
                 flat = [np.concatenate([np.zeros(0, np.int64), *p]) for p in parts]
                 own = [np.repeat(np.arange(len(p)), [len(x) for x in p]) for p in parts]
                 common = np.intersect1d(*flat)
@@ -265,7 +274,7 @@ def _test_block(percent: int):
                 return x
 
             for i, j in zip(*np.nonzero(linked)):
-                a, z = sides[0][i]["part"], sides[1][j]["part"]
+                a, z = part_of[sides[0][i]], part_of[sides[1][j]]
                 if root(a) != root(z):
                     parent[root(a)] = root(z)
                     out.append((a, z))
