@@ -14,6 +14,7 @@ import base64
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 import tiktoken
@@ -27,6 +28,7 @@ CHUNK = 16_384          # characters; longer texts take the chunked path
 OVERLAP = 512           # characters a chunk's run goes into the next chunk
 #: The cut points of so many chunks (8 bytes each, and 30 a text) are broadcast.
 BROADCAST_CHUNKS = 2_000_000
+ROWS = 300              # rows that a task encodes or decodes before it hands them on
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -136,8 +138,8 @@ def _encode_texts(shared: _Shared):
     def run(batches):
         encoder = shared.encoding()
         for b in batches:
-            for at in range(0, max(b.num_rows, 1), 1000):
-                x = b.slice(at, 1000)
+            for at in range(0, b.num_rows, ROWS):
+                x = b.slice(at, ROWS)
                 ids = [np.array(encoder.encode_ordinary(t), np.int32) for t in x["text"].to_pylist()]
                 keep = [c for c in x.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays([*[x[c] for c in keep], _list_of_int32(ids)], [*keep, "ids"])
@@ -167,10 +169,17 @@ def decode(df: DataFrame, path: str | None = None, ids_col: str = "ids", out_col
     for token, i in ranks.items():
         table[i] = token
     shared = df.sparkSession.sparkContext.broadcast(table)
+    keep = [f for f in df.schema.fields if f.name != out_col]
 
-    @F.pandas_udf("binary")
-    def joined(ids):
-        tokens = shared.value
-        return ids.map(lambda x: b"" if x is None else b"".join([tokens[i] for i in x.tolist()]))
-
-    return df.withColumn(out_col, joined(F.col(f"`{ids_col}`")))
+    def run(batches):
+        token = shared.value.__getitem__
+        for b in batches:
+            for at in range(0, b.num_rows, ROWS):
+                x = b.slice(at, ROWS)
+                ids = x[ids_col]
+                size = np.asarray(pc.fill_null(pc.list_value_length(ids), 0))
+                flat, ends = ids.flatten().to_pylist(), np.cumsum(size)
+                texts = [b"".join(map(token, flat[z - n:z])) for z, n in zip(ends.tolist(), size.tolist())]
+                yield pa.RecordBatch.from_arrays([*[x[f.name] for f in keep], pa.array(texts, pa.binary())], [*[f.name for f in keep], out_col])
+
+    return df.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType) for f in keep] + [T.StructField(out_col, T.BinaryType())]))

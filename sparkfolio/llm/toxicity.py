@@ -209,8 +209,9 @@ def score(documents: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for b in batches:
-            logits = np.concatenate([np.zeros(0), *(model.logits(t) for t in text_slices(b["text"]))])
-            yield pa.RecordBatch.from_arrays([b["record"], pa.array(1 / (1 + np.exp(-np.clip(logits, -700, 700))))], ["record", "score"])
+            for texts in text_slices(b["text"]):
+                logits = np.clip(model.logits(texts), -700, 700)
+                yield pa.RecordBatch.from_arrays([b["record"].slice(texts.first, len(texts)), pa.array(1 / (1 + np.exp(-logits)))], ["record", "score"])
 
     return rows.mapInArrow(run, schema)
 
