@@ -3,8 +3,10 @@
 Each language has a suffix automaton of labelled text.  A text is parsed
 against it greedily: the longest match with the labelled text from the current
 position is one phrase, then the next begins.  The language whose labelled
-text resembles the input most needs the fewest phrases.  Labelled texts are
-cut to one length for all languages, so the counts are comparable.
+text resembles the input most needs the fewest phrases.  Phrases grow with the
+logarithm of the labelled text's length, so a language's count is weighted by
+that of its own labelled text: each language keeps all it has (TRAIN_CHARS at
+most), however little another one has.
 
 Texts are lower-cased and every run of characters other than letters becomes
 one space; the parse runs over blocks of BLOCK characters (a phrase ends with
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 #: The labelled text of one language, in characters, and how much of it one document may give.
 TRAIN_CHARS = 40_000
 TRAIN_PER_TEXT = 2_000
+SMOOTH = 1_000          # added to a labelled text's length, so that a tiny one is not cheap
 BLOCK = 512
 LANES = 4_096           # blocks parsed side by side
 MIN_COUNT = 2           # a character seen less often in the labelled text is "other"
@@ -86,13 +89,18 @@ class CrossParser:
     """The automata of all languages as tables over one alphabet.
 
     An entry is 2 * (next state's row) + 1 if the character begins a new
-    phrase; a character that the labelled text lacks is a phrase by itself."""
+    phrase; a character that the labelled text lacks is a phrase by itself.
 
-    def __init__(self, samples: dict[str, list[np.ndarray]]):
+    With ``common_length`` all labelled texts are cut to the shortest one's
+    length, so that ``phrases`` are comparable as they are; without it each
+    keeps its own, TRAIN_CHARS at most, and ``costs`` are."""
+
+    def __init__(self, samples: dict[str, list[np.ndarray]], common_length: bool = True):
         self.names = sorted(samples)
         joined = {k: np.concatenate([np.append(x, 32) for x in v]) if v else np.zeros(0, np.uint32) for k, v in samples.items()}
-        shortest = min((len(x) for x in joined.values()), default=0)
-        joined = {k: x[:shortest] for k, x in joined.items()}
+        longest = min((len(x) for x in joined.values()), default=0) if common_length else TRAIN_CHARS
+        joined = {k: x[:longest] for k, x in joined.items()}
+        self.weights = np.log([len(joined[k]) + SMOOTH for k in self.names]) / np.log(TRAIN_CHARS + SMOOTH)
         points, counts = np.unique(np.concatenate([np.zeros(0, np.uint32), *joined.values()]), return_counts=True)
         points = points[(counts >= MIN_COUNT) & (points != 32)]
         self.width = len(points) + 2
@@ -112,6 +120,10 @@ class CrossParser:
                 table[state, list(edges)] = np.fromiter(edges.values(), np.int64) * (2 * self.width)
         return table.ravel()
 
+    def costs(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Phrase counts on the scale of a labelled text of TRAIN_CHARS."""
+        return self.phrases(texts) * self.weights
+
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrase counts, one row a text and one column a language."""
         out = np.zeros((len(texts), len(self.names)), np.int64)
@@ -154,30 +166,42 @@ class CrossParser:
         return counts
 
 
-def training_texts(df: DataFrame, text_col: str, lang_col: str, order_col: str, seed: int = 42) -> dict[str, list[np.ndarray]]:
-    """A bounded sample per language: texts in a seeded hash order, up to
-    TRAIN_PER_TEXT characters of each, until TRAIN_CHARS are reached."""
-    order = F.xxhash64(F.lit(seed), F.col(f"`{order_col}`"), F.col(f"`{text_col}`"))
-    rows = df.where(F.col(f"`{lang_col}`").isNotNull() & (F.length(F.trim(f"`{text_col}`")) > 0)).select(
-        F.col(f"`{lang_col}`").alias("lang"), F.substring(f"`{text_col}`", 1, 2 * TRAIN_PER_TEXT).alias("part"), order.alias("o"))
-    # the first in hash order of each of a fixed number of hash groups: combined before the shuffle
-    groups = 4 * TRAIN_CHARS // TRAIN_PER_TEXT
-    firsts = (rows.groupBy("lang", F.pmod("o", F.lit(groups)).alias("g"))
-              .agg(F.min(F.struct("o", "part")).alias("x")).select("lang", "x.o", "x.part"))
+def training_texts(df: DataFrame, text_col: str, lang_col: str, seed: int = 42) -> dict[str, list[np.ndarray]]:
+    """A bounded sample per language: its distinct texts in a seeded hash
+    order, up to TRAIN_PER_TEXT characters of each, until TRAIN_CHARS are
+    reached; if all its texts are too few for that, more of each."""
+    text = F.col(f"`{text_col}`")
+    rows = df.where(F.col(f"`{lang_col}`").isNotNull() & text.rlike(r"\p{L}")).select(
+        F.col(f"`{lang_col}`").alias("lang"), text.alias("text"), F.xxhash64(F.lit(seed), text).alias("o"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("o").alias("texts"), F.avg(F.least(F.length("text"), F.lit(TRAIN_PER_TEXT))).alias("chars"),
+                                     F.max(F.length("text")).alias("longest")).collect()
+    longest = {r["lang"]: r["longest"] for r in sizes}
+    # per language: the share of the hash order that is read, and the characters of a text
+    todo = {r["lang"]: (4 * (1 + TRAIN_CHARS / r["chars"]) / r["texts"], TRAIN_PER_TEXT) for r in sizes}
     out: dict[str, list[np.ndarray]] = {}
-    have: dict[str, int] = {}
-    for r in firsts.orderBy("lang", "o").toLocalIterator():
-        x = normalised(r["part"])[:TRAIN_PER_TEXT]
-        if len(x) and have.get(r["lang"], 0) < TRAIN_CHARS:
-            out.setdefault(r["lang"], []).append(x)
-            have[r["lang"]] = have.get(r["lang"], 0) + len(x) + 1
-    return out
+    while todo:
+        limits = df.sparkSession.createDataFrame(
+            [(k, min(int(share * 2.0 ** 64), 2 ** 64 - 1) - 2 ** 63, 2 * chars) for k, (share, chars) in todo.items()], "lang string, last long, cut int")
+        firsts = (rows.join(F.broadcast(limits), "lang").where(F.col("o") <= F.col("last"))
+                  .groupBy("lang", "o").agg(F.min(F.expr("substring(text, 1, cut)")).alias("part")))
+        have = dict.fromkeys(todo, 0)
+        out |= {k: [] for k in todo}
+        for r in firsts.orderBy("lang", "o").toLocalIterator():
+            x = normalised(r["part"])[:todo[r["lang"]][1]]
+            if len(x) and have[r["lang"]] < TRAIN_CHARS:
+                out[r["lang"]].append(x)
+                have[r["lang"]] += len(x) + 1
+        short = {k: v for k, v in todo.items() if have[k] < TRAIN_CHARS}
+        todo = {k: (8 * share, chars) if share < 1 else (share, 4 * chars) for k, (share, chars) in short.items()
+                if share < 1 or chars < min(longest[k], TRAIN_CHARS)}
+    return {k: v for k, v in out.items() if v}
 
 
 def predict(df: DataFrame, parser: CrossParser, text_col: str = "text") -> DataFrame:
     """Columns ``record`` (the row), ``lang_pred``, ``score`` (0 to 1: by how
-    much the best language needs fewer phrases than the next), ``density``
-    (phrases a character in the best one; null if there is no letter) and
+    much the best language costs less than the next), ``density`` (phrases a
+    character in the best one, on the scale of a labelled text of TRAIN_CHARS;
+    null if there is no letter) and
     ``n_parsed`` (characters after normalising).
 
     Null, empty and letterless texts are ``und`` with score 0, as is every
@@ -196,20 +220,20 @@ def predict(df: DataFrame, parser: CrossParser, text_col: str = "text") -> DataF
                 x = b.slice(at, 500)
                 texts = [normalised(t) for t in x["text"].to_pylist()]
                 sizes = np.array([len(t) for t in texts], np.int64)
-                names, score, density = _decide(parser, parser.phrases(texts), sizes)
+                names, score, density = _decide(parser, parser.costs(texts), sizes)
                 yield pa.RecordBatch.from_arrays([x["record"], pa.array(names, pa.string()), pa.array(score), pa.array(density, from_pandas=True), pa.array(sizes)], schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
-def _decide(parser: CrossParser, counts: np.ndarray, sizes: np.ndarray):
-    known = (sizes > 0) & (counts.shape[1] > 0)
-    if not counts.shape[1]:
+def _decide(parser: CrossParser, costs: np.ndarray, sizes: np.ndarray):
+    known = (sizes > 0) & (costs.shape[1] > 0)
+    if not costs.shape[1]:
         return [UND] * len(sizes), np.zeros(len(sizes)), np.full(len(sizes), np.nan)
-    best = counts.argmin(1)
-    ranked = np.sort(counts, 1)
-    second = ranked[:, 1] if counts.shape[1] > 1 else np.full(len(sizes), np.iinfo(np.int64).max)
-    score = np.where(known, 1 - ranked[:, 0] / np.maximum(second, 1), 0.0)
+    best = costs.argmin(1)
+    ranked = np.sort(costs, 1)
+    second = ranked[:, 1] if costs.shape[1] > 1 else np.full(len(sizes), np.inf)
+    score = np.where(known, 1 - ranked[:, 0] / np.where(known, second, 1), 0.0)
     density = np.where(known, ranked[:, 0] / np.maximum(sizes, 1), np.nan)
     return [parser.names[i] if k else UND for i, k in zip(best, known)], score, density
 
@@ -219,7 +243,7 @@ def identify(documents: DataFrame, folds: int = 5, text_col: str = "text", lang_
     modulo ``folds``, is 0) and predict for all rows: ``predict``'s columns and
     ``held_out``.  Rows with a null id are never learned from and not held out."""
     held = held_out(F.col(f"`{id_col}`"), folds)
-    parser = CrossParser(training_texts(documents.where(~held), text_col, lang_col, id_col))
+    parser = CrossParser(training_texts(documents.where(~held), text_col, lang_col), common_length=False)
     return predict(documents, parser, text_col).withColumn("held_out", F.coalesce(held_out(F.col(f"record.`{id_col}`"), folds), F.lit(False)))
 
 

@@ -1,8 +1,11 @@
+import random
+import zlib
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_frames import prose
+from llm_frames import SCHEMA, prose
 from pyspark.sql import functions as F
 
 from sparkfolio.llm import langid as G
@@ -84,3 +87,31 @@ def test_ties_go_to_the_first_name(spark):
     text = prose(1, 50)
     docs = spark.createDataFrame([(1, text, "b"), (2, text, "a"), (3, text, "b"), (4, text, "a"), (6, text, None)], "doc_id long, text string, lang string")
     assert {(r["lang_pred"], r["score"]) for r in G.identify(docs).collect()} == {("a", 0.0)}
+
+
+SYLLABLES = {"la": "ab en ti ro sa me du li", "lb": "eb an it or as em ud il", "lc": "ba ne st re so mi da lo", "rare": "nab tes rom ild use mor dat lin"}
+
+
+def test_a_small_language_leaves_the_others_their_length(spark):
+    """Three large languages of short texts and one with a single document of 50 characters."""
+    import corpus_pipeline
+
+    rows = [(10_000 * i + k, prose(10_000 * i + k, 30, SYLLABLES[lang]), lang, "s", 1) for i, lang in enumerate(["la", "lb", "lc"]) for k in range(400)]
+    rows.append((next(i for i in range(90_000, 90_100) if zlib.crc32(b"%d" % i) % 5), prose(1, 30, SYLLABLES["rare"])[:50], "rare", "s", 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    samples = G.training_texts(docs, "text", "lang")
+    length = {k: sum(len(x) + 1 for x in v) for k, v in samples.items()}
+    assert length["rare"] in (50, 51) and all(length[k] >= G.TRAIN_CHARS for k in ("la", "lb", "lc"))
+    said = [r for r in G.identify(docs).collect() if r["record"]["lang"] != "rare"]
+    assert np.mean([r["lang_pred"] == r["record"]["lang"] for r in said if r["held_out"]]) > 0.99
+    kept = corpus_pipeline.language(spark, docs, "").collect()
+    assert len(kept) == len(rows)
+    # neither random letters nor digits are made the small language's
+    noise = spark.createDataFrame([(i, "".join(random.Random(i).choice("bcdfghjklmnpqrstvwxz") for _ in range(300)), None, "s", 1) for i in range(50)], SCHEMA)
+    assert {r["doc_id"] for r in corpus_pipeline.language(spark, docs.unionByName(noise), "").collect() if r["lang"] is None or r["doc_id"] < 50 and len(r["text"]) == 300} == set()
+
+
+def test_few_long_texts_fill_the_sample(spark):
+    docs = spark.createDataFrame([(i, prose(i, 12_000), "la", "s", 1) for i in range(3)] + [(9, "ab ab", "lb", "s", 1)], SCHEMA)
+    samples = G.training_texts(docs, "text", "lang")
+    assert sum(len(x) + 1 for x in samples["la"]) >= G.TRAIN_CHARS and sum(map(len, samples["lb"])) == 5
