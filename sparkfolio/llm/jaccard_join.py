@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,7 +121,8 @@ def _cut(n: int, fragments: int):
                 shared[:-1] |= same
                 head = np.ones(len(values), bool)
                 head[1:] = ~same
-                name = class_keys(values, np.array([0, len(values)]))[0] + b"%d" % number      # the same when a task is run again
+                # the same when a task is run again, and no other task's
+                name = class_keys(values, np.array([0, len(values)]))[0] + b"%d.%d" % (TaskContext.get().partitionId(), number)
                 number += 1
                 if not len(values):
                     continue

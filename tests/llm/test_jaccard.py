@@ -96,3 +96,12 @@ def test_class_keys_tell_sets_apart(seed):
     ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     keys = J.class_keys(np.concatenate(sets), ends)
     assert len(set(keys)) == len({tuple(s) for s in sets})
+
+
+@pytest.mark.parametrize("parts", [[[0] * 6, [0] * 5], [[0, 1], [0, 1, None]], [[0, 1, 2], [2, 0, 1], [0, 0, 1, 2]]])
+def test_tasks_with_the_same_classes(spark, parts):
+    """Slices of different tasks that hold the same sets, in another number or order."""
+    rows = [[(100 * p + i, None if k is None else prose(k, 60)) for i, k in enumerate(x)] for p, x in enumerate(parts)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)).flatMap(lambda x: x), "doc_id long, text string")
+    assert df.rdd.getNumPartitions() == len(parts)
+    assert order(run(df)) == order(brute([r for x in rows for r in x]))
