@@ -2,9 +2,14 @@
 
 A rolling hash over the hashes of two neighbouring lines chooses the chunk
 boundaries, so an inserted line shifts only the chunk around it.  A long line
-is a chunk by itself.  Chunks whose hash occurs again anywhere are compared
+is a chunk by itself.  Besides, from every line with a word on, the fewest
+lines with LONG_WORDS words are a window; what stands around a passage cannot
+shift it.  Chunks and windows whose hash occurs again anywhere are compared
 byte for byte with the first one; repeats are removed, along with the lines of
-equal hash that reach from them into the text around.
+equal hash that reach from them into the text around.  So a passage of
+2 * LONG_WORDS words or more in whole lines is found wherever it stands: its
+windows cover all but fewer than LONG_WORDS words at its end, which the lines
+compared after the last window reach.
 """
 
 from __future__ import annotations
@@ -23,15 +28,18 @@ from sparkfolio.llm.store import saved
 from sparkfolio.llm.textarrays import Texts, lines, mix, span_hashes, text_slices, words
 
 DIVISOR = 2             # a boundary at every second line on average
-LONG_WORDS = 25         # a line of so many words is a chunk of its own
+LONG_WORDS = 25         # a line of so many words is a chunk of its own, lines of so many a window
 MIN_WORDS = 12          # words that a chunk of several lines must have to be removed
-REACH = 12              # lines before and after a repeated chunk that are compared with those around the first one
+REACH = 12              # lines before and after a repeated chunk that are compared with those around the first one; after it, LONG_WORDS words at least
 
 
 def chunks(texts: Texts) -> dict[str, np.ndarray]:
-    """All chunks, in order: owner (the text), line (its first), n_lines, start
-    and end (bytes, without the line break at the end), hash, and removable:
-    several lines and MIN_WORDS words, or a line of LONG_WORDS."""
+    """The removable chunks and all windows, each span once: owner (the text),
+    first and last (lines of the slice), line (its first, in the text),
+    n_lines, start and end (bytes, without the line break at the end) and hash.
+    A chunk is removable with several lines and MIN_WORDS words, or as a line
+    of LONG_WORDS.  Of the slice: line_hash, line0 (each text's first line) and
+    total (words before each line)."""
     starts, ends, owner = lines(texts)
     w, _, _ = words(texts)
     n_words = np.searchsorted(w, ends) - np.searchsorted(w, starts)
@@ -44,38 +52,53 @@ def chunks(texts: Texts) -> dict[str, np.ndarray]:
     last = np.flatnonzero(cut)
     first = np.concatenate([np.zeros(min(1, len(last)), np.int64), last[:-1] + 1])
     total = np.concatenate([[0], np.cumsum(n_words)])
-    chunk_words, n_lines = total[last + 1] - total[first], last - first + 1
+    chunk_words = total[last + 1] - total[first]
+    removable = np.where(last > first, chunk_words >= MIN_WORDS, chunk_words >= LONG_WORDS)
     line0 = np.searchsorted(owner, np.arange(len(texts)))
-    return {"line_hash": h.view(np.int64), "line0": line0, "first": first, "last": last, "owner": owner[first], "line": first - line0[owner[first]], "n_lines": n_lines, "start": starts[first], "end": ends[last],
-            "hash": span_hashes(texts.data, starts[first], ends[last]).view(np.int64),
-            "removable": np.where(n_lines > 1, chunk_words >= MIN_WORDS, chunk_words >= LONG_WORDS)}
+    begin = np.flatnonzero(n_words > 0)
+    stop = np.searchsorted(total, total[begin] + LONG_WORDS) - 1             # the first line with which there are enough
+    inside = stop < np.append(line0, len(h))[owner[begin] + 1]
+    span = np.unique(np.concatenate([first[removable] * (len(h) + 1) + last[removable], begin[inside] * (len(h) + 1) + stop[inside]]))
+    first, last = np.divmod(span, len(h) + 1)
+    return {"line_hash": h.view(np.int64), "line0": line0, "total": total, "first": first, "last": last, "owner": owner[first], "line": first - line0[owner[first]],
+            "n_lines": last - first + 1, "start": starts[first], "end": ends[last], "hash": span_hashes(texts.data, starts[first], ends[last]).view(np.int64)}
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The removable chunks' hashes and how often each occurs, summed per slice of texts."""
+    """The chunks' and windows' hashes and how often each occurs, summed per slice of texts."""
     for b in batches:
         for texts in text_slices(b["text"]):
             c = chunks(texts)
-            h, n = np.unique(c["hash"][c["removable"]], return_counts=True)
+            h, n = np.unique(c["hash"], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
+def _lists(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.ListArray:
+    """The slices ``values[begin:end]`` as a column of lists."""
+    size = end - begin
+    ends = np.concatenate([[0], np.cumsum(size)])
+    at = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[at]))
+
+
 def _repeats(shared):
-    """The removable chunks that may repeat, with the hashes of the lines around them."""
+    """The chunks and windows that may repeat, with the hashes of the lines around them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for texts in text_slices(b["text"]):
                 c = chunks(texts)
-                at = np.flatnonzero(c["removable"] & shared.value(c["hash"]))
+                at = np.flatnonzero(shared.value(c["hash"]))
                 own, raw = c["owner"], texts.data.tobytes()
                 begin, end = c["line0"][own[at]], np.append(c["line0"], len(c["line_hash"]))[own[at] + 1]
-                before = [(max(f - REACH, x), f) for f, x in zip(c["first"][at].tolist(), begin.tolist())]
-                after = [(z + 1, min(z + 1 + REACH, x)) for z, x in zip(c["last"][at].tolist(), end.tolist())]
+                f, z = c["first"][at], c["last"][at] + 1
+                enough = np.searchsorted(c["total"], c["total"][z] + LONG_WORDS)
+                before = _lists(c["line_hash"], np.maximum(f - REACH, begin), f)
+                after = _lists(c["line_hash"], z, np.minimum(np.maximum(z + REACH, enough), end))
                 part = [raw[c["start"][i]:c["end"][i]].decode() for i in at.tolist()]
                 place = pa.array(own[at] + texts.first)
                 yield pa.RecordBatch.from_arrays(
                     [b["id"].take(place), b["key"].take(place), pa.array(c["hash"][at]), pa.array(c["line"][at]), pa.array(c["n_lines"][at].astype(np.int64)),
-                     pa.array(part, pa.string()), *(pa.array([c["line_hash"][i:j].tolist() for i, j in x], pa.list_(pa.int64())) for x in (before, after))],
+                     pa.array(part, pa.string()), before, after],
                     ["id", "key", "h", "line", "n_lines", "part", "before", "after"])
     return run
 
@@ -90,6 +113,18 @@ def _equal_on(own: pd.Series, first: pd.Series) -> pd.Series:
     return pd.Series([_equal(a, b, False) for a, b in zip(own, first)], dtype="int64")
 
 
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.LongType())))
+def _merged(begin: pd.Series, end: pd.Series) -> pd.Series:
+    """Overlapping and adjoining intervals as one: a document's windows overlap."""
+    out = []
+    for a, z in zip(begin, end):
+        order = np.argsort(a, kind="stable")
+        a, far = a[order], np.maximum.accumulate(z[order])
+        new = np.flatnonzero(np.append(True, a[1:] > far[:-1]))
+        out.append(np.stack([a[new], far[np.append(new[1:], len(a)) - 1]], 1).tolist())
+    return pd.Series(out, dtype=object)
+
+
 def _equal(a: np.ndarray, b: np.ndarray, from_end: bool) -> int:
     """Lines in which two passages agree, from their end or their start."""
     n = min(len(a), len(b))
@@ -128,12 +163,13 @@ def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc
                                         & ~(F.col("id").eqNullSafe(F.col("place.id")) & (F.col("key") == F.col("place.key")) & (F.col("line") == F.col("place.line"))))
                .withColumn("back", _equal_back("before", "around.before")).withColumn("on", _equal_on("after", "around.after"))
                .groupBy("key").agg(F.collect_set(F.struct((F.col("line") - F.col("back")).alias("a"), (F.col("line") + F.col("n_lines") + F.col("on")).alias("z"))).alias("gone")))
-    removed = saved(removed, "line-removals")
+    side = lambda c: F.transform("gone", lambda g: g[c])
+    removed = saved(removed.select("key", _merged(side("a"), side("z")).alias("gone")), "line-removals")
     hit = spark.sparkContext.broadcast(key_filter(removed, "key"))
     flagged = rows.withColumn("maybe", maybe_in(hit, F.col("key")))
     touched = flagged.where("maybe").join(removed.hint("merge"), "key", "left")      # both sides grow with the corpus
     split = F.split("text", "\n", -1)
-    gone = lambda i: F.exists("gone", lambda g: (i >= g["a"]) & (i < g["z"]))
+    gone = lambda i: F.exists("gone", lambda g: (i >= g[0]) & (i < g[1]))
     kept = F.filter("all_lines", lambda _, i: ~gone(i))
     rest = (touched.withColumn("all_lines", split).withColumn("kept", F.when(F.col("gone").isNull(), F.col("all_lines")).otherwise(kept))
             .select("record", F.array_join("kept", "\n").alias("text"), F.coalesce(F.size("all_lines"), F.lit(0)).cast("long").alias("n_lines"),

@@ -88,3 +88,31 @@ def test_equal_lines(n):
     import numpy as np
     a, b = np.arange(5), np.concatenate([np.arange(n), -np.ones(5 - n)])
     assert L._equal(a, b, False) == n and L._equal(a[::-1], b[::-1], True) == n
+
+
+SHAPES = [(3, 18), (4, 13), (5, 11), (6, 9), (11, 5), (30, 2), (60, 1), (2, 26)]
+
+
+def test_passages_of_short_lines_with_other_neighbours(spark):
+    """Passages of 51 words and more in lines of any length, six pairs of each shape."""
+    rows, passages = [], {}
+    for s, (n, size) in enumerate(SHAPES):
+        for pair in range(6):
+            at = 10_000 * s + 1_000 * pair
+            passage = [f"{s}x{pair}x{i} " * (size - 1) + f"e{s}x{pair}x{i}" for i in range(n)]
+            for d in (0, 1):
+                doc = 100 * s + 10 * pair + d
+                own = [[line(at + 500 * d + 200 * side + i, 4) + f" {doc}" for i in range(3)] for side in (0, 1)]
+                rows.append((doc, "\n".join(own[0] + passage + own[1])))
+                passages[doc] = (own, passage)
+    got = out(make(spark, rows))
+    for doc, (own, passage) in passages.items():
+        want = own[0] + (passage if doc % 10 == 0 else []) + own[1]
+        assert got[doc]["text"].split("\n") == want, doc
+
+
+def test_blank_lines_and_a_tail_of_short_lines(spark):
+    """A line of 24 words, then words one a line between blank ones, to the end of the passage."""
+    passage = [line(1, 24), "", "a1", ""] + [x for i in range(23) for x in (f"t{i}", "", "")] + ["last"]
+    got = out(make(spark, [(d, "\n".join([f"own {d}"] + passage + [f"end {d}"])) for d in range(3)]))
+    assert got[0]["n_removed"] == 0 and [got[d]["text"] for d in (1, 2)] == ["own 1\nend 1", "own 2\nend 2"]
