@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.bpe import decode, encode
+from sparkfolio.llm.collocations import mine
+from sparkfolio.llm.contamination import find_passages
 from sparkfolio.llm.hamming_search import top_k
 from sparkfolio.llm.jaccard_join import link_components
 from sparkfolio.llm.langid import identify
 from sparkfolio.llm.line_dedup import dedup_lines
 from sparkfolio.llm.packing import pack, token_pieces
 from sparkfolio.llm.quality import judge
+from sparkfolio.llm.ranked_search import search
 from sparkfolio.llm.sharding import external_shuffle
 from sparkfolio.llm.toxicity import classify
 from sparkfolio.llm.url_filter import judge_urls
@@ -149,3 +152,90 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id,
        CASE WHEN len(g) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY list_sort(g)) END AS class_id
 FROM s JOIN c USING (doc_id)
 """
+
+
+@query
+def op11_stripes(spark, sf_dir):
+    return mine(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLE["op11_stripes"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+o AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 6) r(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM o GROUP BY ALL HAVING count(*) >= 100),
+b AS (
+  SELECT DISTINCT s.lang, s.phrase FROM f s JOIN f l ON s.lang = l.lang AND l.k > s.k AND l.f >= s.f AND contains(' ' || l.phrase || ' ', ' ' || s.phrase || ' ')),
+c AS (
+  SELECT f.*, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS x, array_to_string(string_split(phrase, ' ')[cut + 1:], ' ') AS y
+  FROM f ANTI JOIN b USING (lang, phrase), range(1, 5) r(cut) WHERE cut < k),
+s AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, n, 1000 * c.f * n // (x.f * y.f) AS score, cut
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y JOIN t ON t.lang = c.lang),
+m AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM s),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM m WHERE nth = 1)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 2000
+"""
+
+
+@query
+def op12_fm_index(spark, sf_dir):
+    found = find_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.col("items").cast("array<string>"))
+    return found.select("record.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                        F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s[0].cast("string"), s[1].cast("string"))), " ").alias("spans"))
+
+
+ORACLE["op12_fm_index"] = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS m, unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), lambda i: array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS x
+  FROM b WHERE len(w) > 0),
+d AS (
+  SELECT row, m, unnest(range(1, len(w) - m + 2)) AS i, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS x
+  FROM w, (SELECT DISTINCT m FROM p) WHERE len(w) >= m),
+h AS (SELECT row, i, d.m, item_id FROM d JOIN p ON d.m = p.m AND d.x = p.x),
+q AS (SELECT DISTINCT row, unnest(range(i, i + m)) AS i FROM h),
+n AS (SELECT row, count(*) AS n_hit FROM q GROUP BY row),
+s AS (SELECT row, list(i ORDER BY i) AS i FROM q GROUP BY row),
+e AS (
+  SELECT row, list_transform(list_filter(list_transform(i, lambda x, k: CASE WHEN k = 1 OR i[k - 1] < x - 1 THEN x END), lambda x: x IS NOT NULL), lambda x: x - 1) AS a,
+         list_filter(list_transform(i, lambda x, k: CASE WHEN k = len(i) OR i[k + 1] > x + 1 THEN x END), lambda x: x IS NOT NULL) AS z FROM s),
+t AS (SELECT row, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM h GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+       coalesce(array_to_string(list_transform(a, lambda x, k: x || '-' || z[k]), ' '), '') AS spans
+FROM w LEFT JOIN n USING (row) LEFT JOIN t USING (row) LEFT JOIN e USING (row)
+"""
+
+
+@query
+def op13_best_position(spark, sf_dir):
+    found = search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+ORACLE["op13_best_position"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w)) AS n_terms FROM d),
+f AS (SELECT row, doc_id, len(w) AS n, unnest(w) AS t FROM d),
+p AS (SELECT row, doc_id, n, t, count(*) AS tf FROM f WHERE t IN (SELECT t FROM b) GROUP BY ALL),
+q AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS HUGEINT) AS w FROM p, c GROUP BY t),
+s AS (
+  SELECT item_id, row, doc_id, sum(q.w * ((CAST(1000000000 AS HUGEINT) * tf) // (1000 * tf + 8 * (10 + (CAST(90 AS HUGEINT) * n * n_docs) // CAST(n_terms AS HUGEINT))))) AS score
+  FROM p JOIN b USING (t) JOIN q USING (t), c GROUP BY item_id, row, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 10
+"""
