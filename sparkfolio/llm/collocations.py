@@ -178,11 +178,12 @@ def mine(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_
         level = saved(merged_stripes(texts, k, shared, min_count), f"stripes-{k}")
         # a filter of hashes can let a rare prefix through; its named elements count all the same
         phrases = level.where(F.col("next").isNotNull()).select("lang", F.concat_ws(" ", F.nullif("prefix", F.lit("")), "next").alias("phrase"), F.col("n").alias("f"))
-        levels.append((k + 1, level, phrases))
+        phrases = saved(phrases.withColumn("h", phrase_key("lang", "phrase")), f"phrases-{k + 1}")
+        levels.append((k + 1, level, phrases.drop("h")))
         if phrases.isEmpty():
             break
         if k + 1 < max_words:
-            shared = spark.sparkContext.broadcast(key_filter(phrases.select(phrase_key("lang", "phrase").alias("h")), "h"))
+            shared = spark.sparkContext.broadcast(key_filter(phrases, "h"))
     total = levels[0][1].groupBy("lang").agg(F.sum("n").alias("n"))
     counts = found = longer = None
     for words, level, phrases in levels:
