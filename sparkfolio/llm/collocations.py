@@ -12,14 +12,16 @@ and the suffix one word shorter are, so each length's stripes are made of the
 frequent phrases of the length before; all other next words share one element
 without a name, which keeps the sums exact.  Phrases are counted by their
 words, not by a hash; a filter of hashes only leaves out what cannot count.
-The elements of a stripe are added up apart, so a prefix that a third of all
-words follow is spread over all tasks.
+A prefix that more than a PARTS-th of all words follow has its stripes cut into
+fragments by the hash of the next word, as many as its share asks for, so no
+task gets more than about a PARTS-th of all elements with one key.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -45,7 +47,21 @@ PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 GAP = PIECE_END.copy()
 GAP[[0x20, 0x09]] = True
 
-STRIPE = "lang string, prefix string, next array<string>, n array<long>"
+PARTS = 1024                # no key of the shuffle has much more than such a part of all words
+SLICE_BYTES = 8 << 20
+
+#: A fragment of a stripe as it is shuffled, in few bytes: head is language, prefix and
+#: fragment, a line each; next its words and n their counts, apart by spaces ('' for all others).
+STRIPE = "head string, next string, n string"
+
+
+class Known(NamedTuple):
+    """What the stripes of a length need of the length before: a filter of the
+    frequent phrases, and the prefixes whose stripes are cut (language and
+    phrase, fewer than PARTS) with the number of fragments."""
+    frequent: KeyFilter
+    cut: pa.Array
+    fragments: np.ndarray
 
 
 def lang_hash(lang: str) -> int:
@@ -92,23 +108,24 @@ class Words:
         heads = np.append(np.flatnonzero(new), n)
         self.left = np.repeat(heads[1:], np.diff(heads)) - np.arange(n)
 
-    def hashes(self) -> np.ndarray:
+    def name_hashes(self) -> np.ndarray:
+        """The hash of each distinct word."""
         names = self.names
-        ends = np.frombuffer(names.buffers()[1], np.int64)[names.offset:names.offset + len(names) + 1] if len(names) else np.zeros(1, np.int64)
-        raw = names.buffers()[2] if len(names) else None
-        data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
-        return span_hashes(data, ends[:-1], ends[1:])[self.code]
+        if not len(names):
+            return np.zeros(0, np.uint64)
+        ends = np.frombuffer(names.buffers()[1], np.int64)[names.offset:names.offset + len(names) + 1]
+        return span_hashes(np.frombuffer(names.buffers()[2], np.uint8), ends[:-1], ends[1:])
 
 
-def stripes(words: Words, lang: np.ndarray, langs: list[str], k: int, frequent: KeyFilter | None) -> pa.RecordBatch:
+def stripes(words: Words, lang: np.ndarray, langs: list[str], k: int, known: Known | None) -> pa.RecordBatch:
     """The stripes of all prefixes of ``k`` words that may be frequent."""
     at = np.flatnonzero(words.left >= k) if k else np.arange(len(words.code))
     named = np.ones(len(at), bool)
+    name_hash = words.name_hashes()
     if k:
         of = np.array([lang_hash(x) for x in langs], np.uint64)[lang]
-        h = words.hashes()
         ok = np.zeros(len(words.code) + 1, bool)
-        ok[at] = frequent(phrase_hash(h, at, k, of[words.owner[at]]).view(np.int64))
+        ok[at] = known.frequent(phrase_hash(name_hash[words.code], at, k, of[words.owner[at]]).view(np.int64))
         at = at[ok[at]]
         named = (words.left[at] > k) & ok[at + 1]         # else the next word is none, or the suffix is rare
     lang_at = lang[words.owner[at]]
@@ -120,16 +137,27 @@ def stripes(words: Words, lang: np.ndarray, langs: list[str], k: int, frequent:
     follows[named] = words.code[at[named] + k]
     element, some, n = np.unique(group * v + follows, return_index=True, return_counts=True)
     group, follows = np.divmod(element, v)
-    heads = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
     names = words.names.cast(pa.large_string())
-    follow = names.take(pa.array(follows, mask=follows == v - 1)).cast(pa.string())
-    rep = at[some[heads]]
-    prefix = [names.take(pa.array(words.code[rep + j])).cast(pa.string()) for j in range(k)]
-    prefix = pc.binary_join_element_wise(*prefix, " ") if k else pa.array([""] * len(heads), pa.string())
+    langs_ = pa.array(langs, pa.string())
+
+    def described(rows: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        each = [names.take(pa.array(words.code[at[rows] + j])).cast(pa.string()) for j in range(k)]
+        return langs_.take(pa.array(lang_at[rows])), pc.binary_join_element_wise(*each, " ") if k else pa.array([""] * len(rows), pa.string())
+
+    new = np.append(True, group[1:] != group[:-1])[:len(group)]
+    fragments = np.full(int(new.sum()), PARTS)
+    if k:
+        cut = pc.index_in(pc.binary_join_element_wise(*described(some[new]), "\n"), value_set=known.cut)
+        fragments = np.append(known.fragments, 1)[pc.fill_null(cut, -1).to_numpy(zero_copy_only=False)]
+    fragment = np.append(name_hash, np.uint64(0))[follows] % fragments.astype(np.uint64)[np.cumsum(new) - 1]
+    order = np.lexsort((fragment, group))
+    group, fragment, follows, some, n = group[order], fragment[order].astype(np.int32), follows[order], some[order], n[order]
+    heads = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (fragment[1:] != fragment[:-1]))[:len(group)])
+    follow = pa.concat_arrays([names, pa.array([""], pa.large_string())]).take(pa.array(follows)).cast(pa.string())
     ends = pa.array(np.append(heads, len(group)), pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()).take(pa.array(lang_at[some[heads]])), prefix, pa.ListArray.from_arrays(ends, follow), pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int64)))],
-        ["lang", "prefix", "next", "n"])
+    head = pc.binary_join_element_wise(*described(some[heads]), pa.array(fragment[heads]).cast(pa.string()), "\n")
+    joined = [pc.binary_join(pa.ListArray.from_arrays(ends, x), " ") for x in (follow, pa.array(n).cast(pa.string()))]
+    return pa.RecordBatch.from_arrays([head, *joined], ["head", "next", "n"])
 
 
 def _stripes(k: int, shared):
@@ -137,8 +165,8 @@ def _stripes(k: int, shared):
         for b in batches:
             d = b["lang"].fill_null(UND).dictionary_encode()
             code, langs = d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary.to_pylist()
-            for whole in text_slices(b["text"]):
-                for texts in parts(whole, PIECE_END):      # no phrase goes beyond a piece
+            for whole in text_slices(b["text"], SLICE_BYTES):
+                for texts in parts(whole, PIECE_END, SLICE_BYTES):      # no phrase goes beyond a piece
                     yield stripes(Words(texts), code[texts.first:texts.first + len(texts)], langs, k, shared and shared.value)
     return run
 
@@ -147,9 +175,13 @@ def merged_stripes(texts: DataFrame, k: int, shared, min_count: int) -> DataFram
     """The stripes of prefixes of ``k`` words, one row an element: (lang,
     prefix, next, n).  Next words below ``min_count`` are one element without
     a name, so the elements of a prefix still add up to its count."""
-    each = (texts.mapInArrow(_stripes(k, shared), STRIPE).select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("x"))
-            .groupBy("lang", "prefix", F.col("x.next").alias("next")).agg(F.sum("x.n").alias("n")))
-    name = F.when(F.col("n") >= min_count, F.col("next"))
+    # dealt as whole stripes; the sums need no other shuffle
+    dealt = texts.mapInArrow(_stripes(k, shared), STRIPE).repartition("head")
+    each = (dealt.select("head", F.explode(F.arrays_zip(F.split("next", " ").alias("next"), F.split("n", " ").alias("n"))).alias("x"))
+            .groupBy("head", F.col("x.next").alias("next")).agg(F.sum(F.col("x.n").cast("long")).alias("n")))
+    head = F.split("head", "\n")
+    each = each.select(head[0].alias("lang"), head[1].alias("prefix"), "next", "n")
+    name = F.when((F.col("n") >= min_count) & (F.col("next") != ""), F.col("next"))
     return each.groupBy("lang", "prefix", name.alias("next")).agg(F.sum("n").alias("n"))
 
 
@@ -173,7 +205,7 @@ def mine(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_
     """
     spark = documents.sparkSession
     texts = documents.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    shared, levels = None, []
+    shared, levels, n_words = None, [], 0
     for k in range(max_words):
         level = saved(merged_stripes(texts, k, shared, min_count), f"stripes-{k}")
         # a filter of hashes can let a rare prefix through; its named elements count all the same
@@ -183,7 +215,9 @@ def mine(documents: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_
         if phrases.isEmpty():
             break
         if k + 1 < max_words:
-            shared = spark.sparkContext.broadcast(key_filter(phrases, "h"))
+            n_words = n_words or level.agg(F.sum("n").alias("n")).first()["n"]
+            cut = phrases.where(F.col("f") * PARTS > n_words).select(F.concat_ws("\n", "lang", "phrase").alias("key"), F.expr(f"int(-((-f * {PARTS}) div {n_words}))").alias("fragments")).toArrow()
+            shared = spark.sparkContext.broadcast(Known(key_filter(phrases, "h"), cut["key"].combine_chunks().cast(pa.string()), cut["fragments"].to_numpy()))
     total = levels[0][1].groupBy("lang").agg(F.sum("n").alias("n"))
     counts = found = longer = None
     for words, level, phrases in levels:
