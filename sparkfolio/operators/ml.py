@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from sparkfolio.functions.arith import sigmoid_dot
 from sparkfolio.functions.coerce import python_float
-from sparkfolio.operators.profile import exact_quantiles
+from sparkfolio.operators.profile import wide_quantiles
 from sparkfolio.operators.rows import with_running_sum
 from sparkfolio.sources.sinks import written_once
 
@@ -60,19 +60,20 @@ def numeric_stats(train: DataFrame, numeric: list[str], exact: bool = True) -> D
     """M1 + M2: (feature, median, mean, scale) per numeric column; mean and
     population std of the median-imputed values; zero std -> scale 1.
     ``exact=False`` takes the median from a bounded-memory sketch."""
-    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in numeric)
-    long = train.selectExpr(f"stack({len(numeric)}, {stack}) AS (feature, v)")
-    present = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    cell = {c: F.col(f"`{c}`").cast("double") for c in numeric}
+    cell = {c: F.when(~F.isnan(v), v) for c, v in cell.items()}
     if exact:
-        med = exact_quantiles(present, (0.5,), group="feature").withColumnRenamed("p50", "median")
+        median = {c: q[0] for c, q in wide_quantiles(train.select(*[v.alias(c) for c, v in cell.items()])).items()}
     else:
-        med = present.groupBy("feature").agg(F.percentile_approx("v", 0.5, 100000).alias("median"))
-    filled = long.join(F.broadcast(med), "feature").withColumn(
-        "v", F.coalesce(F.when(~F.isnan("v"), F.col("v")), F.col("median")))
-    mom = filled.groupBy("feature", "median").agg(F.avg("v").alias("mean"),
-                                                  F.stddev_pop("v").alias("std"))
-    return mom.select("feature", "median", "mean",
-                      F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")).alias("scale"))
+        median = dict(zip(numeric, train.agg(*[F.percentile_approx(v, 0.5, 100000) for v in cell.values()]).first()))
+    # one wide aggregate over the imputed values; a feature without values has no row
+    known = [c for c in numeric if median[c] is not None]
+    filled = {c: F.coalesce(cell[c], F.lit(float(median[c]))) for c in known}
+    wide = train.agg(F.count(F.lit(1)).alias("_n"), *[F.struct(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std")).alias(f"_{i}") for i, v in enumerate(filled.values())])
+    rows = [F.struct(F.lit(c).alias("feature"), F.lit(float(median[c])).alias("median"), F.col(f"_{i}.mean").alias("mean"),
+                     F.when(F.col(f"_{i}.std") == 0, F.lit(1.0)).otherwise(F.col(f"_{i}.std")).alias("scale")) for i, c in enumerate(known)]
+    none = F.array().cast("array<struct<feature:string,median:double,mean:double,scale:double>>")
+    return wide.select(F.inline(F.array(*rows) if rows else none))
 
 
 def categorical_stats(train: DataFrame, categorical: list[str]) -> DataFrame:

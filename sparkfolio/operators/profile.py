@@ -1,19 +1,20 @@
 """Data-profile operators.
 
 ``describe`` computes *exact* quartiles (linear interpolation, like pandas)
-without collecting or sorting any column: bucket counts tell which small part
-of a column's range holds a quantile, and only that part is ranked.
+without collecting or sorting any column: passes over the wide rows count
+buckets of values, ever smaller ones around each wanted rank.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.arith import round_half
-from sparkfolio.operators.rows import with_running_sum
 
 
 def null_profile(df: DataFrame, top: int = 10) -> DataFrame:
@@ -25,9 +26,6 @@ def null_profile(df: DataFrame, top: int = 10) -> DataFrame:
     return long.orderBy(F.col("null_count").desc(), "column_name").limit(top)
 
 
-BUCKETS = 1024
-
-
 def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
              digits: int | None = 6, exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """Count, mean, std (sample), min, quantiles, max per column.
@@ -45,61 +43,115 @@ def describe(df: DataFrame, cols: list[str], percentiles=(0.25, 0.5, 0.75),
         return round_half(e, digits) if digits is not None else e
 
     # all columns' moments in one pass over the wide rows
+    if exact:
+        quant = wide_quantiles(df.select(*[v.alias(c) for c, v in value.items()]), percentiles)
+        cells = {c: [F.lit(x).cast("double") for x in quant[c]] for c in cols}
+    else:
+        cells = {c: [F.col(f"_q{i}")[j] for j in range(len(percentiles))] for i, c in enumerate(cols)}
+    approx = [] if exact else [F.percentile_approx(v, list(percentiles), accuracy).alias(f"_q{i}") for i, v in enumerate(value.values())]
     wide = df.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(v).alias("count"), r(F.avg(v)).alias("mean"), r(F.stddev_samp(v)).alias("std"),
-                             F.min(v).alias("min"), F.max(v).alias("max")).alias(f"_{i}") for i, (c, v) in enumerate(value.items())])
-    moments = wide.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(cols))]))).where("count > 0")
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), v.alias("v")) for c, v in value.items()]))).where(F.col("v").isNotNull())
-
+                             F.min(v).alias("min"), F.max(v).alias("max")).alias(f"_{i}") for i, (c, v) in enumerate(value.items())], *approx)
     names = [f"p{int(round(p * 100))}" for p in percentiles]
-    if not exact:
-        q = F.percentile_approx("v", list(percentiles), accuracy)
-        approx = long.groupBy("column_name").agg(q.alias("_q"))
-        quant = approx.select("column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    else:
-        quant = exact_quantiles(long, percentiles)
-    out = moments.join(quant, "column_name")
-    return out.select("column_name", "count", "mean", "std", "min", *names, "max")
-
-
-def exact_quantiles(long: DataFrame, percentiles=(0.5,), group: str = "column_name",
-                    value: str = "v") -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas / numpy default) per
-    group of a long ``(group, value)`` table, columns ``p<100*p>``.
-
-    The group's range is cut into BUCKETS, which are counted (map-side
-    first); the buckets that hold a wanted rank are then ranked by themselves:
-    their values are counted per distinct value - a hot value is one row - and
-    a distributed running sum of the counts gives each value its rank range
-    ``[r0, r0 + count)``.  So no sort covers more than those buckets."""
-    span = long.groupBy(group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    width = F.col("_hi") - F.col("_lo")
-    place = F.when((width > 0) & (width < F.lit(float("inf"))), F.floor((F.col(value) - F.col("_lo")) / width * (BUCKETS - 1))).otherwise(0).cast("int")
-    placed = long.join(span, group).select(group, value, "_n", place.alias("_b"))
-    upto = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (placed.groupBy(group, "_n", "_b").agg(F.count(F.lit(1)).alias("_k"))
-               .withColumn("_from", F.coalesce(F.sum("_k").over(upto), F.lit(0))))
-    ranks = [f((F.col("_n") - 1) * F.lit(float(p))) for p in percentiles for f in (F.floor, F.ceil)]
-    holds = reduce(lambda a, c: a | c, [(F.col("_from") <= k) & (k < F.col("_from") + F.col("_k")) for k in ranks])
-    counts = (placed.drop("_n").join(buckets.where(holds).drop("_k"), [group, "_b"])
-              .groupBy(group, "_n", "_b", "_from", value).agg(F.count(F.lit(1)).alias("_c")))
-    run = with_running_sum(counts, [group, "_b", value], "_c", "_cum")
-    starts = run.groupBy(group, "_b").agg(F.min("_cum").alias("_start"))
-    ranked = (run.join(starts, [group, "_b"])
-                 .withColumn("_r0", F.col("_from") + F.col("_cum") - F.col("_start"))
-                 .withColumn("_r1", F.col("_r0") + F.col("_c")))
-    covers = lambda r: (F.col("_r0") <= r) & (r < F.col("_r1"))
-    wanted = None
-    qcols = []
-    for p in percentiles:
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        hit = covers(lo) | covers(hi)
-        wanted = hit if wanted is None else (wanted | hit)
-        frac = pos - lo
-        v_lo = F.max(F.when(covers(lo), F.col(value)))
-        v_hi = F.max(F.when(covers(hi), F.col(value)))
-        qcols.append((v_lo + (v_hi - v_lo) * F.first(frac)).alias(f"p{int(round(p * 100))}"))
-    return ranked.where(wanted).groupBy(group).agg(*qcols)
+    rows = F.array(*[F.struct(*[F.col(f"_{i}")[x].alias(x) for x in ("column_name", "count", "mean", "std", "min")],
+                              *[q.alias(n) for n, q in zip(names, cells[c])], F.col(f"_{i}")["max"].alias("max")) for i, c in enumerate(cols)])
+    return wide.select(F.inline(rows)).where("count > 0")
+
+
+DIGIT = 16              # bits of a value's code that one pass tells
+FEW = 4096              # values that are fetched instead of counted again
+
+
+def _codes(values: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned numbers in the same order (-0.0 as 0.0)."""
+    bits = (values + 0.0).view(np.uint64)
+    return np.where(bits >> np.uint64(63) == 1, ~bits, bits | np.uint64(1 << 63))
+
+
+def _value(code: int) -> float:
+    """The double of a code."""
+    bits = code ^ (1 << 63) if code >> 63 else code ^ ((1 << 64) - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
+
+
+def _bucket_counts(wanted: list[tuple[int, int, int, bool]]):
+    """For each wanted (column, prefix, number of known bits, fetch): how many
+    values with that prefix have each next digit, summed over a task's rows;
+    or, where fetched, each value's code and its count."""
+    def run(batches):
+        counts = [{} for _ in wanted]
+        for b in batches:
+            codes = {}
+            for i, (col, prefix, known, fetch) in enumerate(wanted):
+                if col not in codes:
+                    c = b.column(col).drop_null()
+                    codes[col] = _codes(c.to_numpy(zero_copy_only=False).astype(np.float64))
+                c = codes[col]
+                if known:
+                    c = c[c >> np.uint64(64 - known) == np.uint64(prefix)]
+                key, n = np.unique(c if fetch else (c >> np.uint64(64 - known - DIGIT)) & np.uint64((1 << DIGIT) - 1), return_counts=True)
+                for k, x in zip(key.tolist(), n.tolist()):
+                    counts[i][k] = counts[i].get(k, 0) + x
+        flat = [(i, k, x) for i, of in enumerate(counts) for k, x in of.items()]
+        # codes as signed longs, as Spark has no unsigned ones
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in flat], pa.int32()), pa.array(np.array([f[1] for f in flat], np.uint64).view(np.int64)), pa.array([f[2] for f in flat], pa.int64())],
+                                         ["target", "key", "n"])
+    return run
+
+
+def wide_quantiles(df: DataFrame, percentiles=(0.5,)) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation (pandas / numpy default) of
+    all columns of ``df`` (doubles; NULLs do not count), None without values.
+
+    Radix selection: doubles have a code that sorts as they do.  A pass over
+    the wide rows counts, for every wanted rank of every column at once, the
+    values in the bucket found so far by their next DIGIT bits; a task sends
+    one row a bucket that it met.  The bucket that holds the rank is refined
+    until it has FEW values, which are fetched, or its values are equal.  So at
+    most 64 / DIGIT passes are made, whatever the distribution, nothing is
+    sorted, and a value that many rows share is one count."""
+    cols = df.columns
+    n = {c: None for c in cols}
+    # (column, rank) -> [prefix, known bits, ranks before the bucket, values in the bucket]
+    state: dict[tuple[int, int], list[int]] = {}
+    found: dict[tuple[int, int], float] = {}
+    first = True
+    while first or state:
+        targets = {(i, 0, 0, False): [] for i in range(len(cols))} if first else {}
+        for (i, rank), (prefix, known, _, size) in state.items():
+            targets.setdefault((i, prefix, known, size <= FEW), []).append(rank)
+        wanted = list(targets)
+        got: list[list[tuple[int, int]]] = [[] for _ in wanted]
+        sums = df.mapInArrow(_bucket_counts(wanted), "target int, key long, n long").groupBy("target", "key").agg(F.sum("n").alias("n"))
+        rows = sums.toArrow()                       # 2 ** DIGIT buckets a target at most
+        for t, k, x in zip(rows["target"].to_pylist(), rows["key"].to_pylist(), rows["n"].to_pylist()):
+            got[t].append((k % (1 << 64), x))
+        for (i, prefix, known, fetch), buckets in zip(wanted, map(sorted, got)):
+            if first:
+                n[cols[i]] = sum(x for _, x in buckets)
+                ranks = {f((n[cols[i]] - 1) * float(p)) for p in percentiles for f in (math.floor, math.ceil)} if n[cols[i]] else set()
+                state |= {(i, k): [0, 0, 0, n[cols[i]]] for k in ranks}
+            else:
+                ranks = targets[i, prefix, known, fetch]
+            for rank in ranks:
+                before = state[i, rank][2]
+                for key, x in buckets:
+                    if rank < before + x:
+                        break
+                    before += x
+                if fetch or known + DIGIT == 64:
+                    found[i, rank] = _value(key if fetch else prefix << DIGIT | key)
+                    del state[i, rank]
+                else:
+                    state[i, rank] = [prefix << DIGIT | key, known + DIGIT, before, x]
+        first = False
+    out: dict[str, list[float | None]] = {}
+    for i, c in enumerate(cols):
+        out[c] = []
+        for p in percentiles:
+            at = (n[c] - 1) * float(p)
+            low, high = (found.get((i, f(at))) for f in (math.floor, math.ceil))
+            out[c].append(None if low is None else low + (high - low) * (at - math.floor(at)) if high != low else low)
+    return out
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

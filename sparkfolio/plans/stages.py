@@ -22,11 +22,11 @@ import pkgutil
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfolio.session import ensure_checkpoint_dir
-from sparkfolio.sources.readers import exists
 from sparkfolio.sources.sinks import write_csv, write_json, write_split
 from sparkfolio.sources.tables import table_path
 
@@ -77,9 +77,14 @@ def stage_root(spark: SparkSession, kind: str) -> str:
 
 def _published(spark: SparkSession, marker: str) -> str | None:
     """The folder that a marker names, if there is one."""
-    if not exists(spark, os.path.join(marker, "*.json")):
+    try:
+        return spark.read.schema("path string").json(os.path.join(marker, "*.json")).agg(F.min("path")).first()[0]
+    except AnalysisException:
         return None
-    return spark.read.schema("path string").json(marker).agg(F.min("path")).first()[0]
+
+
+#: Folders already looked up, by application and base.
+_PATHS: dict[tuple[str, str], str] = {}
 
 
 def _once(spark: SparkSession, base: str, write: Callable[[str], None]) -> str:
@@ -90,12 +95,16 @@ def _once(spark: SparkSession, base: str, write: Callable[[str], None]) -> str:
     each other's files: all then read the folder whose name sorts first.  An
     unfinished write is never named."""
     marker = base + ".done"
+    known = (spark.sparkContext.applicationId, base)
+    if known in _PATHS:         # published folders do not change
+        return _PATHS[known]
     found = _published(spark, marker)
     if found is None:
         path = f"{base}-{uuid.uuid4().hex}"
         write(path)
         spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("append").json(marker)
         found = _published(spark, marker)
+    _PATHS[known] = found
     return found
 
 

@@ -9,13 +9,19 @@ filesystem glob (metadata only).
 from __future__ import annotations
 
 import csv
+import re
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkfolio.sources.sinks import written_once
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or glob matches a file, probed with one row through
@@ -33,23 +39,51 @@ def _header_names(line: str) -> list[str]:
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Header names of a CSV (reads only the first line through Spark)."""
-    first = spark.read.text(path).limit(1).collect()
+    """Header names of a CSV (reads only the first line of one file through Spark)."""
+    first = spark.read.text(path).where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")).limit(1).collect()
     if not first:
         raise ValueError(f"no header line in {path}")
     return _header_names(first[0][0])
 
 
-def _file_headers(spark: SparkSession, pattern: str) -> DataFrame | None:
-    """(file, header line) of every file matching ``pattern``, as a table; None
-    when nothing matches.  Only splits at offset 0 are read, and of them the
-    first line is kept."""
+def _conf_bytes(spark: SparkSession, key: str) -> int:
+    """A size setting such as ``128MB``, ``16m`` or ``134217728b`` in bytes."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", spark.conf.get(key).strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def _first_lines(alone: int):
+    """(file, header) of the files whose start a task reads.  A split of more
+    than ``alone`` bytes has its task to itself, so the task is done after the
+    first rows; small splits share a task, which is read to its end."""
+    def run(batches):
+        done: set[str] = set()
+        for b in batches:
+            files, value = b["_file"].dictionary_encode(), b["value"]
+            code = files.indices.to_numpy(zero_copy_only=False)
+            line = pc.not_equal(pc.utf8_trim_whitespace(value), "").fill_null(False).to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(line)
+            code, first = np.unique(code[at], return_index=True)
+            new = [(f, value[int(i)].as_py()) for f, i in zip(files.dictionary.take(pa.array(code)).to_pylist(), at[first]) if f not in done]
+            done |= {f for f, _ in new}
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in new], pa.string()), pa.array([h for _, h in new], pa.string())], ["_file", "_header"])
+            if len(b) and b["_length"][0].as_py() > alone:
+                return
+    return run
+
+
+def _file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame | None:
+    """(file, header line) of every file of ``paths``, as a written table; None
+    when nothing matches.  Of a large file the task of each split stops after
+    its first rows; only files that share a task are read through."""
     try:
-        first = (spark.read.text(pattern).where(F.col("_metadata.file_block_start") == 0)
-                 .select(F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_at")))
+        text = spark.read.text(paths)
+        block = F.col("_metadata.file_block_start")
+        lines = text.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_length").alias("_length"), F.when(block == 0, F.col("value")).alias("value"))
     except AnalysisException:
         return None
-    return first.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
+    alone = _conf_bytes(spark, "spark.sql.files.maxPartitionBytes") - _conf_bytes(spark, "spark.sql.files.openCostInBytes")
+    return written_once(lines.mapInArrow(_first_lines(alone), "_file string, _header string"), "headers")
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
@@ -87,6 +121,55 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+_CSV = {"header": True, "nullValue": "\u0000", "emptyValue": ""}
+
+
+def read_csv_by_name(spark: SparkSession, paths: str | list[str], all_string: bool = False,
+                     position_col: str | None = None) -> DataFrame | None:
+    """All files of ``paths`` as text columns, aligned by the names of each
+    file's own header; None when nothing matches.  A column that a file does
+    not have is NULL in its rows.
+
+    One scan, whatever the number of headers: Spark reads the fields by
+    position and drops every file's first line; the file's header, from a
+    table of one row a file (16 bytes, broadcast), then tells which position
+    holds which name.  The headers come from a look at the files' starts.
+    Of a name that a header repeats the first column counts.
+    ``all_string`` gives '' for missing fields of short rows."""
+    from sparkfolio.operators.rows import with_scan_position
+
+    files = _file_headers(spark, paths)
+    if files is None:
+        return None
+    headers = {h: _header_names(h) for h in sorted(r[0] for r in files.select("_header").distinct().collect())}
+    fill = (lambda c: F.coalesce(c, F.lit(""))) if all_string else (lambda c: c)
+    width = max(map(len, headers.values()), default=0)
+    # one field more than is used: the parser then picks fields and takes short rows as they are
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
+    rows = spark.read.options(**_CSV).schema(schema).csv(paths).withColumn("_fid", F.xxhash64("_metadata.file_path"))
+    if position_col:
+        rows = with_scan_position(rows, position_col)
+    names = list(dict.fromkeys(n for h in headers.values() for n in h))
+    keep = [F.col(position_col)] if position_col else []
+    if len(headers) < 2:
+        return rows.select(*[fill(F.col(f"_c{i}")).alias(n) for n, i in ((n, next(iter(headers.values())).index(n)) for n in names)], *keep)
+    number = F.create_map(*[x for i, h in enumerate(headers) for x in (F.lit(h), F.lit(i))])
+    files = (files.groupBy(F.xxhash64("_file").alias("_fid")).agg(F.min("_header").alias("_header"), F.max("_header").alias("_other"))
+             .select("_fid", F.when(F.col("_header") == F.col("_other"), number[F.col("_header")]).otherwise(F.raise_error("two files with one hash").cast("int")).alias("_h")))
+    rows = rows.join(F.broadcast(files), "_fid", "left").withColumn("_h", F.coalesce("_h", F.raise_error("a file without a header").cast("int")))
+    cells = []
+    for n in names:
+        places: dict[int, list[int]] = {}
+        for i, h in enumerate(headers.values()):
+            if n in h:
+                places.setdefault(h.index(n), []).append(i)
+        cell = F
+        for at, of in sorted(places.items()):
+            cell = cell.when(F.col("_h").isin(of), fill(F.col(f"_c{at}")))
+        cells.append(cell.alias(n))
+    return rows.select(*cells, *keep)
+
+
 def read_csv_glob(spark: SparkSession, patterns: list[str], schema=None,
                   all_string: bool = False, position_col: str | None = None,
                   same_header: bool = False) -> DataFrame:
@@ -99,39 +182,20 @@ def read_csv_glob(spark: SparkSession, patterns: list[str], schema=None,
     files' headers."""
     from sparkfolio.operators.rows import with_scan_position
 
-    def scan(pattern: str, names: list[str]) -> DataFrame:
-        sch = schema if schema is not None else T.StructType([T.StructField(n, T.StringType()) for n in names])
-        # Spark expands the glob itself: the file list never reaches the driver
-        df = (spark.read.option("header", True).option("nullValue", "\u0000")
-              .option("emptyValue", "").schema(sch).csv(pattern))
-        return df.withColumn("_source", F.col("_metadata.file_path"))
-
-    def finished(df: DataFrame) -> DataFrame:
-        if position_col:
-            df = with_scan_position(df, position_col)
-        df = df.drop("_source")
-        return df.na.fill("") if all_string else df
-
     for pat in patterns:
-        files = _file_headers(spark, pat)
-        if files is None:
+        if not same_header and schema is None:
+            df = read_csv_by_name(spark, pat, all_string, position_col)
+            if df is not None:
+                return df
+            continue
+        try:
+            fields = schema if schema is not None else T.StructType([T.StructField(n, T.StringType()) for n in csv_header(spark, pat)])
+            # Spark expands the glob itself: the file list never reaches the driver
+            df = spark.read.options(**_CSV).schema(fields).csv(pat)
+        except AnalysisException:
             continue
-        if same_header or schema is not None:
-            row = files.select("_header").limit(1).collect()
-            return finished(scan(pat, _header_names(row[0][0])))
-        # one scan a distinct header, each kept to the files that have it
-        headers = sorted(r[0] for r in files.select("_header").distinct().collect())
-        frames = []
-        for h in headers:
-            df = scan(pat, _header_names(h))
-            if len(headers) > 1:
-                mine = files.where(F.col("_header") == h).select(F.col("_file").alias("_source"))
-                df = (with_scan_position(df, position_col) if position_col else df).join(mine, "_source", "left_semi")
-                df = df.drop("_source")
-                frames.append(df.na.fill("") if all_string else df)
-            else:
-                frames.append(finished(df))
-        return union_by_name(frames)
+        df = with_scan_position(df, position_col) if position_col else df
+        return df.na.fill("") if all_string else df
     raise FileNotFoundError(f"no files match any of {patterns}")
 
 
@@ -147,13 +211,14 @@ def read_optional_csv(spark: SparkSession, candidates: list[str],
 def read_statement_globs(spark: SparkSession, dirs: list[str],
                          suffixes=("_IS_raw.csv", "_BS_raw.csv", "_CF_raw.csv"),
                          schema=None) -> DataFrame | None:
-    """Per-statement globs, first directory with hits wins, else None."""
+    """Per-statement globs, first directory with hits wins, else None; all
+    statements' files come from one scan, aligned by name."""
     for d in dirs:
         globs = [g for g in (f"{d.rstrip('/')}/*{s}" for s in suffixes) if exists(spark, g)]
         if globs:
             if schema is not None:
                 return read_csv_typed(spark, globs, schema)
-            return union_by_name([read_csv_glob(spark, [g]) for g in globs])
+            return read_csv_by_name(spark, globs)
     return None
 
 

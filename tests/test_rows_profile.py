@@ -98,3 +98,53 @@ def test_quantiles_with_hot_value(spark):
     r = profile.describe(df, ["a"], percentiles=(0.1, 0.25, 0.5, 0.75, 0.9), digits=None).first()
     for p in (10, 25, 50, 75, 90):
         assert r[f"p{p}"] == pytest.approx(np.percentile(a, p), abs=1e-12)
+
+
+def test_quantiles_of_many_columns_in_wide_passes(spark):
+    """Log-normal values over many magnitudes, one value holding a third, few
+    distinct values, negatives and zeros of both signs, NULLs and NaN, all
+    NULL, one value alone, infinities - as numpy has them, with no melted table."""
+    import numpy as np
+    r = np.random.default_rng(5)
+    n = 30_000
+    cols = {
+        "lognormal": np.exp(r.normal(0, 12, n)), "third": np.where(r.random(n) < 0.34, 7.25, r.normal(0, 1e6, n)),
+        "few": r.integers(-2, 3, n).astype(float), "signs": np.where(r.random(n) < 0.5, -0.0, r.normal(0, 1e-300, n)),
+        "gaps": np.where(r.random(n) < 0.3, np.nan, r.random(n)), "none": np.full(n, np.nan), "one": np.full(n, 3.5),
+        "wide": np.where(r.random(n) < 0.2, -np.inf, r.normal(0, 1, n))}
+    import pandas as pd
+    df = spark.createDataFrame(pd.DataFrame(cols)).repartition(7)
+    ps = (0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 1.0)
+    got = profile.wide_quantiles(df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in cols]), ps)
+    assert got.pop("none") == [None] * len(ps)
+    for c, q in got.items():
+        v = np.sort(cols[c][~np.isnan(cols[c])])
+        at = [(len(v) - 1) * p for p in ps]
+        want = [v[int(a)] if v[int(a)] == v[int(np.ceil(a))] else v[int(a)] + (v[int(np.ceil(a))] - v[int(a)]) * (a - int(a)) for a in at]
+        assert q == want, c
+    rows = {x["column_name"]: x for x in profile.describe(df, list(cols), digits=None).collect()}
+    assert "none" not in rows and rows["few"]["count"] == n and rows["third"]["p50"] == got["third"][3] and rows["one"]["p25"] == 3.5
+    plan = profile.describe(df, ["few", "one"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Scan") <= 1 and "Sort" not in plan
+
+
+def test_codes_sort_as_doubles_do():
+    import numpy as np
+    v = np.array([-np.inf, -1e300, -2.5, -5e-324, 0.0, 5e-324, 1.0, 1.5, 1e300, np.inf])
+    c = profile._codes(v)
+    assert (np.diff(c.astype(object)) > 0).all() and [profile._value(int(x)) for x in c] == v.tolist()
+    assert profile._codes(np.array([-0.0]))[0] == profile._codes(np.array([0.0]))[0]
+
+
+def test_numeric_stats_impute_real_nulls(spark):
+    import numpy as np
+    from sparkfolio.operators import ml
+    r = np.random.default_rng(6)
+    x = [None if i % 5 == 0 else float(v) for i, v in enumerate(r.integers(0, 50, 4000))]
+    df = spark.createDataFrame([(v, 2.0, None) for v in x], "x double, c double, empty double")
+    for exact in (True, False):
+        got = {s["feature"]: s for s in ml.numeric_stats(df, ["x", "c", "empty"], exact=exact).collect()}
+        median = float(np.median([v for v in x if v is not None]))
+        full = np.array([median if v is None else v for v in x])
+        assert set(got) == {"x", "c"} and got["c"]["scale"] == 1.0
+        assert got["x"]["median"] == median and abs(got["x"]["mean"] - full.mean()) < 1e-9 and abs(got["x"]["scale"] - full.std()) < 1e-9

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -146,3 +147,64 @@ def test_slice_without_key_follows_file_order(spark, tmp_path):
     _w(tmp_path / "b.csv", "k\n" + "".join(f"b{i}\n" for i in range(40)))
     df = spark.read.option("header", True).csv(str(tmp_path))
     assert [r.k for r in slice_rows(df, 1, 5).collect()] == ["a1", "a2", "b0", "b1"]
+
+
+def test_fifty_headers_in_one_scan(spark, tmp_path):
+    """Each file has its own columns in its own order; quoted names, short
+    rows, blank lines before the header, a file that is empty and one with
+    nothing but a header; names that one file alone has."""
+    import random
+    r = random.Random(7)
+    names = [f"c {i}" for i in range(12)] + ['quoted, name', "größe"]
+    want = []
+    for f in range(50):
+        mine = r.sample(names, r.randrange(1, len(names))) + [f"only {f}"]
+        lines = [",".join(f'"{n}"' if "," in n else n for n in mine)]
+        for i in range(r.randrange(0, 5)):
+            cells = [f"{f}.{i}.{n}" for n in range(len(mine))]
+            cells = cells[:r.randrange(1, len(cells) + 1)]
+            lines.append(",".join(f'"{c},"' if k % 3 == 1 else c for k, c in enumerate(cells)))
+            cells = [c + "," if k % 3 == 1 else c for k, c in enumerate(cells)] + [""] * (len(mine) - len(cells))
+            want.append(tuple(sorted(zip(mine, cells))))
+        _w(tmp_path / f"part_{f:02}.csv", "\n" * (f % 3) + "\n".join(lines) + "\n")
+    _w(tmp_path / "part_99.csv", "")
+    df = R.read_csv_glob(spark, [str(tmp_path / "part_*.csv")], all_string=True, position_col="_at")
+    assert set(df.columns) == set(names) | {f"only {f}" for f in range(50)} | {"_at"}
+    got = [tuple(sorted((c, v) for c, v in row.asDict().items() if v is not None and c != "_at")) for row in df.collect()]
+    assert sorted(got) == sorted(want)
+    plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "FileScan text" not in plan
+    # one column: the scan parses that column's places alone
+    narrow = df.select("größe")._jdf.queryExecution().executedPlan().toString()
+    places = {h.index("größe") for h in (open(tmp_path / f"part_{f:02}.csv", encoding="utf-8").read().split("\n")[f % 3].replace('"quoted, name"', "q").split(",") for f in range(50)) if "größe" in h}
+    assert set(re.findall(r"_c(\d+)#", narrow)) == set(map(str, places))
+
+
+def test_rows_equal_to_the_header_stay_and_large_files_are_split(spark, tmp_path):
+    """Headers of files whose splits have a task each are found though tasks
+    stop early, and each file's rows are read by them."""
+    n = 60_000
+    _w(tmp_path / "p_a.csv", "k,v\n" + "".join(f"a{i},{i}\n" for i in range(n)) + "k,v\n")
+    _w(tmp_path / "p_b.csv", "v,k,w\n" + "".join(f"{i},b{i},x\n" for i in range(n)))
+    _w(tmp_path / "p_c.csv", "w\n1\n")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    try:
+        df = R.read_csv_glob(spark, [str(tmp_path / "p_*.csv")])
+        assert df.rdd.getNumPartitions() > 15
+        got = df.agg(F.count("k").alias("k"), F.sum(F.expr("try_cast(v as long)")).alias("v"), F.count("w").alias("w"), F.count_if(F.col("k") == "k").alias("h")).first()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert tuple(got) == (2 * n + 1, n * (n - 1), n + 1, 1)
+    assert R._conf_bytes(spark, "spark.sql.files.maxPartitionBytes") == 128 << 20
+
+
+def test_no_files_and_one_header_file(spark, tmp_path):
+    assert R.read_csv_by_name(spark, str(tmp_path / "x*.csv")) is None
+    _w(tmp_path / "x.csv", "a,b,a\n1,2,3\n4\n")
+    assert [tuple(r) for r in R.read_csv_by_name(spark, str(tmp_path / "x*.csv")).collect()] == [("1", "2"), ("4", None)]
+    _w(tmp_path / "x.csv", "")
+    empty = R.read_csv_by_name(spark, str(tmp_path / "x*.csv"))
+    assert empty.columns == [] and empty.count() == 0
