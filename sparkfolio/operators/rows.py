@@ -84,6 +84,25 @@ def with_row_index(df: DataFrame, order_by: list | None = None,
     return out.drop("_file", "_fid", "_block", "_mid", "_first", "_off", "_total")
 
 
+def zip_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Row i of ``left`` beside row i of ``right``, both in scan order: columns
+    ``left`` and ``right`` (the rows, so no names clash) and ``i``.  Tables of
+    different lengths raise ValueError.
+
+    Each side is placed once and gets its dense index from its splits' offsets;
+    the merge is then an equi-join on a unique number, which no value of the
+    data can skew, and neither side is sorted as a whole."""
+    def indexed(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        rows = with_row_index(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)), None, name="i", total_name="n")
+        some = rows.select("n").first()
+        return rows.drop("n"), some["n"] if some else 0
+
+    (a, n), (b, m) = indexed(left, "left"), indexed(right, "right")
+    if n != m:
+        raise ValueError(f"{m} rows beside {n}")
+    return a.join(b, "i").select("left", "right", "i")
+
+
 def _bound(v: Column, n: Column, lo: Column, hi: Column) -> Column:
     # clamp(v, lo, hi)
     return F.least(F.greatest(v, lo), hi)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkfolio.functions.arith import round_half, round_sql
 from sparkfolio.operators.frame import Frame
 from sparkfolio.plans.registry import query
+from sparkfolio.plans.stages import stage
 from sparkfolio.sources.tables import load
 
 HIGH_VALUE = 50000.0  # P10 mask threshold on l_extendedprice
@@ -266,27 +267,69 @@ def slice_keyless(spark, sf):
     return slice_rows(li, 3, None, keep_index=True, ordered=False)
 
 
+def build_row_values(spark, sf):
+    """A table with one row a lineitem row, in its order: a flag and a number
+    that hang on the row and on its place."""
+    from sparkfolio.operators.rows import with_row_index
+    li = with_row_index(load(spark, sf, "lineitem").select("l_linenumber", "l_quantity"), name="i")
+    place = F.col("i") + F.col("l_linenumber")
+    return li.select("i", (place % 3 != 1).alias("flag"), (place * 2).alias("twice")).orderBy("i").drop("i")
+
+
+def _row_values(spark, sf) -> Frame:
+    return Frame(stage(spark, sf, "row_values", ["lineitem"], lambda: build_row_values(spark, sf)))
+
+
 @query("list_mask", """
 SELECT l_orderkey, l_linenumber, l_quantity FROM (
   SELECT l_orderkey, l_linenumber, l_quantity, ROW_NUMBER() OVER () - 1 AS i FROM lineitem) t
-WHERE i % 3 <> 1
+WHERE (i + l_linenumber) % 3 <> 1
 """)
 def list_mask(spark, sf):
-    """P10 with a list of booleans, one a row, in file order."""
+    """P10 with a mask from another table, matched by row position."""
     f = Frame(load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
-    return f[[i % 3 != 1 for i in range(len(f))]].df
+    return f[_row_values(spark, sf).rows("flag")].df
 
 
 @query("list_column", """
-SELECT l_orderkey, l_linenumber, CAST((ROW_NUMBER() OVER () - 1) * 2 AS BIGINT) AS twice FROM lineitem
+SELECT l_orderkey, l_linenumber, CAST((ROW_NUMBER() OVER () - 1 + l_linenumber) * 2 AS BIGINT) AS twice FROM lineitem
 """)
 def list_column(spark, sf):
-    """P5 with a list of values, one a row, in file order."""
+    """P5 with the values of another table's column, one a row by position."""
     f = Frame(load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
-    f["twice"] = [2 * i for i in range(len(f))]
+    f["twice"] = _row_values(spark, sf).rows("twice")
     return f.df
 
 
+_COMPARED = {"==": 1993.02, "!=": 1993.02, "<": 60000, "<=": 60000.0, ">": "150000", ">=": 150000.5}
+
+
+@query("comparators", """
+SELECT 'o_totalprice' AS column_name, op, CAST(SUM(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS n FROM (
+  SELECT op, CASE op WHEN '==' THEN o_totalprice = 1993.02 WHEN '!=' THEN o_totalprice <> 1993.02 WHEN '<' THEN o_totalprice < 60000 WHEN '<=' THEN o_totalprice <= 60000
+                     WHEN '>' THEN o_totalprice > 150000 ELSE o_totalprice >= 150000.5 END AS hit
+  FROM orders, (VALUES ('=='), ('!='), ('<'), ('<='), ('>'), ('>=')) t(op)) x GROUP BY op
+UNION ALL
+SELECT 'o_orderstatus', op, CAST(SUM(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) FROM (
+  SELECT op, CASE op WHEN '==' THEN o_orderstatus = 'O' WHEN '!=' THEN o_orderstatus <> 'O' WHEN '<' THEN o_orderstatus < 'O' WHEN '<=' THEN o_orderstatus <= 'O'
+                     WHEN '>' THEN o_orderstatus > 'O' ELSE o_orderstatus >= 'O' END AS hit
+  FROM orders, (VALUES ('=='), ('!='), ('<'), ('<='), ('>'), ('>=')) t(op)) x GROUP BY op
+""")
+def comparators(spark, sf):
+    """P11 + P9: all six comparisons of a number column (with numbers and with
+    a number as text) and of a text column, counted in the masks and filters
+    of one scan each."""
+    o = Frame(load(spark, sf, "orders").select("o_totalprice", "o_orderstatus"))
+    c = o["o_totalprice"]
+    masks = [c == _COMPARED["=="], c != _COMPARED["!="], c < _COMPARED["<"], c <= _COMPARED["<="], c > _COMPARED[">"], c >= _COMPARED[">="]]
+    price = {op: m.expr for op, m in zip(_COMPARED, masks)}
+    status = {op: o.predicate("o_orderstatus", op, "O") for op in _COMPARED}
+    counts = o.df.agg(*[F.count_if(m).alias(f"p{i}") for i, m in enumerate(price.values())], *[F.count_if(m).alias(f"s{i}") for i, m in enumerate(status.values())])
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(op).alias("op"), F.col(f"{p}{i}").alias("n"))
+             for c, p, of in (("o_totalprice", "p", price), ("o_orderstatus", "s", status)) for i, op in enumerate(of)]
+    return counts.select(F.inline(F.array(*cells)))
+
+
 _ODD_VALUES = """
 SELECT l_returnflag, l_linenumber, l_orderkey,
        CASE l_linenumber WHEN 1 THEN 1e-9 WHEN 2 THEN 9e28 WHEN 3 THEN 9e30 ELSE l_quantity END AS v

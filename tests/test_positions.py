@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkfolio.operators.frame import Frame
-from sparkfolio.operators.rows import keep_first, slice_rows, with_group_rank, with_row_index, with_running_sum
+from sparkfolio.operators.rows import keep_first, slice_rows, zip_rows, with_group_rank, with_row_index, with_running_sum
 
 LINES = "/root/testdata/sf0.1/lineitem.parquet"
 
@@ -79,3 +79,28 @@ def test_keep_first_missing_order(spark):
     assert got[1][0] is None and got[1][1] in "ab" and got[2][0] == 5 and got[2][1] in "de" and got[None] == (0, "h")
     again = {r["k"]: r["x"] for r in keep_first(spark.createDataFrame(rows[::-1], "k int, o int, x string"), ["k"], "o").collect()}
     assert again == {k: x for k, (_, x) in got.items()}
+
+
+def test_zip_of_two_tables_with_different_splits(spark, tmp_path):
+    """Rows meet by position whatever the files are; names that the operator uses inside do not clash."""
+    n = 5_000
+    spark.range(n).select("id", F.col("id").alias("i"), F.lit("x").alias("left"), F.lit(1).alias("value")).repartitionByRange(7, "id").sortWithinPartitions("id").write.parquet(str(tmp_path / "a"))
+    spark.range(n).select((F.col("id") * 3).alias("v"), (F.col("id") % 4 == 0).alias("flag"), F.lit(2).alias("_row")).repartitionByRange(3, "v").sortWithinPartitions("v").write.parquet(str(tmp_path / "b"))
+    a, b = spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "b"))
+    both = zip_rows(a, b)
+    assert both.columns == ["left", "right", "i"] and both.where("right.v <> 3 * left.id or i <> left.id").count() == 0 and both.count() == n
+    f, g = Frame(a), Frame(b)
+    kept = f[g.rows("flag")]
+    assert kept.columns == a.columns and [r["id"] for r in kept.df.collect()] == list(range(0, n, 4))
+    f["v"] = g.rows("v")
+    f["again"] = f.rows("id")           # the order is still that of the files
+    assert f.df.where("v <> 3 * id or again <> id").count() == 0 and f.columns == ["id", "i", "left", "value", "v", "again"]
+    with pytest.raises(ValueError):
+        zip_rows(a, b.limit(10))
+    assert zip_rows(a.limit(0), b.limit(0)).count() == 0
+
+
+def test_null_flags_select_nothing(spark, tmp_path):
+    spark.createDataFrame([(True,), (None,), (False,)], "flag boolean").coalesce(1).write.parquet(str(tmp_path / "f"))
+    f = Frame.from_columns(spark, ["a"], {"a": ["1", "2", "3"]})
+    assert [r.a for r in f[Frame(spark.read.parquet(str(tmp_path / "f"))).rows("flag")].df.collect()] == ["1"]
