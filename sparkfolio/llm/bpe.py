@@ -29,6 +29,8 @@ OVERLAP = 512           # characters a chunk's run goes into the next chunk
 #: The cut points of so many chunks (8 bytes each, and 30 a text) are broadcast.
 BROADCAST_CHUNKS = 2_000_000
 ROWS = 300              # rows that a task encodes or decodes before it hands them on
+LONG_SPACE = 50_000     # white-space characters in a row from which texts are pre-tokenised here
+SPACES = regex.compile(r"\s{%d}" % LONG_SPACE)
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -47,6 +49,15 @@ class _Shared:
         return tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=self.ranks.value, special_tokens={})
 
 
+def encode_text(encoder: tiktoken.Encoding, pattern: regex.Pattern, text: str) -> list[int]:
+    """``encoder.encode_ordinary``, also where white space goes on so long that
+    the library's own pattern search has no stack left: ``pattern``, the
+    encoder's, then finds the pre-tokens, and each is merged on its own."""
+    if len(text) < LONG_SPACE or not SPACES.search(text):
+        return encoder.encode_ordinary(text)
+    return [i for m in pattern.finditer(text) for i in encoder._encode_single_piece(m.group().encode())]
+
+
 def boundaries(text: str, pattern: regex.Pattern, ended: bool) -> np.ndarray:
     """Ends of the pre-tokens of ``text``.  If more text follows
     (``ended`` false), the last two ends are not known yet and left out."""
@@ -79,7 +90,8 @@ def encode(df: DataFrame, path: str | None = None, pattern: str = public_tokeniz
 
     Null and empty texts have no ids.  Texts longer than ``chunk`` characters
     are spread over tasks by chunk; one that never resynchronises (a pre-token
-    longer than ``overlap`` across a cut) is encoded as one piece.  Repeated
+    longer than ``overlap`` across a cut) is encoded as one piece, runs of
+    millions of spaces, line breaks or letters too.  Repeated
     rows each keep their ids; extra columns of any name stay in ``record``.
     """
     spark = df.sparkSession
@@ -136,11 +148,11 @@ def _list_of_int32(parts: list[np.ndarray]) -> pa.Array:
 def _encode_texts(shared: _Shared):
     """All columns but ``text`` as they are, then ``ids``."""
     def run(batches):
-        encoder = shared.encoding()
+        encoder, pattern = shared.encoding(), regex.compile(shared.pattern)
         for b in batches:
             for at in range(0, b.num_rows, ROWS):
                 x = b.slice(at, ROWS)
-                ids = [np.array(encoder.encode_ordinary(t), np.int32) for t in x["text"].to_pylist()]
+                ids = [np.array(encode_text(encoder, pattern, t), np.int32) for t in x["text"].to_pylist()]
                 keep = [c for c in x.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays([*[x[c] for c in keep], _list_of_int32(ids)], [*keep, "ids"])
     return run

@@ -115,10 +115,11 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col: str =
     entries = saved(entries, "code-entries")
     n = entries.count()
     parts = saved(entries.repartition(max(spark.sparkContext.defaultParallelism, -(-n // PART_CODES)), "code"), "code-parts")
-    asked = saved(coded.where(F.col("id") % query_every == 0).select("code").distinct()
-                  .withColumn("block", F.pmod(F.xxhash64("code"), F.lit(max(1, -(-n // QUERY_BLOCK)))).cast("int")), "query-codes")
+    asked = saved(coded.where(F.col("id") % query_every == 0).select("code").distinct(), "query-codes")
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int"))
     found = None
-    for block in sorted(r["block"] for r in asked.select("block").distinct().collect()):       # as many as rows / QUERY_BLOCK
+    for block in sorted(r["block"] for r in asked.select("block").distinct().collect()):       # as many as queries / QUERY_BLOCK
         codes = [bytes(r["code"]) for r in asked.where(F.col("block") == block).select("code").toLocalIterator()]
         part = parts.mapInArrow(_search(spark.sparkContext.broadcast(codes), n_bits, n_bytes, k + 1), "query binary, distance long, ids array<long>")
         found = part if found is None else found.unionByName(part)

@@ -29,6 +29,7 @@ TRAIN_PER_TEXT = 2_000
 SMOOTH = 1_000          # added to a labelled text's length, so that a tiny one is not cheap
 BLOCK = 512
 LANES = 4_096           # blocks parsed side by side
+DENSE = 8_000_000       # entries of a table of 4 bytes each
 MIN_COUNT = 2           # a character seen less often in the labelled text is "other"
 OTHER, SPACE = 1, 0
 UND = "und"
@@ -85,8 +86,48 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
+class Edges:
+    """The edges of an automaton over a wide alphabet in a hash table, about
+    as large as the labelled text whatever the number of signs."""
+
+    def __init__(self, step: list[dict[int, int]], width: int):
+        self.width = width
+        self.fresh = np.zeros(width, np.int64)                   # a phrase's first character; unknown ones lead back to the start
+        self.fresh[list(step[0])] = list(step[0].values())
+        key = np.array([state * width + s for state, edges in enumerate(step) if state for s in edges], np.int64)
+        to = np.array([t for state, edges in enumerate(step) if state for t in edges.values()], np.int64)
+        self.bits = max(4, int(2 * len(key)).bit_length())
+        self.keys, self.to = np.full(1 << self.bits, -1), np.zeros(1 << self.bits, np.int64)
+        slot = self._slot(key)
+        while len(key):         # the first of those that want a free slot gets it, the others look on
+            free = self.keys[slot] < 0
+            _, first = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[first]
+            self.keys[slot[won]], self.to[slot[won]] = key[won], to[won]
+            left = np.ones(len(key), bool)
+            left[won] = False
+            key, to, slot = key[left], to[left], (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def read(self, state: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and whether the sign begins a phrase."""
+        key = state * self.width + sign
+        out, new = self.fresh[sign], np.ones(len(key), bool)
+        open_, slot = np.arange(len(key)), self._slot(key)
+        while len(open_):
+            there = self.keys[slot]
+            hit = there == key[open_]
+            out[open_[hit]], new[open_[hit]] = self.to[slot[hit]], False
+            on = ~hit & (there >= 0)
+            open_, slot = open_[on], (slot[on] + 1) & ((1 << self.bits) - 1)
+        return out, new
+
+
 class CrossParser:
-    """The automata of all languages as tables over one alphabet.
+    """The automata of all languages over one alphabet, as tables, or where a
+    table would have more than DENSE entries as edges in a hash table.
 
     An entry is 2 * (next state's row) + 1 if the character begins a new
     phrase; a character that the labelled text lacks is a phrase by itself.
@@ -104,13 +145,15 @@ class CrossParser:
         points, counts = np.unique(np.concatenate([np.zeros(0, np.uint32), *joined.values()]), return_counts=True)
         points = points[(counts >= MIN_COUNT) & (points != 32)]
         self.width = len(points) + 2
-        self.code = np.full(0x110000, OTHER, np.uint16)
+        self.code = np.full(0x110000, OTHER, np.int32)
         self.code[32] = SPACE
         self.code[points.astype(np.int64)] = np.arange(2, self.width)
         self.tables = [self._table(self.code[joined[k]].tolist()) for k in self.names]
 
-    def _table(self, symbols: list[int]) -> np.ndarray:
+    def _table(self, symbols: list[int]) -> np.ndarray | Edges:
         step = suffix_automaton(symbols)
+        if len(step) * self.width > DENSE:
+            return Edges(step, self.width)
         fresh = np.ones(self.width, np.int64)                    # no such character: back to the start
         for s, t in step[0].items():
             fresh[s] = 2 * t * self.width + 1
@@ -150,6 +193,14 @@ class CrossParser:
         grid = symbols[at].astype(np.int32)
         counts = np.zeros((len(begin), len(self.names)), np.int64)
         for k, table in enumerate(self.tables):
+            if isinstance(table, Edges):
+                state, count = table.fresh[grid[0]], np.ones(len(begin), np.int64)
+                for i in range(1, longest):
+                    m = alive[i]
+                    state[:m], new = table.read(state[:m], grid[i, :m])
+                    count[:m] += new
+                counts[:, k] = count
+                continue
             state = np.zeros(len(begin), np.int32)
             count = np.ones(len(begin), np.int32)
             value = np.empty(len(begin), np.int32)

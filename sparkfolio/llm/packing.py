@@ -21,12 +21,14 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from sparkfolio.llm.bpe import encode_text
 from sparkfolio.llm.store import saved
 
 CAPACITY = 2048
@@ -189,11 +191,12 @@ class Coder:
             byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
             ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if i < 256 + len(merges)}
             self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            self.pattern = regex.compile(pattern)
 
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(self.fast.encode_ordinary(text), np.uint32)
+        return np.array(encode_text(self.fast, self.pattern, text), np.uint32)
 
 
 def token_pieces(documents: DataFrame, path: str | None = None, text_col: str = "text", capacity: int = CAPACITY,

@@ -41,12 +41,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(low, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def candidate_keys(host: Column, path: Column, path_lengths: Sequence[int]) -> Column:
+def candidate_keys(host: Column, path: Column, path_lengths: Sequence[int], max_labels: int) -> Column:
     """All rule keys that could fit a url, longest first: each host suffix at a
     dot, with each prefix of the path that has a rule's length.  The key is the
-    host followed by the path prefix, which starts with ``/`` or is empty."""
+    host followed by the path prefix, which starts with ``/`` or is empty.
+    Suffixes of more than ``max_labels`` labels, as many as any rule's host
+    has, fit no rule; so a host of any length has a bounded number of keys."""
     labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
+    suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - max_labels + 1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
     prefixes = F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sorted(set(path_lengths))])
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
@@ -158,7 +160,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], url_col:
     verdicts = {}
     for verdict, h, p in rules:
         verdicts.setdefault(h + p, verdict)
-    keyed = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), [len(p) for _, _, p in rules] or [0]))
+    keyed = urls.withColumn("keys", candidate_keys(
+        F.col("host"), F.col("path"), [len(p) for _, _, p in rules] or [0], max((h.count(".") + 1 for _, h, _ in rules), default=1)))
     universe = saved(keyed.select(F.explode("keys").alias("key")).select(*_two_hashes(F.col("key"))).distinct(), "url-keys")
     names = sorted(set(verdicts.values()))
     keyed = keyed.withColumn("found", F.transform("keys", lambda k: F.lit(-1)))

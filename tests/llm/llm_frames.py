@@ -5,7 +5,7 @@ import random
 from pyspark.sql import types as T
 
 #: Names that the operators use inside, as extra columns of the input.
-CLASH = ["record", "row", "rows", "key", "h", "n", "id", "class", "bucket", "pos", "score", "kept", "maybe", "ids", "host", "path", "rule", "part", "length", "len", "salt"]
+CLASH = ["record", "row", "rows", "key", "h", "n", "id", "class", "bucket", "pos", "score", "kept", "maybe", "ids", "host", "path", "rule", "part", "length", "len", "salt", "_row", "_keep", "_val"]
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                        T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 

@@ -59,3 +59,27 @@ def test_query(spark):
         ids = expected(texts[r["doc_id"]])
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest()
+
+
+def test_runs_of_millions(spark):
+    """White space on which the library's own search has no stack left, and one word of millions of letters."""
+    n = 3_000_000
+    texts = ["x " + " " * n + "a", "\n" * n + "a", "a" * n, "ok"]
+    from sparkfolio.llm.packing import token_pieces
+    coded = B.decode(B.encode(make(spark, list(enumerate(texts)))))
+    got = {r["id"]: r for r in coded.selectExpr("record.doc_id id", "size(ids) n", "sha2(decoded, 256) h").collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["h"] == hashlib.sha256(t.encode()).hexdigest()
+    assert [got[i]["n"] for i in range(4)] == [n + 2, n + 1, len(ENCODING._encode_single_piece(b"a" * n)), 1]
+    pieces = token_pieces(make(spark, list(enumerate(texts))))
+    assert {r["id"] for r in pieces.selectExpr("record.doc_id id").distinct().collect()} == {0, 1, 2, 3}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab1' \n\t.é漢", max_size=60), st.integers(0, 3))
+def test_own_pretokens_equal_the_library(text, k):
+    B.LONG_SPACE, B.SPACES, old = 1, regex.compile(r"\s"), (B.LONG_SPACE, B.SPACES)
+    try:
+        assert B.encode_text(ENCODING, regex.compile(public_tokenizers.PATTERN), text + " " * k) == ENCODING.encode_ordinary(text + " " * k)
+    finally:
+        B.LONG_SPACE, B.SPACES = old

@@ -44,6 +44,32 @@ def test_phrases_equal_brute_force(samples, texts, block):
         G.BLOCK, G.MIN_COUNT = old, count
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abcé漢 ", max_size=60), min_size=1, max_size=3), st.lists(st.text("abcd漢 ", max_size=80), min_size=1, max_size=5))
+def test_hashed_edges_equal_tables(samples, texts):
+    points = lambda s: np.array([ord(c) for c in s], np.uint32)
+    labelled = {f"l{i}": [points(s)] for i, s in enumerate(samples)}
+    dense = G.CrossParser(labelled, common_length=False).phrases([points(t) for t in texts])
+    G.DENSE, old = 0, G.DENSE
+    try:
+        hashed = G.CrossParser(labelled, common_length=False)
+    finally:
+        G.DENSE = old
+    assert all(isinstance(t, G.Edges) for t in hashed.tables) and (hashed.phrases([points(t) for t in texts]) == dense).all()
+
+
+def test_wide_alphabets_stay_small_and_are_told_apart():
+    """Three scripts of 5,000 signs each: a few MB a language, not gigabytes."""
+    r = np.random.default_rng(3)
+    start = {"a": 0x4E00, "b": 0xAC00, "c": 0x6200}
+    words = {k: [r.integers(s, s + 5000, r.integers(1, 4)) for _ in range(3000)] for k, s in start.items()}
+    text = lambda k, n: np.concatenate([np.append(words[k][i], 32) for i in r.integers(0, 3000, n)]).astype(np.uint32)
+    parser = G.CrossParser({k: [text(k, 14_000)[:G.TRAIN_CHARS]] for k in start}, common_length=False)
+    assert parser.width > 10_000 and sum(t.keys.nbytes + t.to.nbytes + t.fresh.nbytes for t in parser.tables) < 40e6
+    shown = [text(k, 40) for k in start for _ in range(5)]
+    assert parser.costs(shown).argmin(1).tolist() == [0] * 5 + [1] * 5 + [2] * 5
+
+
 def test_automaton_reads_exactly_the_substrings():
     text = "abcbcabbabcc"
     step = G.suffix_automaton(list(text))

@@ -76,6 +76,13 @@ def test_odd_rows_pass(spark, odd_rows, labels):
     assert kept.count(1) == 1 and 3 not in kept and 4 not in kept and 5 not in kept
 
 
+def test_columns_of_any_name_pass(spark, odd, odd_rows):
+    """Extra columns with the names that the stages use inside keep their values."""
+    from llm_frames import CLASH
+    out = C.near_duplicates(spark, C.line_dedup(spark, odd, ""), "").collect()
+    assert out and all([r[c] for c in CLASH] == list(range(len(CLASH))) for r in out)
+
+
 def test_language_stage_rejects_unknown_scripts(spark, documents):
     extra = documents.limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("漢字仮名交" * 40).alias("text"), F.lit(None).cast("string").alias("lang"), "source", "n_chars")
     filled = documents.limit(1).select(F.lit(-2).cast("long").alias("doc_id"), F.lit(prose(1, 3, "the and of")).alias("text"), F.lit(None).cast("string").alias("lang"), "source", "n_chars")

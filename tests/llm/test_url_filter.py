@@ -58,3 +58,11 @@ def test_cascade_is_exact_on_the_universe(spark, monkeypatch, n_listed, n_all, l
 def test_bloom_never_rejects_its_keys(keys, bits):
     k = np.array(keys, np.int64)
     assert U.Bloom(k, k[::-1].copy(), bits, 3)(k, k[::-1].copy()).all()
+
+
+def test_hosts_of_many_labels(spark):
+    """50,000 labels give as many keys as the longest rule has labels."""
+    host = "a." * 50_000
+    pages = spark.createDataFrame([(1, f"http://{host}com/"), (2, f"http://{host}net/fr/x"), (3, f"http://{host}www.example.com/en/"), (4, "http://" + "." * 100_000)], "page_id long, url string")
+    got = {r["id"]: (r["n"], r["rule"], r["verdict"]) for r in U.judge_urls(pages, URL_RULES).selectExpr("record.page_id id", "length(host) n", "rule", "verdict").collect()}
+    assert got == {1: (100_003, "com/", "allow"), 2: (100_003, "net/fr/", "block"), 3: (100_015, "www.example.com/en/", "allow"), 4: (100_000, None, "allow")}
