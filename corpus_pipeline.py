@@ -46,8 +46,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document of each group of near duplicates, the smallest id
     (of repeated rows, one); texts without words are linked with nothing and stay."""
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("i"))
-    linked = link_components(docs.withColumn("_row", row), id_col="_row", carry_text=True)
-    return linked.where(F.col("component_id") == F.col("record._row")).select(*[F.col(f"record.`{c}`") for c in docs.columns])
+    name = "_row"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    linked = link_components(docs.withColumn(name, row), id_col=name, carry_text=True)
+    return linked.where(F.col("component_id") == F.col(f"record.{name}")).select(*[F.col(f"record.`{c}`") for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
