@@ -8,8 +8,14 @@ over (symbol, block of positions) with the rows before the block repeated.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 BLOCK = 4096        # positions of one symbol in one lag window task
@@ -125,9 +131,65 @@ def lags_to_vector(df: DataFrame, x: str = "x", out: str = "features") -> DataFr
     return df.withColumn(out, array_to_vector(F.col(x)))
 
 
-def fit_forecaster(train: DataFrame, x: str = "x", y: str = "y", kind: str = "linear"):
-    """Next-value regression on the lag window (re-aimed LSTM).  One
-    pooled distributed fit over all symbols."""
+def _outer_sums(n_by: int, step: int):
+    """Per series of a batch the sums of z z' with z = (1, lags, y), one row an entry."""
+    def run(batches):
+        for b in batches:
+            keys = b.select(b.schema.names[:n_by]).to_pylist()
+            lags = b.column(n_by).flatten().to_numpy(zero_copy_only=False).reshape(-1, step)
+            z = np.column_stack([np.ones(len(b)), lags, b.column(n_by + 1).to_numpy(zero_copy_only=False)])
+            places: dict[tuple, list[int]] = {}
+            for i, k in enumerate(keys):
+                places.setdefault(tuple(k.values()), []).append(i)
+            for k, rows in places.items():
+                sums = (z[rows].T @ z[rows]).ravel()
+                keyed = [pa.array([v] * len(sums), b.column(j).type) for j, v in enumerate(k)]
+                yield pa.RecordBatch.from_arrays([*keyed, pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], [*b.schema.names[:n_by], "_k", "_v"])
+    return run
+
+
+def fit_by_series(train: DataFrame, by: list[str] | None = None, x: str = "x", y: str = "y", l2: float = 1e-6, time_step: int = 30) -> DataFrame:
+    """One least-squares model a series on the lag window (re-aimed LSTM):
+    columns ``by`` and ``model`` (intercept, then a weight a lag, oldest first).
+
+    The normal equations are sums of outer products: a task sends one
+    (time_step + 2)-square matrix a series and batch, Spark adds them up entry
+    by entry, and each series is solved from one row of sums.  So a series of
+    any length is no burden, and a million series are a million small rows.
+    ``l2`` on the lags' weights keeps short series solvable; a series without
+    training windows has no model."""
+    by = by or ["symbol"]
+    z = time_step + 2
+    rows = train.where(F.size(x) == time_step).select(*by, F.col(x).cast("array<double>").alias("_x"), F.col(y).cast("double").alias("_y")).where(F.col("_y").isNotNull())
+    schema = T.StructType([rows.schema[c] for c in by] + [T.StructField("_k", T.IntegerType()), T.StructField("_v", T.DoubleType())])
+    sums = rows.mapInArrow(_outer_sums(len(by), time_step), schema).groupBy(*by, "_k").agg(F.sum("_v").alias("_v"))
+    matrix = sums.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_v"))), lambda e: e["_v"]).alias("_sums"))       # z * z numbers a series
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def solved(sums: pd.Series) -> pd.Series:
+        out = []
+        for v in sums:
+            m = np.asarray(v).reshape(z, z)
+            a = m[:-1, :-1] + l2 * np.diag([0.0] + [1.0] * time_step)
+            out.append(np.linalg.solve(a, m[:-1, -1]).tolist())
+        return pd.Series(out, dtype=object)
+
+    return matrix.select(*by, solved("_sums").alias("model"))
+
+
+def predict_by_series(models: DataFrame, df: DataFrame, by: list[str] | None = None, x: str = "x", out: str = "pred") -> DataFrame:
+    """``df`` with the forecast of its series' model; NULL without a model or a full window."""
+    by = by or ["symbol"]
+    m = models.select(*[F.col(c).alias(f"_{c}") for c in by], "model")
+    joined = df.join(m, reduce(lambda a, b: a & b, [df[c].eqNullSafe(m[f"_{c}"]) for c in by]), "left")
+    products = F.zip_with(F.slice("model", F.lit(2), F.size("model") - 1), F.col(x), lambda w, v: w * v)
+    pred = F.aggregate(products, F.get("model", F.lit(0)), lambda a, v: a + v)
+    return joined.withColumn(out, F.when(F.col("model").isNotNull(), pred)).drop(*[f"_{c}" for c in by], "model")
+
+
+def fit_forecaster(train: DataFrame, x: str = "x", y: str = "y", kind: str = "gbt"):
+    """M20 pooled: next-value regression on the lag window, one distributed
+    fit over all series (``linear`` or boosted trees)."""
     from pyspark.ml.regression import GBTRegressor, LinearRegression
     data = lags_to_vector(train, x)
     if kind == "linear":
@@ -160,12 +222,16 @@ def prepare_windows(prices: DataFrame, train_end: str, test_start: str,
 
 
 def forecast_report(prices: DataFrame, train_end: str, test_start: str, time_step: int = 30,
-                    value: str = "high", kind: str = "linear") -> tuple[DataFrame, DataFrame]:
-    """M20 + M21 + A19: fit on training windows, predict the test windows,
-    return (per-date actual vs predicted prices, RMSE per symbol)."""
+                    value: str = "high", kind: str = "by series") -> tuple[DataFrame, DataFrame]:
+    """M20 + M21 + A19: fit on training windows (a model a symbol, or one
+    pooled ``linear`` or ``gbt`` model), predict the test windows, return
+    (per-date actual vs predicted prices, RMSE per symbol)."""
     w = prepare_windows(prices, train_end, test_start, time_step, value)
-    model = fit_forecaster(w.where(F.col("split") == "train"), kind=kind)
-    p = predict(model, w.where(F.col("split") == "test"))
+    train, test = w.where(F.col("split") == "train"), w.where(F.col("split") == "test")
+    if kind == "by series":
+        p = predict_by_series(fit_by_series(train, time_step=time_step), test)
+    else:
+        p = predict(fit_forecaster(train, kind=kind), test)
     table = p.select("symbol", "date", minmax_inverse("y").alias("actual"),
                      minmax_inverse("pred").alias("predicted"))
     return table, rmse(table, "actual", "predicted", by=["symbol"])

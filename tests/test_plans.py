@@ -11,8 +11,7 @@ import pytest
 from sparkfolio.plans import QUERIES, activity, churn, engine, kpi, series
 
 SF = "/root/testdata/sf0.001"
-TRAINING = {"leaderboard", "model_params", "score_fitted", "score_stream", "onehot_matrix",
-            "forecast", "prediction_vs_actual"}
+TRAINING = {"leaderboard", "model_params", "score_fitted", "score_stream", "onehot_matrix"}
 # reading all columns of a table is what these are for
 WHOLE = {"drop_add_columns", "frame_shape", "churn.build_doc_features"}
 BUILDERS = {f"{m.__name__.split('.')[-1]}.{n}": f for m in (activity, churn, engine, kpi, series) for n, f in vars(m).items() if n.startswith("build_")}

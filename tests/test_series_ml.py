@@ -274,3 +274,30 @@ def test_artifact_stats_from_all_rows(spark):
     a = churn.train_params(spark, "/root/testdata/sf0.001")
     b = churn.train_params(spark, "/root/testdata/sf0.001", stats_from="all")
     assert a["coef"] == pytest.approx(b["coef"]) and a["numeric_means"] != b["numeric_means"]
+
+
+def test_a_model_a_series(spark):
+    """Each series' coefficients are those of its own least squares, whatever
+    batches it is spread over; a series of a null name too; one with too few
+    windows is still solved, one without any has no forecast."""
+    r = np.random.default_rng(4)
+    rows = [(name, r.normal(size=4).tolist(), float(r.normal())) for name, n in (("a", 300), ("b", 40), (None, 60), ("few", 2)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, x array<double>, y double").repartition(5)
+    models = {m["symbol"]: m["model"] for m in S.fit_by_series(df, time_step=4).collect()}
+    for name in ("a", "b", None, "few"):
+        x = np.array([[1.0, *v] for s, v, _ in rows if s == name])
+        y = np.array([v for s, _, v in rows if s == name])
+        want = np.linalg.solve(x.T @ x + 1e-6 * np.diag([0, 1, 1, 1, 1]), x.T @ y)
+        assert np.allclose(models[name], want, rtol=1e-6, atol=1e-8 if name != "few" else 1e-3)
+    other = spark.createDataFrame([("new", [1.0] * 4, 1.0), ("a", [1.0, 2.0, 3.0, 4.0], 1.0), (None, [0.0] * 4, 0.0)], "symbol string, x array<double>, y double")
+    got = {p["symbol"]: p["pred"] for p in S.predict_by_series(S.fit_by_series(df, time_step=4), other).collect()}
+    assert got["new"] is None and got[None] == pytest.approx(models[None][0])
+    assert got["a"] == pytest.approx(models["a"][0] + np.dot(models["a"][1:], [1, 2, 3, 4]))
+
+
+def test_pooled_report_still_fits(spark):
+    import datetime as dt
+    days = [dt.date(2022, 1, 1) + dt.timedelta(days=i) for i in range(365)]
+    df = spark.createDataFrame([("s", d, float(100 + 3 * i)) for i, d in enumerate(days)], "symbol string, date date, high double")
+    _, e = S.forecast_report(df, "2022-06-30", "2022-07-01", kind="linear")
+    assert e.first().rmse < 1e-6
