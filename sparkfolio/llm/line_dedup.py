@@ -162,12 +162,14 @@ def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc
     removed = (found.join(f, "h").where((F.col("part") == F.col("first_part"))
                                         & ~(F.col("id").eqNullSafe(F.col("place.id")) & (F.col("key") == F.col("place.key")) & (F.col("line") == F.col("place.line"))))
                .withColumn("back", _equal_back("before", "around.before")).withColumn("on", _equal_on("after", "around.after"))
-               .groupBy("key").agg(F.collect_set(F.struct((F.col("line") - F.col("back")).alias("a"), (F.col("line") + F.col("n_lines") + F.col("on")).alias("z"))).alias("gone")))
+               .groupBy("id", "key").agg(F.collect_set(F.struct((F.col("line") - F.col("back")).alias("a"), (F.col("line") + F.col("n_lines") + F.col("on")).alias("z"))).alias("gone")))
     side = lambda c: F.transform("gone", lambda g: g[c])
-    removed = saved(removed.select("key", _merged(side("a"), side("z")).alias("gone")), "line-removals")
+    removed = saved(removed.select("id", "key", _merged(side("a"), side("z")).alias("gone")), "line-removals")
     hit = spark.sparkContext.broadcast(key_filter(removed, "key"))
     flagged = rows.withColumn("maybe", maybe_in(hit, F.col("key")))
-    touched = flagged.where("maybe").join(removed.hint("merge"), "key", "left")      # both sides grow with the corpus
+    gone_of = removed.select(F.col("id").alias("gone_id"), F.col("key").alias("gone_key"), "gone")
+    same = (F.col("key") == F.col("gone_key")) & F.col("id").eqNullSafe(F.col("gone_id"))       # the id too: one text's hash may be another's
+    touched = flagged.where("maybe").join(gone_of.hint("merge"), same, "left")      # both sides grow with the corpus
     split = F.split("text", "\n", -1)
     gone = lambda i: F.exists("gone", lambda g: (i >= g[0]) & (i < g[1]))
     kept = F.filter("all_lines", lambda _, i: ~gone(i))
