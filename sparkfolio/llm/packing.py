@@ -16,6 +16,7 @@ import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -177,11 +178,11 @@ class Coder:
     go through ``tokenizers``."""
 
     def __init__(self, text: str, pattern: str = public_tokenizers.PATTERN):
-        self.slow = Tokenizer.from_str(text)
+        self.text, self.pattern = text, pattern
         spec = json.loads(text)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
-        self.fast = None
+        self.ranks = None
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges", [])]
         plain = model.get("type", "BPE") == "BPE" and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         if plain and all(model["vocab"].get(a + b) == 256 + i for i, (a, b) in enumerate(merges)):
@@ -189,14 +190,25 @@ class Coder:
             printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
             others = [b for b in range(256) if b not in set(printable)]
             byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-            ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if i < 256 + len(merges)}
-            self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-            self.pattern = regex.compile(pattern)
+            self.ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if i < 256 + len(merges)}
+
+    # built where it is used, and only if it is: a task gets the file's text and its ranks
+    @cached_property
+    def slow(self) -> Tokenizer:
+        return Tokenizer.from_str(self.text)
+
+    @cached_property
+    def fast(self) -> tiktoken.Encoding | None:
+        return tiktoken.Encoding("file", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={}) if self.ranks else None
+
+    @cached_property
+    def compiled(self) -> regex.Pattern:
+        return regex.compile(self.pattern)
 
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(encode_text(self.fast, self.pattern, text), np.uint32)
+        return np.array(encode_text(self.fast, self.compiled, text), np.uint32)
 
 
 def token_pieces(documents: DataFrame, path: str | None = None, text_col: str = "text", capacity: int = CAPACITY,
@@ -206,7 +218,7 @@ def token_pieces(documents: DataFrame, path: str | None = None, text_col: str =
     ``end_id``; texts of more than ``capacity`` ids are cut so that all pieces
     but the first are full.  A null or empty text is ``end_id`` alone."""
     with open(path or public_tokenizers.path(BYTE_50K), encoding="utf-8") as f:
-        shared = documents.sparkSession.sparkContext.broadcast(f.read())
+        shared = documents.sparkSession.sparkContext.broadcast(Coder(f.read()))
     keep = [c for c in documents.columns if c != text_col]
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     longs = [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]
@@ -214,7 +226,7 @@ def token_pieces(documents: DataFrame, path: str | None = None, text_col: str =
                           + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * keep_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
+        coder = shared.value
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 x = b.slice(at, 500)
