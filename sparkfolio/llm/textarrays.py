@@ -22,18 +22,19 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 SLICE_BYTES = 2 << 20
 
-_powers: dict[str, np.ndarray] = {}
+BLOCK = 1 << 16
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``BASE**i`` and ``BASE**-i`` for i < n."""
-    if not _powers or len(_powers["up"]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for key, b in (("up", BASE), ("down", BASE_INV)):
-            p = np.full(size, b, U64)
-            p[0] = 1
-            _powers[key] = np.cumprod(p, dtype=U64)
-    return _powers["up"][:n], _powers["down"][:n]
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """``base**i`` for i < n."""
+    p = np.full(n, base, U64)
+    p[:1] = 1
+    return np.cumprod(p, dtype=U64)
+
+
+# BASE**i is UP[i % BLOCK] times a power of BASE**BLOCK, so no table is as long as a text
+UP, DOWN = powers(BASE, BLOCK), powers(BASE_INV, BLOCK)
+BLOCK_UP, BLOCK_DOWN = U64(pow(int(BASE), BLOCK, 1 << 64)), U64(pow(int(BASE_INV), BLOCK, 1 << 64))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -109,11 +110,23 @@ def lines(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span: one prefix sum of a polynomial in the
-    bytes, then two look-ups a span."""
-    up, down = powers(len(data) + 1)
+    bytes, block by block (8 bytes a byte of text), then two look-ups a span."""
+    blocks = len(data) // BLOCK + 1
+    up, down = powers(BLOCK_UP, blocks), powers(BLOCK_DOWN, blocks)
     sums = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * up[:-1], dtype=U64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    for k in range(blocks):
+        part = data[k * BLOCK:(k + 1) * BLOCK].astype(U64)
+        part += U64(1)
+        part *= UP[:len(part)]
+        part *= up[k]
+        part[:1] += sums[k * BLOCK]
+        np.cumsum(part, dtype=U64, out=sums[k * BLOCK + 1:k * BLOCK + 1 + len(part)])
+    h = sums[ends]
+    h -= sums[starts]
+    h *= DOWN[starts % BLOCK]
+    h *= down[starts // BLOCK]
+    h += (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93)
+    return mix(h)
 
 
 def gram_hashes(word_hash: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
