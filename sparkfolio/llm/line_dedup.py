@@ -2,14 +2,14 @@
 
 A rolling hash over the hashes of two neighbouring lines chooses the chunk
 boundaries, so an inserted line shifts only the chunk around it.  A long line
-is a chunk by itself.  Besides, from every line with a word on, the fewest
-lines with LONG_WORDS words are a window; what stands around a passage cannot
-shift it.  Chunks and windows whose hash occurs again anywhere are compared
-byte for byte with the first one; repeats are removed, along with the lines of
-equal hash that reach from them into the text around.  So a passage of
-2 * LONG_WORDS words or more in whole lines is found wherever it stands: its
-windows cover all but fewer than LONG_WORDS words at its end, which the lines
-compared after the last window reach.
+is a chunk by itself.  Besides, from every line with a word on, and up to every
+such line, the fewest lines with LONG_WORDS words are a window; what stands
+around a passage cannot shift it.  Chunks and windows whose hash occurs again
+anywhere are compared byte for byte with the first one, and repeats are
+removed; nothing else is.  So a passage of LONG_WORDS words or more in whole
+lines is found wherever it stands, and to its last word: the windows from its
+lines cover all but fewer than LONG_WORDS words at its end, and those the
+window up to its last line covers.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from sparkfolio.llm.textarrays import Texts, lines, mix, span_hashes, text_slice
 DIVISOR = 2             # a boundary at every second line on average
 LONG_WORDS = 25         # a line of so many words is a chunk of its own, lines of so many a window
 MIN_WORDS = 12          # words that a chunk of several lines must have to be removed
-REACH = 12              # lines before and after a repeated chunk that are compared with those around the first one; after it, LONG_WORDS words at least
 
 
 def chunks(texts: Texts) -> dict[str, np.ndarray]:
@@ -38,15 +37,14 @@ def chunks(texts: Texts) -> dict[str, np.ndarray]:
     first and last (lines of the slice), line (its first, in the text),
     n_lines, start and end (bytes, without the line break at the end) and hash.
     A chunk is removable with several lines and MIN_WORDS words, or as a line
-    of LONG_WORDS.  Of the slice: line_hash, line0 (each text's first line) and
-    total (words before each line)."""
+    of LONG_WORDS."""
     starts, ends, owner = lines(texts)
     w, _, _ = words(texts)
     n_words = np.searchsorted(w, ends) - np.searchsorted(w, starts)
     h = span_hashes(texts.data, starts, ends)
     long = n_words >= LONG_WORDS
     same = owner[1:] == owner[:-1]
-    rolling = mix(np.concatenate([h[:1], np.where(same, h[:-1], np.uint64(0))]) * np.uint64(0x9E3779B97F4A7C15) + h)
+    rolling = mix(np.concatenate([h[:1] * np.uint64(0), np.where(same, h[:-1], np.uint64(0))]) * np.uint64(0x9E3779B97F4A7C15) + h)
     cut = np.ones(len(h), bool)                                             # after line i
     cut[:-1] = ~same | (rolling[:-1] % np.uint64(DIVISOR) == 0) | long[:-1] | long[1:]
     last = np.flatnonzero(cut)
@@ -55,13 +53,15 @@ def chunks(texts: Texts) -> dict[str, np.ndarray]:
     chunk_words = total[last + 1] - total[first]
     removable = np.where(last > first, chunk_words >= MIN_WORDS, chunk_words >= LONG_WORDS)
     line0 = np.searchsorted(owner, np.arange(len(texts)))
-    begin = np.flatnonzero(n_words > 0)
-    stop = np.searchsorted(total, total[begin] + LONG_WORDS) - 1             # the first line with which there are enough
-    inside = stop < np.append(line0, len(h))[owner[begin] + 1]
-    span = np.unique(np.concatenate([first[removable] * (len(h) + 1) + last[removable], begin[inside] * (len(h) + 1) + stop[inside]]))
+    at = np.flatnonzero(n_words > 0)
+    stop = np.searchsorted(total, total[at] + LONG_WORDS) - 1                # the first line with which there are enough
+    on = stop < np.append(line0, len(h))[owner[at] + 1]
+    begin = np.searchsorted(total, total[at + 1] - LONG_WORDS, "right") - 1  # and the last one from which there are
+    up = begin >= line0[owner[at]]
+    code = lambda a, z: a * (len(h) + 1) + z
+    span = np.unique(np.concatenate([code(first[removable], last[removable]), code(at[on], stop[on]), code(begin[up], at[up])]))
     first, last = np.divmod(span, len(h) + 1)
-    return {"line_hash": h.view(np.int64), "line0": line0, "total": total, "first": first, "last": last, "owner": owner[first], "line": first - line0[owner[first]],
-            "n_lines": last - first + 1, "start": starts[first], "end": ends[last], "hash": span_hashes(texts.data, starts[first], ends[last]).view(np.int64)}
+    return {"owner": owner[first], "line": first - line0[owner[first]], "n_lines": last - first + 1, "start": starts[first], "end": ends[last], "hash": span_hashes(texts.data, starts[first], ends[last]).view(np.int64)}
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,46 +73,23 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
-def _lists(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.ListArray:
-    """The slices ``values[begin:end]`` as a column of lists."""
-    size = end - begin
-    ends = np.concatenate([[0], np.cumsum(size)])
-    at = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[at]))
-
-
 def _repeats(shared):
-    """The chunks and windows that may repeat, with the hashes of the lines around them."""
+    """The chunks and windows that may repeat."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for texts in text_slices(b["text"]):
                 c = chunks(texts)
                 at = np.flatnonzero(shared.value(c["hash"]))
-                own, raw = c["owner"], texts.data.tobytes()
-                begin, end = c["line0"][own[at]], np.append(c["line0"], len(c["line_hash"]))[own[at] + 1]
-                f, z = c["first"][at], c["last"][at] + 1
-                enough = np.searchsorted(c["total"], c["total"][z] + LONG_WORDS)
-                before = _lists(c["line_hash"], np.maximum(f - REACH, begin), f)
-                after = _lists(c["line_hash"], z, np.minimum(np.maximum(z + REACH, enough), end))
+                raw = texts.data.tobytes()
                 part = [raw[c["start"][i]:c["end"][i]].decode() for i in at.tolist()]
-                place = pa.array(own[at] + texts.first)
+                place = pa.array(c["owner"][at] + texts.first)
                 yield pa.RecordBatch.from_arrays(
                     [b["id"].take(place), b["key"].take(place), pa.array(c["hash"][at]), pa.array(c["line"][at]), pa.array(c["n_lines"][at].astype(np.int64)),
-                     pa.array(part, pa.string()), before, after],
-                    ["id", "key", "h", "line", "n_lines", "part", "before", "after"])
+                     pa.array(part, pa.string())],
+                    ["id", "key", "h", "line", "n_lines", "part"])
     return run
 
 
-@F.pandas_udf(T.LongType())
-def _equal_back(own: pd.Series, first: pd.Series) -> pd.Series:
-    return pd.Series([_equal(a, b, True) for a, b in zip(own, first)], dtype="int64")
-
-
-@F.pandas_udf(T.LongType())
-def _equal_on(own: pd.Series, first: pd.Series) -> pd.Series:
-    return pd.Series([_equal(a, b, False) for a, b in zip(own, first)], dtype="int64")
-
-
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.LongType())))
 def _merged(begin: pd.Series, end: pd.Series) -> pd.Series:
     """Overlapping and adjoining intervals as one: a document's windows overlap."""
@@ -125,14 +102,6 @@ def _merged(begin: pd.Series, end: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def _equal(a: np.ndarray, b: np.ndarray, from_end: bool) -> int:
-    """Lines in which two passages agree, from their end or their start."""
-    n = min(len(a), len(b))
-    x, y = (a[len(a) - n:][::-1], b[len(b) - n:][::-1]) if from_end else (a[:n], b[:n])
-    other = np.flatnonzero(x != y)
-    return int(other[0]) if len(other) else n
-
-
 def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Columns ``record`` (the row), ``text`` (what is left of it),
     ``n_lines`` and ``n_removed``.
@@ -146,23 +115,22 @@ def dedup_lines(documents: DataFrame, text_col: str = "text", id_col: str = "doc
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("record"), F.col(f"`{id_col}`").alias("id"),
                             F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`"), F.col(f"`{id_col}`")).alias("key"))
     texts = rows.select("id", "key", "text")
-    counts = texts.mapInArrow(_hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = texts.select("text").mapInArrow(_hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     repeated = saved(counts.where(F.col("n") > 1).select("h"), "line-hashes")
     shared = spark.sparkContext.broadcast(key_filter(repeated, "h"))
     id_type = T.StructField("id", texts.schema["id"].dataType)
     schema = T.StructType([id_type] + [T.StructField(c, T.LongType()) for c in ("key", "h", "line", "n_lines")]
-                          + [T.StructField("part", T.StringType())] + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("before", "after")])
+                          + [T.StructField("part", T.StringType())])
     found = saved(texts.mapInArrow(_repeats(shared), schema), "line-repeats")
     # the first passage of each text of a hash; equal bytes only, whatever the hash says
     place = F.struct("id", "key", "line")
-    firsts = (found.groupBy("h", "part").agg(F.min(place).alias("place"), F.min_by(F.struct("before", "after"), place).alias("around"), F.count(F.lit(1)).alias("n"))
+    firsts = (found.groupBy("h", "part").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > 1).drop("n"))
     # written, so that the join below deals plain rows, whose large keys Spark can split
-    f = saved(firsts.select("h", F.col("part").alias("first_part"), "place", "around"), "line-firsts")
+    f = saved(firsts.select("h", F.col("part").alias("first_part"), "place"), "line-firsts")
     removed = (found.join(f, "h").where((F.col("part") == F.col("first_part"))
                                         & ~(F.col("id").eqNullSafe(F.col("place.id")) & (F.col("key") == F.col("place.key")) & (F.col("line") == F.col("place.line"))))
-               .withColumn("back", _equal_back("before", "around.before")).withColumn("on", _equal_on("after", "around.after"))
-               .groupBy("id", "key").agg(F.collect_set(F.struct((F.col("line") - F.col("back")).alias("a"), (F.col("line") + F.col("n_lines") + F.col("on")).alias("z"))).alias("gone")))
+               .groupBy("id", "key").agg(F.collect_set(F.struct(F.col("line").alias("a"), (F.col("line") + F.col("n_lines")).alias("z"))).alias("gone")))
     side = lambda c: F.transform("gone", lambda g: g[c])
     removed = saved(removed.select("id", "key", _merged(side("a"), side("z")).alias("gone")), "line-removals")
     hit = spark.sparkContext.broadcast(key_filter(removed, "key"))

@@ -1,9 +1,12 @@
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from llm_frames import make, prose
 
 from sparkfolio.llm import line_dedup as L
+from sparkfolio.llm.textarrays import text_slices
 
 
 def out(df):
@@ -83,11 +86,43 @@ def test_odd_rows(odd, odd_rows, nothing):
     assert L.dedup_lines(nothing).collect() == []
 
 
-@pytest.mark.parametrize("n", [0, 1, 5])
-def test_equal_lines(n):
-    import numpy as np
-    a, b = np.arange(5), np.concatenate([np.arange(n), -np.ones(5 - n)])
-    assert L._equal(a, b, False) == n and L._equal(a[::-1], b[::-1], True) == n
+def spans_of(text):
+    """Plain twin of the windows, and the chunks: (first line, end) of all spans that go if they repeat."""
+    lines = text.split("\n")
+    n = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
+    out = set()
+    for i in range(len(lines)):
+        on = next((z for z in range(i + 1, len(lines) + 1) if sum(n[i:z]) >= L.LONG_WORDS), None)
+        up = next((a for a in range(i, -1, -1) if sum(n[a:i + 1]) >= L.LONG_WORDS), None)
+        out |= ({(i, on)} if n[i] and on else set()) | ({(up, i + 1)} if n[i] and up is not None else set())
+    c = L.chunks(next(text_slices(pa.array([text]))))
+    every = {(int(a), int(a + k)) for a, k in zip(c["line"], c["n_lines"])}
+    assert out <= every and all(sum(n[a:z]) >= L.MIN_WORDS for a, z in every)
+    return every
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_brute_force(spark, seed):
+    """Every span that occurred before goes, by its text alone, and nothing else."""
+    r = random.Random(seed)
+    pool = [line(50 * seed + i, r.choice([0, 1, 2, 5, 9, 14, 30])) for i in range(40)]
+    rows = []
+    for d in range(40):
+        text = []
+        for _ in range(r.randrange(0, 5)):
+            at = r.randrange(len(pool))
+            text += pool[at:at + r.randrange(1, 12)] if r.random() < 0.7 else [line(10_000 + d, 4), ""]
+        rows.append((d, "\n".join(text)))
+    seen, want = set(), {}
+    for d, text in rows:
+        lines, gone = text.split("\n"), set()
+        for a, z in sorted(spans_of(text)):
+            part = "\n".join(lines[a:z])
+            gone |= set(range(a, z)) if part in seen else set()
+            seen.add(part)
+        want[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    got = out(make(spark, rows))
+    assert {d: got[d]["text"] for d in got} == want
 
 
 SHAPES = [(3, 18), (4, 13), (5, 11), (6, 9), (11, 5), (30, 2), (60, 1), (2, 26)]
