@@ -259,22 +259,23 @@ def predict(df: DataFrame, parser: CrossParser, text_col: str = "text") -> DataF
     text if nothing was labelled; with a single language the score is 1.
     Ties go to the language first in name order, with score 0.
     """
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record"), F.col(f"`{text_col}`").alias("text"))
     shared = df.sparkSession.sparkContext.broadcast(parser)
-    schema = T.StructType([T.StructField("record", rows.schema["record"].dataType), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("density", T.DoubleType()), T.StructField("n_parsed", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = shared.value
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                x = b.slice(at, 500)
-                texts = [normalised(t) for t in x["text"].to_pylist()]
-                sizes = np.array([len(t) for t in texts], np.int64)
-                names, score, density = _decide(parser, parser.costs(texts), sizes)
-                yield pa.RecordBatch.from_arrays([x["record"], pa.array(names, pa.string()), pa.array(score), pa.array(density, from_pandas=True), pa.array(sizes)], schema.names)
-
-    return rows.mapInArrow(run, schema)
+    said = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                         T.StructField("density", T.DoubleType()), T.StructField("n_parsed", T.LongType())])
+
+    @F.arrow_udf(said)
+    def say(text: pa.Array) -> pa.Array:
+        parser, parts = shared.value, []
+        for at in range(0, len(text), 500):
+            texts = [normalised(t) for t in text.slice(at, 500).to_pylist()]
+            sizes = np.array([len(t) for t in texts], np.int64)
+            names, score, density = _decide(parser, parser.costs(texts), sizes)
+            parts.append(pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(density, pa.float64(), from_pandas=True), pa.array(sizes)], said.names))
+        return pa.concat_arrays(parts)
+
+    # only the text goes to Python; not deterministic in name, so that a filter on the result does not run it twice
+    record = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record")
+    return df.select(record, say.asNondeterministic()(F.col(f"`{text_col}`")).alias("said")).select("record", *[F.col("said")[c].alias(c) for c in said.names])
 
 
 def _decide(parser: CrossParser, costs: np.ndarray, sizes: np.ndarray):

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkfolio.llm.langid import held_out
+from sparkfolio.llm.store import saved
 from sparkfolio.llm.textarrays import LOWER, Texts, per_text, span_hashes, spans, text_slices
 
 #: Bounds of the fit: labelled rows (in a seeded hash order) and features (by information).
@@ -94,7 +95,11 @@ def find(features: np.ndarray, h: np.ndarray, owner: np.ndarray) -> tuple[np.nda
 
 def counterfactuals(text: str, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS) -> list[tuple[str, str]]:
     """(term, swapped term) for every identity term of each sentence of ``text``."""
-    other = {t: [u for u in g if u != t] for g in groups for t in g}
+    other: dict[str, list[str]] = {}
+    for g in groups:                                        # a term of two groups is swapped within both
+        for t in g:
+            known = other.setdefault(t, [])
+            known.extend(u for u in g if u != t and u not in known)
     data = LOWER[np.frombuffer((text or "").lower().encode(), np.uint8)]
     starts, ends, _ = spans(Texts(0, data, np.array([0, len(data)])), LETTER[data])
     breaks = np.flatnonzero(np.isin(data, SENTENCE_END))
@@ -116,16 +121,16 @@ def _first_labels(labels: DataFrame, n: int, id_col: str, label_col: str, seed:
 def train(documents: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
           train_rows: int = TRAIN_ROWS, n_features: int = FEATURES, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS,
           fairness: float = 10.0, l2: float = 1e-4, seed: int = 42) -> Model:
-    """Fit on at most ``train_rows`` labelled texts outside the held-out fold.
-    Features are counted and chosen on the executors; the driver gets the
+    """Fit on at most ``train_rows`` labelled texts outside the held-out fold,
+    one an id (the smallest, if an id has several), read once.  Features are counted and chosen on the executors; the driver gets the
     chosen features' positions alone (some ten a text).
 
     Without labelled rows the model is the prior (one half); with one class
     only, that class' smoothed rate.  Identity terms are always features."""
     spark = documents.sparkSession
     chosen = F.broadcast(_first_labels(labels, train_rows, id_col, label_col, seed))      # two columns of at most train_rows rows
-    rows = (documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .join(chosen, "id"))
+    rows = saved(documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                 .join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text")), "toxicity-sample")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -202,18 +207,16 @@ def score(documents: DataFrame, model: Model, text_col: str = "text") -> DataFra
     """Columns ``record`` (the row) and ``score`` (0 to 1), from the whole text
     alone.  Null and empty texts get the score of no feature; repeated rows
     score alike."""
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("record"), F.col(f"`{text_col}`").alias("text"))
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([T.StructField("record", rows.schema["record"].dataType), T.StructField("score", T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for b in batches:
-            for texts in text_slices(b["text"]):
-                logits = np.clip(model.logits(texts), -700, 700)
-                yield pa.RecordBatch.from_arrays([b["record"].slice(texts.first, len(texts)), pa.array(1 / (1 + np.exp(-logits)))], ["record", "score"])
+    @F.arrow_udf(T.DoubleType())
+    def of(text: pa.Array) -> pa.Array:
+        logits = np.concatenate([np.zeros(0), *(shared.value.logits(texts) for texts in text_slices(text))])
+        return pa.array(1 / (1 + np.exp(-np.clip(logits, -700, 700))))
 
-    return rows.mapInArrow(run, schema)
+    # only the text goes to Python; not deterministic in name, so that a filter on the score does not run it twice
+    record = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("record")
+    return documents.select(record, of.asNondeterministic()(F.col(f"`{text_col}`")).alias("score"))
 
 
 def classify(documents: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:

@@ -41,6 +41,8 @@ def test_counterfactual_pairs():
     groups = (("women", "men", "people"),)
     assert X.counterfactuals("Women sang. The WOMEN left; men stayed.\nnobody", groups) == [
         ("women", "men"), ("women", "people"), ("men", "women"), ("men", "people"), ("women", "men"), ("women", "people")]
+    two = (("gay", "person"), ("man", "person"))
+    assert X.counterfactuals("a person", two) == [("person", "gay"), ("person", "man")]
     assert X.counterfactuals(None) == X.counterfactuals("") == []
 
 
