@@ -17,6 +17,8 @@ or of a pair, are summed over its fragments.
    every class outside a group's largest part against all of the group.  A
    block counts fragment by fragment too, and returns a spanning forest of
    its links, so a large group never becomes a list of its pairs.
+6. If asked for, links are counted: a class against those of its group of
+   like size, again in blocks, which return sums.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ SLICE = 2 << 20
 FRAGMENT_GRAMS = 2_000_000      # n-grams of one fragment, about
 SEGMENTS = 8                    # fragments in which pairs are counted
 ROW_BLOCK, COLUMN_BLOCK = 256, 1_024
+BLOCK_GRAMS = 2_000_000         # n-grams on one side of a block in which links are counted, about
 LISTS = T.ArrayType(T.LongType())
 
 
@@ -85,15 +88,17 @@ def _nested(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 # ---- 1: classes ----------------------------------------------------------------
 
-def _classes(names: list[str], n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for texts in text_slices(b["text"]):
-                values, ends = gram_sets(texts, n)
-                keys = [k or None for k in class_keys(values, ends)]
-                part = [b[c].slice(texts.first, len(texts)) for c in ("record", "id")]
-                yield pa.RecordBatch.from_arrays([*part, _binary(keys), pa.array(np.diff(ends).astype(np.int64))], names)
-    return run
+def _classes(n: int):
+    """The class of each text and the size of its set, of the text alone."""
+    @F.arrow_udf(T.StructType([T.StructField("class", T.BinaryType()), T.StructField("n", T.LongType())]))
+    def run(text: pa.Array) -> pa.Array:
+        keys, sizes = [], [np.zeros(0, np.int64)]
+        for texts in text_slices(text):
+            values, ends = gram_sets(texts, n)
+            keys += [k or None for k in class_keys(values, ends)]
+            sizes.append(np.diff(ends).astype(np.int64))
+        return pa.StructArray.from_arrays([_binary(keys), pa.array(np.concatenate(sizes))], ["class", "n"])
+    return run.asNondeterministic()
 
 
 # ---- 2: which classes can have a link -------------------------------------------
@@ -238,36 +243,56 @@ def _prefix(percent: int):
 
 # ---- 5: blocks --------------------------------------------------------------------
 
+def _links(table: pa.Table, percent: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Where a block's rows and columns stand in it, and which of them are linked."""
+    is_row = np.asarray(table["is_row"]).astype(bool)
+    sides = [np.flatnonzero(is_row), np.flatnonzero(~is_row)]
+    if not len(sides[0]) or not len(sides[1]):
+        return sides, np.zeros((len(sides[0]), len(sides[1])), bool)
+    sizes = [np.asarray(table["n"])[s] for s in sides]
+    grams, ends = _nested(pa.concat_arrays(table["grams"].chunks))
+    overlap = np.zeros((len(sides[0]), len(sides[1])), np.float32)
+    for k in range(SEGMENTS):                       # partial overlaps, one fragment after another
+        parts = [[grams[ends[SEGMENTS * r + k]:ends[SEGMENTS * r + k + 1]] for r in s] for s in sides]
+        flat = [np.concatenate([np.zeros(0, np.int64), *p]) for p in parts]
+        own = [np.repeat(np.arange(len(p)), [len(x) for x in p]) for p in parts]
+        common = np.intersect1d(*flat)
+        for c in range(0, len(common), 2_048):
+            some = common[c:c + 2_048]
+            grid = []
+            for f, o, s in zip(flat, own, sides):
+                at = np.minimum(np.searchsorted(some, f), len(some) - 1)
+                hit = some[at] == f
+                m = np.zeros((len(s), len(some)), np.float32)
+                m[o[hit], at[hit]] = 1
+                grid.append(m)
+            overlap += grid[0] @ grid[1].T
+    same = np.round(overlap).astype(np.int64)
+    return sides, 100 * same >= percent * (sizes[0][:, None] + sizes[1][None, :] - same)
+
+
+def _count_block(percent: int):
+    """Rows against columns of one candidate group and size band: the documents of the
+    other classes that each row's class is linked with."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        sides, linked = _links(table, percent)
+        _, name = np.unique(np.array(table["node"].to_pylist(), object), return_inverse=True)
+        linked &= name[sides[0]][:, None] != name[sides[1]][None, :]
+        n = linked @ np.asarray(table["copies"])[sides[1]].astype(np.int64)
+        return pa.table([table["node"].take(pa.array(sides[0])), pa.array(n.astype(np.int64))], names=["class", "links"])
+    return run
+
+
 def _test_block(percent: int):
     """Rows (classes outside the largest part) against columns of one candidate
     group: a spanning forest, over the parts, of the links between them."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        is_row = np.asarray(table["is_row"]).astype(bool)
-        sides = [np.flatnonzero(is_row), np.flatnonzero(~is_row)]
+        sides, linked = _links(table, percent)
         part_of = table["part"].to_pylist()
         out: list[tuple[bytes, bytes]] = []
-        if len(sides[0]) and len(sides[1]):
-            sizes = [np.asarray(table["n"])[s] for s in sides]
-            grams, ends = _nested(pa.concat_arrays(table["grams"].chunks))
-            overlap = np.zeros((len(sides[0]), len(sides[1])), np.float32)
-            for k in range(SEGMENTS):                       # partial overlaps, one fragment after another
-                parts = [[grams[ends[SEGMENTS * r + k]:ends[SEGMENTS * r + k + 1]] for r in s] for s in sides]
-                flat = [np.concatenate([np.zeros(0, np.int64), *p]) for p in parts]
-                own = [np.repeat(np.arange(len(p)), [len(x) for x in p]) for p in parts]
-                common = np.intersect1d(*flat)
-                for c in range(0, len(common), 2_048):
-                    some = common[c:c + 2_048]
-                    grid = []
-                    for f, o, s in zip(flat, own, sides):
-                        at = np.minimum(np.searchsorted(some, f), len(some) - 1)
-                        hit = some[at] == f
-                        m = np.zeros((len(s), len(some)), np.float32)
-                        m[o[hit], at[hit]] = 1
-                        grid.append(m)
-                    overlap += grid[0] @ grid[1].T
-            same = np.round(overlap).astype(np.int64)
-            linked = 100 * same >= percent * (sizes[0][:, None] + sizes[1][None, :] - same)
+        if linked.any():
             parent: dict[bytes, bytes] = {}
 
             def root(x: bytes) -> bytes:
@@ -284,13 +309,42 @@ def _test_block(percent: int):
     return run
 
 
+def link_counts(member: DataFrame, sizes: DataFrame, copies: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """(class, links): the documents of other classes that are linked with a class, for
+    every class of a candidate group (``member``: node, grp).
+
+    A link's sets differ in size by the threshold at most, so classes are dealt
+    by size band and tested against their own band and its two neighbours.  A
+    block holds a bounded number of classes and, by its band, of n-grams; no
+    pair becomes a row."""
+    base = 101 / percent                            # a little over the largest ratio, so rounding cannot pass a band
+    node = (member.select("node", "grp").join(sizes.withColumnRenamed("class", "node"), "node").join(copies.withColumnRenamed("class", "node"), "node")
+            .withColumn("band", F.floor(F.log("n") / math.log(base)).cast("int")))
+    as_rows = node.withColumn("is_row", F.lit(True))
+    as_columns = (node.withColumn("is_row", F.lit(False)).withColumn("own_band", F.col("band"))
+                  .withColumn("band", F.explode(F.array(*[F.col("own_band") + d for d in (-1, 0, 1)]))).drop("own_band"))
+    bounded = lambda most: F.greatest(F.lit(1.0), F.least(F.lit(float(most)), F.floor(F.lit(float(BLOCK_GRAMS)) / F.pow(F.lit(base), F.col("band") + 2))))
+    dealt = (as_rows.unionByName(as_columns).groupBy("grp", "band").agg(F.count_if("is_row").alias("rows"), F.count_if(~F.col("is_row")).alias("columns"))
+             .where((F.col("rows") > 0) & (F.col("columns") > 1))
+             .select("grp", "band", F.ceil(F.col("rows") / bounded(ROW_BLOCK)).cast("int").alias("row_blocks"),
+                     F.ceil(F.col("columns") / bounded(COLUMN_BLOCK)).cast("int").alias("column_blocks")))
+    # written, so that the join below deals plain rows, whose large groups Spark can split
+    dealt = saved(dealt, "join-bands")
+    hashed, keep = F.xxhash64("node"), ["node", "grp", "band", "n", "copies", "is_row"]
+    placed = (as_rows.join(dealt, ["grp", "band"]).select(*keep, F.pmod(hashed, "row_blocks").cast("int").alias("rb"), F.explode(F.sequence(F.lit(0), F.col("column_blocks") - 1)).alias("cb"))
+              .unionByName(as_columns.join(dealt, ["grp", "band"]).select(*keep, F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)).alias("rb"), F.pmod(hashed, "column_blocks").cast("int").alias("cb"))))
+    counted = placed.join(lists, "node").groupBy("grp", "band", "rb", "cb").applyInArrow(_count_block(percent), "class binary, links long")
+    return counted.groupBy("class").agg(F.sum("links").alias("links"))
+
+
 # ---- the whole ----------------------------------------------------------------------
 
 def link_components(documents: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = N, percent: int = PERCENT,
-                    carry_text: bool = False) -> DataFrame:
+                    carry_text: bool = False, count_links: bool = False) -> DataFrame:
     """Columns ``record`` (the row, without its text unless ``carry_text``), ``n_shingles``,
     ``class_id`` (smallest id with the same set) and ``component_id`` (smallest
-    id reachable over links, the own one included).
+    id reachable over links, the own one included); with ``count_links`` also
+    ``n_links``, the other rows that the row is linked with.
 
     Links: 100 * intersection >= percent * union of the n-gram sets.  Null and
     empty texts and texts without words have no n-grams and no links: their
@@ -301,9 +355,7 @@ def link_components(documents: DataFrame, text_col: str = "text", id_col: str =
     keep = [c for c in documents.columns if carry_text or c != text_col]
     text = F.col(f"`{text_col}`").alias("text")
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), F.col(f"`{id_col}`").alias("id"), text)
-    schema = T.StructType([T.StructField("record", rows.schema["record"].dataType), T.StructField("id", rows.schema["id"].dataType),
-                           T.StructField("class", T.BinaryType()), T.StructField("n", T.LongType())])
-    docs = saved(rows.mapInArrow(_classes(schema.names, n), schema), "join-docs")
+    docs = saved(rows.select("record", "id", _classes(n)("text").alias("c")).select("record", "id", "c.class", "c.n"), "join-docs")
     total = docs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     classes = docs.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
 
@@ -373,13 +425,20 @@ def link_components(documents: DataFrame, text_col: str = "text", id_col: str =
     comp = (member.select("node", "part").join(merged.select(F.col("node").alias("part"), "root"), "part", "left")
             .select(F.col("node").alias("class"), F.coalesce("root", "part").alias("comp")))
     # documents of one class and no link are their own answer and stay where they are
-    named = saved(classes.join(comp, "class", "left").where((F.col("copies") > 1) | F.col("comp").isNotNull())
-                  .withColumn("comp", F.coalesce("comp", "class")), "join-classes")
+    named = (classes.join(comp, "class", "left").where((F.col("copies") > 1) | F.col("comp").isNotNull())
+             .withColumn("comp", F.coalesce("comp", "class")))
+    links = []
+    if count_links:
+        found = saved(link_counts(member, sizes, classes.select("class", "copies"), lists, percent), "join-links")
+        named = named.join(found, "class", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+        links = ["n_links"]
+    named = saved(named, "join-classes")
     lowest = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    ids = saved(named.join(lowest, "comp").select("class", "class_id", "component_id"), "join-ids")
+    ids = saved(named.join(lowest, "comp").select("class", "class_id", "component_id", *links), "join-ids")
     grouped = spark.sparkContext.broadcast(key_filter(ids.select(half.alias("k")), "k"))
     split = docs.withColumn("maybe", maybe_in(grouped, half))
-    alone = split.where(~F.col("maybe")).select("record", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.col("id").alias("component_id"))
+    alone = split.where(~F.col("maybe")).select("record", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.col("id").alias("component_id"), *[F.lit(0).cast("long").alias(c) for c in links])
     in_groups = split.where("maybe").join(ids, "class", "left")
     return alone.unionByName(in_groups.select(
-        "record", F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id")))
+        "record", F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in links]))

@@ -131,7 +131,7 @@ def op6_line_chunks(spark, sf_dir):
 @query
 def op2_vertical_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return link_components(docs).select("record.doc_id", "n_shingles", "component_id", "class_id")
+    return link_components(docs, count_links=True).select("record.doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 ORACLE["op2_vertical_jaccard"] = r"""
@@ -149,8 +149,9 @@ p AS (
 r(doc_id, low) AS (SELECT doc_id, doc_id FROM s UNION SELECT p.b, r.low FROM r JOIN p ON r.doc_id = p.a),
 c AS (SELECT doc_id, min(low) AS component_id FROM r GROUP BY doc_id)
 SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id,
-       CASE WHEN len(g) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY list_sort(g)) END AS class_id
-FROM s JOIN c USING (doc_id)
+       CASE WHEN len(g) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY list_sort(g)) END AS class_id,
+       coalesce(n_links, 0) AS n_links
+FROM s JOIN c USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM p GROUP BY a) l USING (doc_id)
 """
 
 

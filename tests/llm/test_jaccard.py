@@ -36,6 +36,17 @@ def brute(rows):
     return [(d, len(sets[i]), d if not sets[i] else low.get(find(i))) for i, (d, _) in enumerate(rows)]
 
 
+def brute_links(rows):
+    """(id, links) of every row, in order."""
+    sets = [shingles(t) for _, t in rows]
+    linked = lambda a, b: bool(a) and 100 * len(a & b) >= 80 * len(a | b)
+    return [(d, sum(linked(a, b) for j, b in enumerate(sets) if j != i)) for i, ((d, _), a) in enumerate(zip(rows, sets))]
+
+
+def links(df):
+    return [(r["record"]["doc_id"], r["n_links"]) for r in J.link_components(df, count_links=True).collect()]
+
+
 def run(df):
     return [(r["record"]["doc_id"], r["n_shingles"], r["component_id"]) for r in J.link_components(df).collect()]
 
@@ -62,6 +73,7 @@ def test_components_equal_brute_force(spark):
     rows += [(6000, "Ab cd"), (6001, "aB  CD"), (6002, "ab"), (6003, "ab cd ef gh ij"), (6004, "AB CD\tEF GH IJ")]
     random.Random(0).shuffle(rows)
     assert order(run(make(spark, rows))) == order(brute(rows))
+    assert order(links(make(spark, rows))) == order(brute_links(rows))
 
 
 def test_exact_threshold(spark):
@@ -81,7 +93,21 @@ def test_blocks_and_fragments(spark, monkeypatch):
 
 def test_odd_rows(odd, odd_rows, nothing):
     assert order(run(odd)) == order(brute([r[:2] for r in odd_rows]))
-    assert J.link_components(nothing).collect() == []
+    assert order(links(odd)) == order(brute_links([r[:2] for r in odd_rows]))
+    assert J.link_components(nothing).collect() == [] and J.link_components(nothing, count_links=True).collect() == []
+
+
+@pytest.mark.parametrize("limits", [{}, {"ROW_BLOCK": 3, "COLUMN_BLOCK": 5}, {"BLOCK_GRAMS": 300}])
+def test_link_counts(spark, monkeypatch, limits):
+    """Prefixes of one text: chains of sizes over many bands, with the largest ratio exactly
+    at the threshold, each with exact copies; and near copies that no chain joins."""
+    for name, value in limits.items():
+        monkeypatch.setattr(J, name, value)
+    w = prose(5, 400).split(" ")
+    rows = [(10 * k + c, " ".join(w[:k])) for k in (0, 1, 4, 5, 6, 8, 9, 12, 13, 14, 16, 20, 24, 29, 36, 44, 54, 104, 129, 204, 254, 400) for c in range(1 + k % 3)]
+    base = prose(77, 90)
+    rows += [(10_000 + k, edited(base, k, 0.015)) for k in range(40)]
+    assert order(links(make(spark, rows))) == order(brute_links(rows))
 
 
 def test_documents(spark, documents):
