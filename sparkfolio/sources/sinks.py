@@ -5,9 +5,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sparkfolio.session import scratch_dir
 
+#: Keys above the row bound that are broadcast; with more, the planner decides.
+MAX_HOT_KEYS = 100_000
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV, no index column."""
@@ -15,9 +19,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_split(df: DataFrame, path: str, by: list[str], fmt: str = "csv",
-                mode: str = "overwrite") -> None:
-    """One folder per key combination (partition pruning on read)."""
-    w = df.write.mode(mode).partitionBy(*by)
+                mode: str = "overwrite", rows_per_file: int = 1_000_000) -> None:
+    """One folder per key combination (partition pruning on read).
+
+    Files are planned from the counts a key: one of more than ``rows_per_file``
+    rows is dealt to several tasks by a hash of the row, all others stay whole,
+    many to a task.  One shuffle; no file has more than ``rows_per_file`` rows.
+    The counts decide only where rows go, so ``df`` may be computed twice."""
+    key = F.struct(*[F.col(f"`{c}`") for c in by])
+    own = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.xxhash64(key).alias("key"), own.alias("own"))
+    hot = (rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("long").alias("files"))
+           .where(F.col("files") > 1))
+    few = hot.limit(MAX_HOT_KEYS + 1).count() <= MAX_HOT_KEYS       # 16 bytes each
+    dealt = (rows.join(F.broadcast(hot) if few else hot, "key", "left")
+             .withColumn("file", F.pmod("own", F.coalesce("files", F.lit(1))))
+             .repartition("key", "file").select("row.*"))
+    w = dealt.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(*by)
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
